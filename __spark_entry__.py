@@ -157,6 +157,11 @@ def q_clean_full_name(spark: SparkSession, d: str) -> DataFrame:
 col = F.col
 
 
+def q_clean_age(spark: SparkSession, d: str) -> DataFrame:
+    with_dob = _raw(spark, d).withColumn("dob", C.clean_date(col("dob")))
+    return with_dob.select("src_row", C.clean_age(col("age"), col("dob")).alias("age"))
+
+
 # --- quality ------------------------------------------------------------------------
 def q_before_after(spark: SparkSession, d: str) -> DataFrame:
     return Q.before_after_counts(_raw(spark, d), _clean(spark, d))
@@ -200,7 +205,7 @@ def queries() -> dict[str, Query]:
             C.clean_date(col("account_open_date")).alias("account_open_date"),
             C.clean_date(col("transaction_date")).alias("transaction_date"),
         ),
-        "clean_age": _on_raw(C.clean_age(col("age"), C.clean_date(col("dob"))).alias("age")),
+        "clean_age": q_clean_age,
         "clean_email": _on_raw(C.clean_email(col("email")).alias("email")),
         "clean_phone": _on_raw(C.clean_phone(col("phone")).alias("phone")),
         "clean_state": _on_raw(C.clean_state(col("state")).alias("state")),

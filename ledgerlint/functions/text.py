@@ -24,6 +24,10 @@ DIGIT = r"\p{Nd}"
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 STRIP_RE = f"^[{WS}]+|[{WS}]+$"
+# The same whitespace set as plain characters, derived from Python's own
+# definition (every whitespace code point lies below U+3001), for a
+# character-set trim that needs no regex.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 WS_RUN_RE = f"[{WS}]+"
 NOT_WORD_OR_WS_RE = f"[^{WORD}{WS}]"
 NON_DIGIT_RE = f"[^{DIGIT}]"
@@ -36,7 +40,7 @@ def col_of(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
-    return F.regexp_replace(col_of(c), STRIP_RE, "")
+    return F.trim(col_of(c), F.lit(PY_WHITESPACE))
 
 
 def digits_only(c: str | Column) -> Column:

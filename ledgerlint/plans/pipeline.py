@@ -61,7 +61,6 @@ def _steps(o: Options) -> list[Step]:
         ("first_name", ("first_name",), lambda o: C.clean_name(col("first_name"), o.null_token)),
         ("last_name", ("last_name",), lambda o: C.clean_name(col("last_name"), o.null_token)),
         ("dob", ("dob",), lambda o: C.clean_date(col("dob"))),
-        ("age", ("age", "dob"), lambda o: C.clean_age(col("age"), C.clean_date(col("dob")), o.as_of)),
         ("email", ("email",), lambda o: C.clean_email(col("email"))),
         ("phone", ("phone",), lambda o: C.clean_phone(col("phone"))),
         ("state", ("state",), lambda o: C.clean_state(col("state"))),
@@ -93,25 +92,34 @@ def _steps(o: Options) -> list[Step]:
     ]
 
 
+def _derived_steps(o: Options) -> list[Step]:
+    """Cleaners that read an already-cleaned column; applied in a second projection
+    so the expensive cleaned value is computed once and referenced, not re-derived."""
+    return [("age", ("age", "dob"), lambda o: C.clean_age(F.col("age"), F.col("dob"), o.as_of))]
+
+
 def plan_steps(columns: Sequence[str], options: Options = Options()) -> tuple[list[str], list[str]]:
     """(applied, skipped) output columns for an input with ``columns``."""
     have = set(columns)
     applied, skipped = [], []
-    for out, needs, _ in _steps(options):
+    for out, needs, _ in _steps(options) + _derived_steps(options):
         (applied if all(n in have for n in needs) else skipped).append(out)
     return applied, skipped
 
 
 def clean_columns(df: DataFrame, options: Options = Options()) -> DataFrame:
-    """Apply every column cleaner whose inputs exist, in one projection."""
+    """Apply every column cleaner whose inputs exist: one projection for the
+    independent cleaners, a second for those reading a cleaned column (age)."""
     have = set(df.columns)
-    exprs = {}
-    for out, needs, build in _steps(options):
-        if all(n in have for n in needs):
-            exprs[out] = build(options)
-        else:
-            log.warning("skipping cleaner for %s: missing %s", out, [n for n in needs if n not in have])
-    return df.withColumns(exprs)
+    for steps in (_steps(options), _derived_steps(options)):
+        exprs = {}
+        for out, needs, build in steps:
+            if all(n in have for n in needs):
+                exprs[out] = build(options)
+            else:
+                log.warning("skipping cleaner for %s: missing %s", out, [n for n in needs if n not in have])
+        df = df.withColumns(exprs)
+    return df
 
 
 def deduplicate(raw: DataFrame, options: Options = Options()) -> DataFrame:

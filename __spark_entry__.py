@@ -42,8 +42,9 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_all(_raw(spark, sf_dir))
 
 
-def _on_raw(*cols) -> Query:
-    return lambda spark, d: _raw(spark, d).select("src_row", *cols)
+def _on_raw(*cols: Callable[[], object]) -> Query:
+    """A query applying cleaners to every raw row; expressions are built lazily."""
+    return lambda spark, d: _raw(spark, d).select("src_row", *[c() for c in cols])
 
 
 def _round_stats(df: DataFrame) -> DataFrame:
@@ -193,41 +194,41 @@ def queries() -> dict[str, Query]:
         "value_distribution": q_value_distribution,
         # column cleaners, applied to every raw row
         "clean_ids": _on_raw(
-            C.clean_id(col("customer_id")).alias("customer_id"),
-            C.clean_id(col("transaction_id")).alias("transaction_id"),
-            C.clean_id(col("legacy_id")).alias("legacy_id"),
+            lambda: C.clean_id(col("customer_id")).alias("customer_id"),
+            lambda: C.clean_id(col("transaction_id")).alias("transaction_id"),
+            lambda: C.clean_id(col("legacy_id")).alias("legacy_id"),
         ),
-        "clean_gender": _on_raw(C.clean_gender(col("gender")).alias("gender")),
-        "clean_names": _on_raw(C.clean_name(col("first_name")).alias("first_name"), C.clean_name(col("last_name")).alias("last_name")),
+        "clean_gender": _on_raw(lambda: C.clean_gender(col("gender")).alias("gender")),
+        "clean_names": _on_raw(lambda: C.clean_name(col("first_name")).alias("first_name"), lambda: C.clean_name(col("last_name")).alias("last_name")),
         "clean_full_name": q_clean_full_name,
         "clean_dates": _on_raw(
-            C.clean_date(col("dob")).alias("dob"),
-            C.clean_date(col("account_open_date")).alias("account_open_date"),
-            C.clean_date(col("transaction_date")).alias("transaction_date"),
+            lambda: C.clean_date(col("dob")).alias("dob"),
+            lambda: C.clean_date(col("account_open_date")).alias("account_open_date"),
+            lambda: C.clean_date(col("transaction_date")).alias("transaction_date"),
         ),
         "clean_age": q_clean_age,
-        "clean_email": _on_raw(C.clean_email(col("email")).alias("email")),
-        "clean_phone": _on_raw(C.clean_phone(col("phone")).alias("phone")),
-        "clean_state": _on_raw(C.clean_state(col("state")).alias("state")),
-        "clean_address_city": _on_raw(C.clean_address(col("address")).alias("address"), C.clean_city(col("city")).alias("city")),
-        "clean_zip": _on_raw(C.clean_zip(col("zip_code")).alias("zip_code")),
-        "clean_credit_score": _on_raw(C.clean_credit_score(col("credit_score")).alias("credit_score")),
-        "clean_balance": _on_raw(C.clean_balance(col("account_balance")).alias("account_balance")),
+        "clean_email": _on_raw(lambda: C.clean_email(col("email")).alias("email")),
+        "clean_phone": _on_raw(lambda: C.clean_phone(col("phone")).alias("phone")),
+        "clean_state": _on_raw(lambda: C.clean_state(col("state")).alias("state")),
+        "clean_address_city": _on_raw(lambda: C.clean_address(col("address")).alias("address"), lambda: C.clean_city(col("city")).alias("city")),
+        "clean_zip": _on_raw(lambda: C.clean_zip(col("zip_code")).alias("zip_code")),
+        "clean_credit_score": _on_raw(lambda: C.clean_credit_score(col("credit_score")).alias("credit_score")),
+        "clean_balance": _on_raw(lambda: C.clean_balance(col("account_balance")).alias("account_balance")),
         "clean_amounts": _on_raw(
-            C.clean_amount(col("annual_income")).alias("annual_income"),
-            C.clean_amount(col("transaction_amount")).alias("transaction_amount"),
-            C.clean_amount(col("risk_score")).alias("risk_score"),
+            lambda: C.clean_amount(col("annual_income")).alias("annual_income"),
+            lambda: C.clean_amount(col("transaction_amount")).alias("transaction_amount"),
+            lambda: C.clean_amount(col("risk_score")).alias("risk_score"),
         ),
-        "clean_account_type": _on_raw(C.clean_account_type(col("account_type")).alias("account_type")),
-        "clean_employment": _on_raw(C.clean_employment(col("employment_status")).alias("employment_status")),
-        "clean_txn_type": _on_raw(C.clean_transaction_type(col("transaction_type")).alias("transaction_type")),
-        "clean_merchant": _on_raw(C.clean_merchant(col("merchant_name")).alias("merchant_name")),
-        "clean_category": _on_raw(C.clean_category(col("merchant_category")).alias("merchant_category")),
-        "clean_payment": _on_raw(C.clean_payment(col("payment_method")).alias("payment_method")),
-        "clean_card_last_four": _on_raw(C.clean_card_last_four(col("card_last_four")).alias("card_last_four")),
-        "clean_card_type": _on_raw(C.clean_card_type(col("card_type")).alias("card_type")),
-        "clean_booleans": _on_raw(C.clean_bool_words(col("is_fraud")).alias("is_fraud"), C.cast_bool(col("is_flagged")).alias("is_flagged")),
-        "clean_text": _on_raw(C.clean_text(col("notes")).alias("notes"), C.clean_text(col("internal_comments")).alias("internal_comments")),
+        "clean_account_type": _on_raw(lambda: C.clean_account_type(col("account_type")).alias("account_type")),
+        "clean_employment": _on_raw(lambda: C.clean_employment(col("employment_status")).alias("employment_status")),
+        "clean_txn_type": _on_raw(lambda: C.clean_transaction_type(col("transaction_type")).alias("transaction_type")),
+        "clean_merchant": _on_raw(lambda: C.clean_merchant(col("merchant_name")).alias("merchant_name")),
+        "clean_category": _on_raw(lambda: C.clean_category(col("merchant_category")).alias("merchant_category")),
+        "clean_payment": _on_raw(lambda: C.clean_payment(col("payment_method")).alias("payment_method")),
+        "clean_card_last_four": _on_raw(lambda: C.clean_card_last_four(col("card_last_four")).alias("card_last_four")),
+        "clean_card_type": _on_raw(lambda: C.clean_card_type(col("card_type")).alias("card_type")),
+        "clean_booleans": _on_raw(lambda: C.clean_bool_words(col("is_fraud")).alias("is_fraud"), lambda: C.cast_bool(col("is_flagged")).alias("is_flagged")),
+        "clean_text": _on_raw(lambda: C.clean_text(col("notes")).alias("notes"), lambda: C.clean_text(col("internal_comments")).alias("internal_comments")),
         # the whole job
         "clean_all": _clean,
         # quality reports on the clean table

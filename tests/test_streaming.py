@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+from conftest import SF_SMALL
+from ledgerlint import clean_all
+from ledgerlint.schema import RAW_SCHEMA
+from ledgerlint.session import fresh_path
+from ledgerlint.sources.fixture import dirty_transactions
+from ledgerlint.sources.raw import write_raw_csv
+from ledgerlint.streaming.incremental import incremental_load
+
+
+def test_file_stream_loads_once(spark):
+    schema = T.StructType([T.StructField("src_row", T.LongType())] + RAW_SCHEMA.fields)
+    raw = dirty_transactions(spark, SF_SMALL)
+    src = fresh_path(spark, "stream_src")
+    write_raw_csv(raw, src + "/part1")
+    loc = fresh_path(spark, "stream_target")
+    name = "t_" + loc.rsplit("-", 1)[-1]
+    ckpt = fresh_path(spark, "stream_ckpt")
+
+    q = incremental_load(spark, src + "/*", name, loc, ckpt, schema=schema)
+    q.awaitTermination(300)
+    first = spark.table(name).count()
+    # empty fields read back as null through CSV, so compare with the same input
+    expected = clean_all(spark.read.schema(schema).option("header", True).csv(src + "/part1")).count()
+    assert first == expected > 0
+
+    # the same rows arriving again in a new file add nothing
+    write_raw_csv(raw, src + "/part2")
+    q = incremental_load(spark, src + "/*", name, loc, ckpt, schema=schema)
+    q.awaitTermination(300)
+    assert spark.table(name).count() == first

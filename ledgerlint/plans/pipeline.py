@@ -22,7 +22,7 @@ from ..operators.names import full_name_from_dedup
 from ..operators.quality import checkpoint
 from ..operators.relational import dedup_by_key, drop_columns, drop_empty_rows, id_filter, typed_cast
 from ..schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DROPPED_COLUMNS, KEY_COLUMNS
-from ..session import ensure_shared_dir
+from .materialize import materialize
 from ..sources.target import load_if_new
 
 log = logging.getLogger(__name__)
@@ -43,10 +43,13 @@ class Options:
     clean_is_flagged: bool = False
     drop_empty_rows: bool = False
     as_of: Column | None = None
-    # Write the one-row-per-key table once to the shared checkpoint folder.
-    # Three branches read it (main rows, name tokens, name dictionaries);
-    # without this each of them would re-scan and re-aggregate the raw input.
+    # Write the one-row-per-key table once to the shared folder, bucketed by
+    # customer.  Three branches read it (main rows, name tokens, name
+    # dictionaries); without this each would re-scan and re-aggregate the raw
+    # input.  Bucketing keeps the partitioning, so the name regroup and the
+    # join back need no shuffle of the wide rows.
     checkpoint_dedup: bool = True
+    num_buckets: int | None = None  # default: spark.sql.shuffle.partitions
 
 
 # (output column, input columns, expression builder)
@@ -133,9 +136,8 @@ def deduplicate(raw: DataFrame, options: Options = Options()) -> DataFrame:
 def clean_untyped(raw: DataFrame, options: Options = Options()) -> DataFrame:
     """Everything up to (not including) the final typing."""
     dedup = deduplicate(raw, options)
-    if options.checkpoint_dedup:
-        ensure_shared_dir(dedup.sparkSession)
-        dedup = dedup.checkpoint(eager=True)
+    if options.checkpoint_dedup and "customer_id" in dedup.columns:
+        dedup = materialize(dedup, "dedup", bucket_by=["customer_id"], num_buckets=options.num_buckets)
     have = set(dedup.columns)
     kept = id_filter(dedup, [c for c in ("customer_id", "transaction_id") if c in have])
     if {"full_name", "first_name", "last_name", "customer_id"} <= have:
@@ -155,12 +157,12 @@ def clean_all(raw: DataFrame, options: Options = Options()) -> DataFrame:
 def run_job(raw: DataFrame, target: str, location: str | None = None, options: Options = Options()) -> int:
     """The whole job: clean, stop if nothing is left, load rows not yet stored.
 
-    The clean table is checkpointed once to the shared folder
+    The clean table is written once to the shared folder
     (``spark.checkpoint.dir``); the mid-pipeline check and the load both read
     that copy, so the raw input is processed once and a lost executor does not
     send the load back to the raw files.  Returns the number of rows appended.
     """
-    clean = clean_all(raw, options).checkpoint(eager=True)
+    clean = materialize(clean_all(raw, options), "clean")
     report = checkpoint(clean).collect()  # raises on an empty result
     for r in report:
         (log.warning if r["status"] == "warning" else log.info)("null share of %s: %.2f%%", r["column"], r["null_pct"] or 0.0)

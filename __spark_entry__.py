@@ -172,6 +172,13 @@ def q_stat_compare(spark: SparkSession, d: str) -> DataFrame:
     return _round_stats(Q.stat_compare(_raw(spark, d), _clean(spark, d), NUMERIC_COLUMNS))
 
 
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources and sinks
@@ -244,6 +251,13 @@ def queries() -> dict[str, Query]:
         "high_risk": lambda s, d: Q.high_risk(_clean(s, d)),
         "checkpoint": lambda s, d: Q.checkpoint(_clean(s, d)),
         "sample_validation": q_sample,
+        # the reports are schema-generic: plain tables
+        "null_profile_lineitem": lambda s, d: Q.null_profile(_table(s, d, "lineitem")),
+        "quality_metrics_lineitem": lambda s, d: Q.quality_metrics(_table(s, d, "lineitem")),
+        "quality_metrics_orders": lambda s, d: Q.quality_metrics(_table(s, d, "orders")),
+        "quality_metrics_customer": lambda s, d: Q.quality_metrics(_table(s, d, "customer")),
+        "describe_numeric_lineitem": lambda s, d: _round_stats(R.describe_numeric(_table(s, d, "lineitem"), LINEITEM_NUMERIC)),
+        "top_values_lineitem": lambda s, d: R.top_values(_table(s, d, "lineitem"), ["l_returnflag", "l_linestatus"], 10),
     }
 
 

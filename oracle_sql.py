@@ -511,4 +511,31 @@ FROM ({_business_rules_sql('clean')})"""
         for c in ["customer_id", "transaction_id", "transaction_amount", "transaction_date"]
     )
     o["sample_validation"] = o["hash_sample"]
+
+    # plain tables
+    li = [
+        ("l_orderkey", False), ("l_partkey", False), ("l_suppkey", False), ("l_linenumber", False),
+        ("l_quantity", False), ("l_extendedprice", False), ("l_discount", False), ("l_tax", False),
+        ("l_returnflag", True), ("l_linestatus", True), ("l_shipdate", False),
+    ]
+    orders = [("o_orderkey", False), ("o_custkey", False), ("o_orderstatus", True), ("o_totalprice", False),
+              ("o_orderdate", False), ("o_orderpriority", True)]
+    customer = [("c_custkey", False), ("c_name", True), ("c_nationkey", False), ("c_acctbal", False), ("c_mktsegment", True)]
+    o["null_profile_lineitem"] = " UNION ALL ".join(
+        f"SELECT {q(c)} AS \"column\", count_if({c} IS NULL) AS null_count, "
+        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM lineitem"
+        for c, _ in li
+    )
+    o["quality_metrics_lineitem"] = _quality_metrics_sql("lineitem", li)
+    o["quality_metrics_orders"] = _quality_metrics_sql("orders", orders)
+    o["quality_metrics_customer"] = _quality_metrics_sql("customer", customer)
+    o["describe_numeric_lineitem"] = "SELECT * EXCLUDE (side) FROM (" + _describe(
+        "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "x", False
+    ) + ")"
+    o["top_values_lineitem"] = f"""SELECT "column", value, count, rank FROM (
+  SELECT "column", value, count,
+         CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value ASC NULLS FIRST) AS INTEGER) AS rank
+  FROM (SELECT "column", value, count(*) AS count FROM ({_unpivot_counts('lineitem', ['l_returnflag', 'l_linestatus'])})
+        GROUP BY "column", value)
+) WHERE rank <= 10"""
     return o

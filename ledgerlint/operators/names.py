@@ -35,9 +35,11 @@ def name_roles(first_dict: DataFrame, last_dict: DataFrame) -> DataFrame:
 
     Both inputs have a single ``name`` column of lower-cased names.
     """
-    f = first_dict.filter(~F.col("name").isin(EXCLUDE_FIRST)).select(F.col("name").alias("token"), F.lit("F").alias("role"))
-    l_ = last_dict.filter(~F.col("name").isin(EXCLUDE_LAST)).select(F.col("name").alias("token"), F.lit("L").alias("role"))
-    return f.unionByName(l_).groupBy("token").agg(F.min("role").alias("role"))
+    # integer codes (1 = first, 2 = last) keep the aggregate hash-based
+    f = first_dict.filter(~F.col("name").isin(EXCLUDE_FIRST)).select(F.col("name").alias("token"), F.lit(1).alias("code"))
+    l_ = last_dict.filter(~F.col("name").isin(EXCLUDE_LAST)).select(F.col("name").alias("token"), F.lit(2).alias("code"))
+    best = f.unionByName(l_).groupBy("token").agg(F.min("code").alias("code"))
+    return best.select("token", F.when(F.col("code") == 1, "F").otherwise("L").alias("role"))
 
 
 def rebuild_full_name(

@@ -20,12 +20,31 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 # K2 --------------------------------------------------------------------------
-def create_target(spark: SparkSession, name: str, schema: T.StructType, location: str | None = None) -> None:
-    """Create the (empty) target table if it does not exist."""
+def create_target(
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    location: str | None = None,
+    bucket_by: Sequence[str] = (),
+    num_buckets: int | None = None,
+) -> None:
+    """Create the (empty) target table if it does not exist.
+
+    ``bucket_by`` (usually the load keys) buckets the stored files by hash of
+    those columns, so the duplicate check of every later load reads the
+    target already partitioned by key and shuffles only the incoming batch.
+    """
     if table_exists(spark, name):
         return
-    kwargs = {"path": location} if location else {}
-    spark.catalog.createTable(name, source="parquet", schema=schema, **kwargs)
+    if not bucket_by:
+        kwargs = {"path": location} if location else {}
+        spark.catalog.createTable(name, source="parquet", schema=schema, **kwargs)
+        return
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{k}`" for k in bucket_by)
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({keys}) INTO {n} BUCKETS{loc}")
 
 
 def _match_condition(df: DataFrame, target: DataFrame, cols: Sequence[str], null_safe: bool) -> Column:
@@ -111,16 +130,20 @@ def load_if_new(
     location: str | None = None,
     keys: Sequence[str] = ("customer_id", "transaction_id"),
     batch_skip: bool = False,
+    bucketed: bool = True,
+    num_buckets: int | None = None,
 ) -> int:
     """Create the target if missing, then append only rows whose keys are not stored.
 
     Idempotent per row: loading the same batch twice writes nothing the second
     time.  ``batch_skip=True`` keeps the all-or-nothing behavior instead: if
-    any incoming row is already stored, nothing is written.
+    any incoming row is already stored, nothing is written.  A new target is
+    bucketed by ``keys`` (``bucketed=False`` for a plain table), so the
+    anti-join below never re-shuffles what is already stored.
     Returns the number of rows appended.
     """
     spark = df.sparkSession
-    create_target(spark, name, schema, location)
+    create_target(spark, name, schema, location, bucket_by=keys if bucketed else (), num_buckets=num_buckets)
     stored = spark.table(name)
     if batch_skip:
         hit = data_exists(df, stored, keys).first()

@@ -44,18 +44,26 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     folder created and registered; on a cluster an unset value is an error,
     because a machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        d = tempfile.mkdtemp(prefix="ledgerlint-")
-    sc.setCheckpointDir(d)
-    # setCheckpointDir adds a per-application sub-folder; use what Spark reports.
-    return (sc.getCheckpointDir() or d).rstrip("/")
+    if d:
+        return d.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    d = tempfile.mkdtemp(prefix="ledgerlint-")
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        # setCheckpointDir adds a per-application sub-folder; use what Spark reports.
+        return (sc.getCheckpointDir() or d).rstrip("/")
+    spark.conf.set("spark.checkpoint.dir", d)
+    return d
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -328,7 +328,7 @@ def _quality_metrics_sql(src: str, cols_types) -> str:
         e = f"count_if({c} = '')" if is_str else "0"
         w = f"count_if(regexp_matches({c}, '^[ \\t\\n\\x0B\\f\\r]+$'))" if is_str else "0"
         parts.append(
-            f"SELECT {q(c)} AS \"column\", count({c}) AS total, count_if({c} IS NULL) AS null_count, "
+            f"SELECT {q(c)} AS \"column\", count({c}) AS total, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
             f"count(DISTINCT CAST({c} AS VARCHAR)) AS distinct_values, CAST({e} AS BIGINT) AS empty_strings, "
             f"CAST({w} AS BIGINT) AS whitespace_only, count(*) AS _rows FROM {src}"
         )
@@ -362,7 +362,7 @@ def _business_rules_sql(src: str) -> str:
         ("invalid_card_last_four", "NOT regexp_matches(card_last_four, '^[0-9]{4}$')"),
     ]
     return " UNION ALL ".join(
-        f"SELECT {q(r)} AS rule, count_if({cond}) AS violations, "
+        f"SELECT {q(r)} AS rule, CAST(count_if({cond}) AS BIGINT) AS violations, "
         f"CAST(count_if({cond}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS violation_pct FROM {src}"
         for r, cond in rules
     )
@@ -482,7 +482,7 @@ WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(42
 
     # quality reports
     o["null_profile"] = B + " UNION ALL ".join(
-        f"SELECT {q(c)} AS \"column\", count_if({c} IS NULL) AS null_count, "
+        f"SELECT {q(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
         f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM clean"
         for c in CLEAN_NAMES
     )
@@ -522,7 +522,7 @@ FROM ({_business_rules_sql('clean')})"""
               ("o_orderdate", False), ("o_orderpriority", True)]
     customer = [("c_custkey", False), ("c_name", True), ("c_nationkey", False), ("c_acctbal", False), ("c_mktsegment", True)]
     o["null_profile_lineitem"] = " UNION ALL ".join(
-        f"SELECT {q(c)} AS \"column\", count_if({c} IS NULL) AS null_count, "
+        f"SELECT {q(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
         f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM lineitem"
         for c, _ in li
     )

@@ -50,6 +50,24 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_mismatches(spark_dtypes, con, sql):
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    st = dict(spark_dtypes)
+    return [(c, st.get(c), duck_types.get(c)) for c in sorted(set(st) | set(duck_types))
+            if SPARK_TO_DUCK.get(st.get(c), st.get(c)) != duck_types.get(c)]
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [tuple(norm(r[i]) for i in order) for r in rows], sorted(columns)
@@ -92,10 +110,13 @@ def compare(spark, sf_dir: str, keys=None, verbose=True):
         ok_n = len(s_rows) == len(d_rows)
         cs, cd = Counter(s_rows), Counter(d_rows)
         ok_v = cs == cd
-        results[k] = ("ok" if (ok_cols and ok_n and ok_v) else "mismatch", len(s_rows), len(d_rows))
+        bad_types = type_mismatches(df.dtypes, con, sql[k])
+        ok = ok_cols and ok_n and ok_v and not bad_types
+        results[k] = ("ok" if ok else "mismatch", len(s_rows), len(d_rows), bad_types)
         if verbose:
             status = "OK " if results[k][0] == "ok" else "BAD"
-            print(f"{k:24s} {status} spark={len(s_rows)} duck={len(d_rows)} cols={'ok' if ok_cols else (s_cols, d_cols)} {t_spark:.1f}s")
+            print(f"{k:24s} {status} spark={len(s_rows)} duck={len(d_rows)} cols={'ok' if ok_cols else (s_cols, d_cols)} "
+                  f"types={bad_types or 'ok'} {t_spark:.1f}s")
             if not ok_v and ok_cols:
                 only_s = list((cs - cd).elements())[:5]
                 only_d = list((cd - cs).elements())[:5]

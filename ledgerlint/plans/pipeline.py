@@ -10,10 +10,13 @@ Steps whose input columns are missing are skipped (and listed by
 
 from __future__ import annotations
 
+import dataclasses
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import SparkContext
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +113,23 @@ def plan_steps(columns: Sequence[str], options: Options = Options()) -> tuple[li
     return applied, skipped
 
 
+# Cleaner expressions name only their input columns, so the same Column
+# objects serve every DataFrame of a SparkContext.  Building them costs a few
+# thousand py4j calls (literal maps, higher-order functions), so they are
+# built once per context and options.
+_EXPR_CACHE: dict = {}
+
+
+def _expr(out: str, build: Callable[[Options], Column], options: Options) -> Column:
+    sc = SparkContext._active_spark_context
+    if sc is None or options.as_of is not None:
+        return build(options)
+    key = (id(sc), out, dataclasses.replace(options, as_of=None))
+    if key not in _EXPR_CACHE:
+        _EXPR_CACHE[key] = build(options)
+    return _EXPR_CACHE[key]
+
+
 def clean_columns(df: DataFrame, options: Options = Options()) -> DataFrame:
     """Apply every column cleaner whose inputs exist: one projection for the
     independent cleaners, a second for those reading a cleaned column (age)."""
@@ -118,7 +138,7 @@ def clean_columns(df: DataFrame, options: Options = Options()) -> DataFrame:
         exprs = {}
         for out, needs, build in steps:
             if all(n in have for n in needs):
-                exprs[out] = build(options)
+                exprs[out] = _expr(out, build, options)
             else:
                 log.warning("skipping cleaner for %s: missing %s", out, [n for n in needs if n not in have])
         df = df.withColumns(exprs)

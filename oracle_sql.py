@@ -56,19 +56,21 @@ def c_id(x):
     return f"CASE WHEN regexp_matches({strip(x)}, '^(ID|L)-[\\p{{Nd}}]{{8}}$') THEN {strip(x)} END"
 
 
-def c_gender(x):
+def c_gender(x, null_token="NULL"):
     g = f"lower({strip(x)})"
+    other = q(null_token) if null_token is not None else "NULL"
     return (
         f"CASE WHEN {x} IS NULL THEN NULL WHEN {g} IN {in_list(L.GENDER_MALE)} THEN 'Male' "
         f"WHEN {g} IN {in_list(L.GENDER_FEMALE)} THEN 'Female' "
-        f"WHEN {g} IN {in_list(L.GENDER_NON_BINARY)} THEN 'Non-binary' ELSE 'NULL' END"
+        f"WHEN {g} IN {in_list(L.GENDER_NON_BINARY)} THEN 'Non-binary' ELSE {other} END"
     )
 
 
-def c_name(x):
+def c_name(x, null_token="NULL"):
+    other = q(null_token) if null_token is not None else "NULL"
     return (
         f"CASE WHEN regexp_matches({strip(x)}, '^[a-zA-Z]+$') AND {x} NOT IN {in_list(L.EXCLUDE_FIRST + L.EXCLUDE_LAST)} "
-        f"THEN {strip(x)} ELSE 'NULL' END"
+        f"THEN {strip(x)} ELSE {other} END"
     )
 
 
@@ -115,8 +117,10 @@ def c_city(x):
     return spark_initcap(f"regexp_replace(trim({x}), '[^a-zA-Z \\t\\n\\x0B\\f\\r]', '', 'g')")
 
 
-def c_zip(x):
-    return f"CASE WHEN {x} IS NOT NULL THEN regexp_extract(regexp_replace({x}, '[^0-9]', '', 'g'), '([0-9]{{5}})', 1) END"
+def c_zip(x, empty_as_null=False):
+    z = f"regexp_extract(regexp_replace({x}, '[^0-9]', '', 'g'), '([0-9]{{5}})', 1)"
+    z = f"NULLIF({z}, '')" if empty_as_null else z
+    return f"CASE WHEN {x} IS NOT NULL THEN {z} END"
 
 
 def c_credit(x):
@@ -124,17 +128,25 @@ def c_credit(x):
     return f"TRY_CAST(CASE WHEN {x} IS NOT NULL THEN {e} END AS INTEGER)"
 
 
-def c_balance(x):
+def c_balance(x, keep_sign=False):
+    if keep_sign:
+        return f"TRY_CAST({c_amount(x, True)} AS DOUBLE)"
     e = f"regexp_extract(regexp_replace({x}, '[^0-9.]', '', 'g'), '([0-9]*\\.?[0-9]+)', 1)"
     return f"CASE WHEN {x} IS NOT NULL THEN TRY_CAST({e} AS DOUBLE) END"
 
 
-def c_amount(x):
+def c_amount(x, keep_sign=False):
+    if keep_sign:
+        kept = f"regexp_replace({x}, '[^\\p{{Nd}}.-]', '', 'g')"
+        return f"NULLIF(regexp_extract({kept}, '-?[\\p{{Nd}}]*\\.?[\\p{{Nd}}]+', 0), '')"
     kept = f"regexp_replace({x}, '[^\\p{{Nd}}.]', '', 'g')"
     return f"NULLIF(regexp_extract({kept}, '[\\p{{Nd}}]*\\.?[\\p{{Nd}}]+', 0), '')"
 
 
-def c_account_type(x):
+def c_account_type(x, intended=False):
+    if intended:
+        pairs = [(t.upper(), t) for t in L.ACCOUNT_TYPES]
+        return f"CASE WHEN {x} = 'Retail' THEN 'Business' WHEN {x} = 'Online' THEN 'Online' ELSE {case_map(f'upper({x})', pairs)} END"
     return f"CASE WHEN upper({x}) = 'CHECKING' THEN 'Checking' WHEN {x} = 'Retail' THEN 'Business' WHEN {x} = 'Online' THEN 'Online' END"
 
 
@@ -159,9 +171,10 @@ def c_category(x):
     return f"CASE WHEN {v} IN {in_list(L.MERCHANT_CATEGORIES)} THEN upper({v}[1]) || lower({v}[2:]) ELSE 'Unknown' END"
 
 
-def c_payment(x):
+def c_payment(x, intended=False):
     v = f"regexp_replace(upper({strip(x)}), '[^A-Z]', '', 'g')"
-    return f"CASE WHEN {x} IS NULL THEN NULL ELSE coalesce({case_map(v, L.PAYMENT_METHODS)}, 'Unknown') END"
+    pairs = L.PAYMENT_METHODS + (L.PAYMENT_METHODS_INTENDED_EXTRA if intended else [])
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE coalesce({case_map(v, pairs)}, 'Unknown') END"
 
 
 def c_last_four(x):
@@ -225,15 +238,19 @@ names AS (
 )"""
 
 
-def _clean_select(src: str = "kept", as_text_dates: bool = False) -> str:
-    """The typed clean table from the id-filtered rows joined to the rebuilt names."""
+def _clean_select(src: str = "kept", intended: bool = False) -> str:
+    """The typed clean table from the id-filtered rows joined to the rebuilt names.
+
+    ``intended`` switches every cleaner with an intended-behavior option to it.
+    """
+    tok = None if intended else "NULL"
     dob = c_date("r.dob")
     cols = {
         "customer_id": c_id("r.customer_id"),
-        "first_name": c_name("r.first_name"),
-        "last_name": c_name("r.last_name"),
+        "first_name": c_name("r.first_name", tok),
+        "last_name": c_name("r.last_name", tok),
         "full_name": "n.full",
-        "gender": c_gender("r.gender"),
+        "gender": c_gender("r.gender", tok),
         "dob": dob,
         "age": c_age("r.age", dob),
         "email": c_email("r.email"),
@@ -241,25 +258,25 @@ def _clean_select(src: str = "kept", as_text_dates: bool = False) -> str:
         "address": c_address("r.address"),
         "city": c_city("r.city"),
         "state": c_state("r.state"),
-        "zip_code": c_zip("r.zip_code"),
+        "zip_code": c_zip("r.zip_code", intended),
         "credit_score": c_credit("r.credit_score"),
-        "annual_income": f"TRY_CAST({c_amount('r.annual_income')} AS DOUBLE)",
+        "annual_income": f"TRY_CAST({c_amount('r.annual_income', intended)} AS DOUBLE)",
         "employment_status": c_employment("r.employment_status"),
         "account_open_date": c_date("r.account_open_date"),
-        "account_type": c_account_type("r.account_type"),
-        "account_balance": c_balance("r.account_balance"),
+        "account_type": c_account_type("r.account_type", intended),
+        "account_balance": c_balance("r.account_balance", intended),
         "transaction_id": c_id("r.transaction_id"),
         "transaction_date": c_date("r.transaction_date"),
-        "transaction_amount": f"TRY_CAST({c_amount('r.transaction_amount')} AS DOUBLE)",
+        "transaction_amount": f"TRY_CAST({c_amount('r.transaction_amount', intended)} AS DOUBLE)",
         "transaction_type": c_txn_type("r.transaction_type"),
         "merchant_name": c_merchant("r.merchant_name"),
         "merchant_category": c_category("r.merchant_category"),
-        "payment_method": c_payment("r.payment_method"),
+        "payment_method": c_payment("r.payment_method", intended),
         "card_last_four": c_last_four("r.card_last_four"),
         "card_type": c_card_type("r.card_type"),
-        "is_flagged": c_cast_bool("r.is_flagged"),
+        "is_flagged": c_bool_words("r.is_flagged") if intended else c_cast_bool("r.is_flagged"),
         "is_fraud": c_bool_words("r.is_fraud"),
-        "risk_score": f"TRY_CAST({c_amount('r.risk_score')} AS DOUBLE)",
+        "risk_score": f"TRY_CAST({c_amount('r.risk_score', intended)} AS DOUBLE)",
         "notes": c_text("r.notes"),
         "internal_comments": c_text("r.internal_comments"),
         "legacy_id": c_id("r.legacy_id"),
@@ -479,6 +496,7 @@ WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(42
 
     # the whole job
     o["clean_all"] = B + f"SELECT {cols} FROM clean"
+    o["clean_all_intended"] = B + f", clean_i AS ({_clean_select(intended=True)})\nSELECT {cols} FROM clean_i"
 
     # quality reports
     o["null_profile"] = B + " UNION ALL ".join(

@@ -272,3 +272,20 @@ def test_as_of_parameter(spark):
     a = clean_all(raw, Options(as_of=F.lit(dt.date(2020, 1, 1)))).agg(F.sum("age")).first()[0]
     b = clean_all(raw, Options(as_of=F.lit(dt.date(2030, 1, 1)))).agg(F.sum("age")).first()[0]
     assert a != b
+
+
+def test_quality_suite_reads_one_clean_copy(spark):
+    from ledgerlint.plans.quality_suite import quality_suite
+
+    raw = dirty_transactions(spark, SF_SMALL)
+    suite = quality_suite(raw)
+    clean = suite["clean"]
+    # the reports read the written copy, not the raw input
+    plan = suite["business_rules"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "orders" not in plan
+    assert sorted(map(tuple, clean.collect())) == sorted(map(tuple, clean_all(raw).collect()))
+    rules = {r["rule"]: r["violations"] for r in suite["business_rules"].collect()}
+    assert rules == {r["rule"]: r["violations"] for r in Q.business_rules(clean_all(raw)).collect()}
+    assert suite["before_after_counts"].first()["original_rows"] == raw.count()
+    for name, df in suite.items():
+        df.collect()

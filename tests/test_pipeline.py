@@ -289,3 +289,29 @@ def test_quality_suite_reads_one_clean_copy(spark):
     assert suite["before_after_counts"].first()["original_rows"] == raw.count()
     for name, df in suite.items():
         df.collect()
+
+
+def test_shuffle_join_path_gives_same_result(spark):
+    """The plan a large input gets (no broadcast joins, bucketed scans feeding the
+    name regroup, the join back and the load's anti-join) returns the same rows."""
+    raw = dirty_transactions(spark, SF_SMALL)
+    expected = sorted(map(tuple, clean_all(raw).collect()))
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        clean = clean_all(raw)
+        assert sorted(map(tuple, clean.collect())) == expected
+        plan = clean._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert "Bucketed: true" in plan
+        name, loc = _target(spark)
+        assert K.load_if_new(clean, name, CLEAN_SCHEMA, loc) == len(expected)
+        assert K.load_if_new(clean, name, CLEAN_SCHEMA, loc) == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -17,32 +17,17 @@ from pyspark.sql import DataFrame
 from ..session import fresh_path
 
 
-TARGET_BUCKET_BYTES = 256 << 20
-MAX_BUCKETS = 100_000
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the relations ``df`` reads (file sizes from the file index).
-
-    Used as the size bound of a result that never has more rows than its
-    input, such as a keep-one-row-per-key table.  (Catalyst's own estimate of
-    a join output is the product of its inputs, which is far too loose.)
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect) or no statistics
-        return None
-
-
 def bucket_count(df: DataFrame) -> int:
-    """~256 MB of input per bucket, never fewer than ``spark.sql.shuffle.partitions``
-    and never more than 100,000."""
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = input_bytes(df)
-    if not size:
-        return floor
-    return max(floor, min(MAX_BUCKETS, -(-size // TARGET_BUCKET_BYTES)))
+    """``spark.sql.shuffle.partitions``.
+
+    A result grouped by the bucket key arrives hash-partitioned into that many
+    shuffle partitions, and bucketing uses the same hash: with equal counts
+    every bucket is written by one task (AQE coalescing keeps partitions
+    whole), so the table has one file per bucket.  Any other count makes
+    every task write a file for every bucket (tasks x buckets small files).
+    Size the shuffle partitions for the data, as for any job.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def materialize(df: DataFrame, stem: str, bucket_by: Sequence[str] = (), num_buckets: int | None = None) -> DataFrame:

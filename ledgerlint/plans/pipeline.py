@@ -52,7 +52,7 @@ class Options:
     # input.  Bucketing keeps the partitioning, so the name regroup and the
     # join back need no shuffle of the wide rows.
     checkpoint_dedup: bool = True
-    num_buckets: int | None = None  # default: ~256 MB per bucket by the size estimate
+    num_buckets: int | None = None  # default: spark.sql.shuffle.partitions (see materialize.bucket_count)
 
 
 # (output column, input columns, expression builder)

@@ -34,7 +34,10 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak
     if tiebreak is None:
         return df.dropDuplicates(keys)
     rest = [c for c in df.columns if c not in keys]
-    survivor = F.min_by(F.struct(*rest), F.col(tiebreak)).alias("_row")
+    # Ordering by (tiebreak is null, tiebreak) is never null, so a key whose
+    # rows all lack a tiebreak still keeps one of them (min_by skips null orderings).
+    order = F.struct(F.col(tiebreak).isNull(), F.col(tiebreak))
+    survivor = F.min_by(F.struct(*rest), order).alias("_row")
     return df.groupBy(*keys).agg(survivor).select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(
         *df.columns
     )

@@ -40,10 +40,12 @@ def test_dedup_keeps_smallest_tiebreak_and_drops_null_keys(spark):
             {"src_row": 4, "customer_id": None, "first_name": "n"},
             {"src_row": 5, "customer_id": None, "first_name": "m"},
             {"src_row": 6, "customer_id": "ID-00000002", "first_name": "z"},
+            {"src_row": None, "customer_id": "ID-00000002", "first_name": "y"},
+            {"src_row": None, "customer_id": "ID-00000003", "first_name": "q"},
         ],
     )
     out = {r["customer_id"]: (r["src_row"], r["first_name"]) for r in R.dedup_by_key(df).collect()}
-    assert out == {"ID-00000001": (1, "a"), "ID-00000002": (6, "z")}
+    assert out == {"ID-00000001": (1, "a"), "ID-00000002": (6, "z"), "ID-00000003": (None, "q")}
 
 
 def test_dedup_hot_key_is_partially_aggregated(spark):

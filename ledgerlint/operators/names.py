@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from ..functions.lookups import EXCLUDE_FIRST, EXCLUDE_LAST, NAME_SUFFIXES
 from ..functions.text import NOT_WORD_OR_WS_RE, split_words, strip
-from .relational import name_dictionary
 
 
 def name_roles(first_dict: DataFrame, last_dict: DataFrame) -> DataFrame:
@@ -44,17 +43,22 @@ def name_roles(first_dict: DataFrame, last_dict: DataFrame) -> DataFrame:
 
 def rebuild_full_name(
     df: DataFrame,
-    first_dict: DataFrame,
-    last_dict: DataFrame,
+    first_dict: DataFrame | None,
+    last_dict: DataFrame | None,
     key: str,
     column: str = "full_name",
+    roles: DataFrame | None = None,
 ) -> DataFrame:
-    """Replace ``column`` of ``df`` by the rebuilt name; ``key`` must be unique per row."""
+    """Replace ``column`` of ``df`` by the rebuilt name; ``key`` must be unique per row.
+
+    Either the two dictionaries (one ``name`` column each) or a ready role
+    table (``token``, ``role``) is given."""
     words = split_words(F.regexp_replace(F.col(column), NOT_WORD_OR_WS_RE, " "))
     tokens = df.select(F.col(key).alias("_k"), F.posexplode(words).alias("pos", "tok")).withColumn(
         "low", F.lower("tok")
     )
-    roles = name_roles(first_dict, last_dict)
+    if roles is None:
+        roles = name_roles(first_dict, last_dict)
     tagged = tokens.join(roles, tokens["low"] == roles["token"], "left").select(
         "_k",
         "pos",
@@ -81,6 +85,18 @@ def rebuild_full_name(
     return out.select(*[F.col("_full").alias(column) if c == column else df[c] for c in df.columns])
 
 
+def roles_from_rows(dedup: DataFrame) -> DataFrame:
+    """The role table straight from the rows holding the names: one scan of the
+    two name columns and one partially aggregated group-by (instead of two
+    dictionaries, a union and a third aggregate)."""
+    pair = lambda c, code: F.struct(F.lower(c).alias("token"), F.lit(code).alias("code"))
+    pairs = dedup.select(F.explode(F.array(pair("first_name", 1), pair("last_name", 2))).alias("p")).select("p.*")
+    t, code = F.col("token"), F.col("code")
+    keep = t.isNotNull() & ~((code == 1) & t.isin(EXCLUDE_FIRST)) & ~((code == 2) & t.isin(EXCLUDE_LAST))
+    best = pairs.filter(keep).groupBy("token").agg(F.min("code").alias("code"))
+    return best.select("token", F.when(F.col("code") == 1, "F").otherwise("L").alias("role"))
+
+
 def full_name_from_dedup(df: DataFrame, dedup: DataFrame, key: str) -> DataFrame:
     """C4 with dictionaries taken from the deduplicated frame (R14), as the job does."""
-    return rebuild_full_name(df, name_dictionary(dedup, "first_name"), name_dictionary(dedup, "last_name"), key)
+    return rebuild_full_name(df, None, None, key, roles=roles_from_rows(dedup))

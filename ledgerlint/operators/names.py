@@ -48,18 +48,30 @@ def rebuild_full_name(
     key: str,
     column: str = "full_name",
     roles: DataFrame | None = None,
+    salt: int = 1,
 ) -> DataFrame:
     """Replace ``column`` of ``df`` by the rebuilt name; ``key`` must be unique per row.
 
     Either the two dictionaries (one ``name`` column each) or a ready role
-    table (``token``, ``role``) is given."""
+    table (``token``, ``role``) is given.
+
+    ``salt`` > 1 spreads every token over that many join partitions: a token
+    row gets salt ``hash(key, pos) mod salt`` and the role table is repeated
+    once per salt value, so one very frequent name cannot fill a single task
+    even where AQE's skew handling is off.  The result does not depend on it."""
     words = split_words(F.regexp_replace(F.col(column), NOT_WORD_OR_WS_RE, " "))
     tokens = df.select(F.col(key).alias("_k"), F.posexplode(words).alias("pos", "tok")).withColumn(
         "low", F.lower("tok")
     )
     if roles is None:
         roles = name_roles(first_dict, last_dict)
-    tagged = tokens.join(roles, tokens["low"] == roles["token"], "left").select(
+    if salt > 1:
+        tokens = tokens.withColumn("_salt", F.pmod(F.hash("_k", "pos"), F.lit(salt)))
+        roles = roles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        cond = (tokens["low"] == roles["token"]) & (tokens["_salt"] == roles["_salt"])
+    else:
+        cond = tokens["low"] == roles["token"]
+    tagged = tokens.join(roles, cond, "left").select(
         "_k",
         "pos",
         "tok",
@@ -97,6 +109,6 @@ def roles_from_rows(dedup: DataFrame) -> DataFrame:
     return best.select("token", F.when(F.col("code") == 1, "F").otherwise("L").alias("role"))
 
 
-def full_name_from_dedup(df: DataFrame, dedup: DataFrame, key: str) -> DataFrame:
+def full_name_from_dedup(df: DataFrame, dedup: DataFrame, key: str, salt: int = 1) -> DataFrame:
     """C4 with dictionaries taken from the deduplicated frame (R14), as the job does."""
-    return rebuild_full_name(df, None, None, key, roles=roles_from_rows(dedup))
+    return rebuild_full_name(df, None, None, key, roles=roles_from_rows(dedup), salt=salt)

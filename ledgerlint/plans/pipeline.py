@@ -53,6 +53,9 @@ class Options:
     # join back need no shuffle of the wide rows.
     checkpoint_dedup: bool = True
     num_buckets: int | None = None  # default: spark.sql.shuffle.partitions (see materialize.bucket_count)
+    # >1: salt the token-to-name join so one very frequent name is spread over
+    # that many tasks without relying on AQE's skew-join splitting.
+    name_salt: int = 1
 
 
 # (output column, input columns, expression builder)
@@ -161,7 +164,7 @@ def clean_untyped(raw: DataFrame, options: Options = Options()) -> DataFrame:
     have = set(dedup.columns)
     kept = id_filter(dedup, [c for c in ("customer_id", "transaction_id") if c in have])
     if {"full_name", "first_name", "last_name", "customer_id"} <= have:
-        kept = full_name_from_dedup(kept, dedup, key="customer_id")
+        kept = full_name_from_dedup(kept, dedup, key="customer_id", salt=options.name_salt)
     kept = drop_columns(kept, DROPPED_COLUMNS)
     cleaned = clean_columns(kept, options)
     if options.drop_empty_rows:

@@ -317,3 +317,10 @@ def test_shuffle_join_path_gives_same_result(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_name_join_gives_same_result(spark):
+    raw = dirty_transactions(spark, SF_SMALL)
+    plain = sorted(map(tuple, clean_all(raw).collect()))
+    salted = sorted(map(tuple, clean_all(raw, Options(name_salt=7)).collect()))
+    assert salted == plain

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,7 +68,3 @@ def ensure_shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared folder."""
     return f"{ensure_shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(p: str) -> bool:
-    return p.startswith("file:") or p.startswith("/") or os.path.isabs(p)

@@ -7,7 +7,6 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from conftest import SF_SMALL
 from ledgerlint import Options, clean_all, clean_untyped

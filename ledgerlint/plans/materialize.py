@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame
 
 from ..session import fresh_path
 
+# (table name or None, location) of everything written, in order, so a job can
+# drop its own intermediates when it is done (see ``drop_since``).
+_WRITTEN: list[tuple[str | None, str]] = []
+
 
 def bucket_count(df: DataFrame) -> int:
     """``spark.sql.shuffle.partitions``.
@@ -35,8 +39,30 @@ def materialize(df: DataFrame, stem: str, bucket_by: Sequence[str] = (), num_buc
     path = fresh_path(spark, stem)
     if not bucket_by:
         df.write.parquet(path)
+        _WRITTEN.append((None, path))
         return spark.read.parquet(path)
     n = num_buckets or bucket_count(df)
     name = f"{stem}_{uuid.uuid4().hex}"
     df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).saveAsTable(name)
+    _WRITTEN.append((name, path))
     return spark.table(name)
+
+
+def written_mark() -> int:
+    return len(_WRITTEN)
+
+
+def drop_since(spark, mark: int) -> None:
+    """Drop the tables and delete the folders written after ``mark``.
+
+    Only for intermediates no DataFrame will read again.  Uses the Hadoop
+    FileSystem of each path, so it works on any shared store.
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    while len(_WRITTEN) > mark:
+        name, path = _WRITTEN.pop()
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)

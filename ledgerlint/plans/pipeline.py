@@ -25,7 +25,7 @@ from ..operators.names import full_name_from_dedup
 from ..operators.quality import checkpoint
 from ..operators.relational import dedup_by_key, drop_columns, drop_empty_rows, id_filter, typed_cast
 from ..schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DROPPED_COLUMNS, KEY_COLUMNS
-from .materialize import materialize
+from .materialize import drop_since, materialize, written_mark
 from ..sources.target import load_if_new
 
 log = logging.getLogger(__name__)
@@ -177,16 +177,29 @@ def clean_all(raw: DataFrame, options: Options = Options()) -> DataFrame:
     return typed_cast(clean_untyped(raw, options), CLEAN_COLUMNS)
 
 
-def run_job(raw: DataFrame, target: str, location: str | None = None, options: Options = Options()) -> int:
+def run_job(
+    raw: DataFrame,
+    target: str,
+    location: str | None = None,
+    options: Options = Options(),
+    keep_intermediates: bool = False,
+) -> int:
     """The whole job: clean, stop if nothing is left, load rows not yet stored.
 
     The clean table is written once to the shared folder
     (``spark.checkpoint.dir``); the mid-pipeline check and the load both read
     that copy, so the raw input is processed once and a lost executor does not
-    send the load back to the raw files.  Returns the number of rows appended.
+    send the load back to the raw files.  The written intermediates (this copy
+    and the one-row-per-customer table) are deleted once the load has
+    committed, unless ``keep_intermediates``.  Returns the number of rows appended.
     """
-    clean = materialize(clean_all(raw, options), "clean")
-    report = checkpoint(clean).collect()  # raises on an empty result
-    for r in report:
-        (log.warning if r["status"] == "warning" else log.info)("null share of %s: %.2f%%", r["column"], r["null_pct"] or 0.0)
-    return load_if_new(clean, target, CLEAN_SCHEMA, location)
+    mark = written_mark()
+    try:
+        clean = materialize(clean_all(raw, options), "clean")
+        report = checkpoint(clean).collect()  # raises on an empty result
+        for r in report:
+            (log.warning if r["status"] == "warning" else log.info)("null share of %s: %.2f%%", r["column"], r["null_pct"] or 0.0)
+        return load_if_new(clean, target, CLEAN_SCHEMA, location)
+    finally:
+        if not keep_intermediates:
+            drop_since(raw.sparkSession, mark)

@@ -323,3 +323,19 @@ def test_salted_name_join_gives_same_result(spark):
     plain = sorted(map(tuple, clean_all(raw).collect()))
     salted = sorted(map(tuple, clean_all(raw, Options(name_salt=7)).collect()))
     assert salted == plain
+
+
+def test_run_job_removes_its_intermediates(spark):
+    import os
+
+    from ledgerlint.plans import materialize as M
+
+    name, loc = _target(spark)
+    before = M.written_mark()
+    shared = fresh_path(spark, "x").rsplit("/", 1)[0]
+    listing = lambda: {p for p in os.listdir(shared.removeprefix("file:")) if p.startswith(("dedup-", "clean-"))}
+    existing = listing()
+    n = run_job(dirty_transactions(spark, SF_SMALL), name, loc)
+    assert n > 0 and spark.table(name).count() == n
+    assert M.written_mark() == before
+    assert listing() == existing

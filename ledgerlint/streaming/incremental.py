@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.materialize import drop_since, written_mark
 from ..plans.pipeline import Options, clean_all
 from ..schema import CLEAN_SCHEMA, RAW_SCHEMA
 from ..sources.target import load_if_new
@@ -41,7 +42,12 @@ def incremental_load(
     stream = reader.csv(source_dir)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        load_if_new(clean_all(batch, options), target, CLEAN_SCHEMA, location, keys=keys)
+        # the batch's one-row-per-key table is removed once its rows are loaded
+        mark = written_mark()
+        try:
+            load_if_new(clean_all(batch, options), target, CLEAN_SCHEMA, location, keys=keys)
+        finally:
+            drop_since(batch.sparkSession, mark)
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

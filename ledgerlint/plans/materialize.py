@@ -9,6 +9,7 @@ and joins on that key need no new shuffle of this side.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -17,8 +18,16 @@ from pyspark.sql import DataFrame
 from ..session import fresh_path
 
 # (table name or None, location) of everything written, in order, so a job can
-# drop its own intermediates when it is done (see ``drop_since``).
-_WRITTEN: list[tuple[str | None, str]] = []
+# drop its own intermediates when it is done (see ``drop_since``).  Kept per
+# thread: a streaming query's batches and other driver threads never see, or
+# drop, each other's entries.
+_LOCAL = threading.local()
+
+
+def _written() -> list[tuple[str | None, str]]:
+    if not hasattr(_LOCAL, "items"):
+        _LOCAL.items = []
+    return _LOCAL.items
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -39,17 +48,17 @@ def materialize(df: DataFrame, stem: str, bucket_by: Sequence[str] = (), num_buc
     path = fresh_path(spark, stem)
     if not bucket_by:
         df.write.parquet(path)
-        _WRITTEN.append((None, path))
+        _written().append((None, path))
         return spark.read.parquet(path)
     n = num_buckets or bucket_count(df)
     name = f"{stem}_{uuid.uuid4().hex}"
     df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).saveAsTable(name)
-    _WRITTEN.append((name, path))
+    _written().append((name, path))
     return spark.table(name)
 
 
 def written_mark() -> int:
-    return len(_WRITTEN)
+    return len(_written())
 
 
 def drop_since(spark, mark: int) -> None:
@@ -60,8 +69,9 @@ def drop_since(spark, mark: int) -> None:
     """
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
-    while len(_WRITTEN) > mark:
-        name, path = _WRITTEN.pop()
+    items = _written()
+    while len(items) > mark:
+        name, path = items.pop()
         if name:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         p = jvm.org.apache.hadoop.fs.Path(path)

@@ -253,6 +253,7 @@ def queries() -> dict[str, Query]:
         "null_profile": lambda s, d: Q.null_profile(_clean(s, d)),
         "before_after_counts": q_before_after,
         "quality_metrics": lambda s, d: Q.quality_metrics(_clean(s, d)),
+        "quality_metrics_intended": lambda s, d: Q.quality_metrics(_clean(s, d), intended=True),
         "quality_flags": lambda s, d: Q.quality_flags(Q.quality_metrics(_clean(s, d))),
         "business_rules": lambda s, d: Q.business_rules(_clean(s, d)),
         "rule_summary": lambda s, d: Q.rule_summary(Q.business_rules(_clean(s, d))),

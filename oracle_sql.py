@@ -339,7 +339,7 @@ def _describe(src: str, cols, side: str, text: bool) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _quality_metrics_sql(src: str, cols_types) -> str:
+def _quality_metrics_sql(src: str, cols_types, intended: bool = False) -> str:
     parts = []
     for c, is_str in cols_types:
         e = f"count_if({c} = '')" if is_str else "0"
@@ -350,7 +350,7 @@ def _quality_metrics_sql(src: str, cols_types) -> str:
             f"CAST({w} AS BIGINT) AS whitespace_only, count(*) AS _rows FROM {src}"
         )
     u = " UNION ALL ".join(parts)
-    valid = "(total - null_count - empty_strings - whitespace_only)"
+    valid = "(total - empty_strings - whitespace_only)" if intended else "(total - null_count - empty_strings - whitespace_only)"
     return f"""SELECT "column", total, null_count, distinct_values, empty_strings, whitespace_only,
   {valid} AS valid,
   CAST({valid} AS DOUBLE) / CAST(_rows AS DOUBLE) * 100.0 AS completeness,
@@ -509,6 +509,9 @@ WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(42
 FROM (SELECT count(*) AS n FROM raw) o, (SELECT count(*) AS n FROM clean) c"""
     qm = _quality_metrics_sql("clean", [(c, c in CLEAN_STRING_COLS) for c in CLEAN_NAMES])
     o["quality_metrics"] = B + qm
+    o["quality_metrics_intended"] = B + _quality_metrics_sql(
+        "clean", [(c, c in CLEAN_STRING_COLS) for c in CLEAN_NAMES], intended=True
+    )
     o["quality_flags"] = B + f""", m AS ({qm})
 SELECT "column", 'completeness' AS "check", completeness AS value FROM m WHERE completeness < 90
 UNION ALL

@@ -251,6 +251,7 @@ def queries() -> dict[str, Query]:
         "clean_all_intended": lambda s, d: clean_all(_raw(s, d), INTENDED),
         # quality reports on the clean table
         "null_profile": lambda s, d: Q.null_profile(_clean(s, d)),
+        "null_columns": lambda s, d: Q.null_profile(_clean(s, d), nonzero_only=True),
         "before_after_counts": q_before_after,
         "quality_metrics": lambda s, d: Q.quality_metrics(_clean(s, d)),
         "quality_metrics_intended": lambda s, d: Q.quality_metrics(_clean(s, d), intended=True),

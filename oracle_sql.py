@@ -504,6 +504,11 @@ WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(42
         f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM clean"
         for c in CLEAN_NAMES
     )
+    o["null_columns"] = B + "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT {q(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
+        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM clean"
+        for c in CLEAN_NAMES
+    ) + ") WHERE null_count > 0"
     o["before_after_counts"] = B + """SELECT o.n AS original_rows, c.n AS cleaned_rows, o.n - c.n AS difference,
   CAST(o.n - c.n AS DOUBLE) / CAST(o.n AS DOUBLE) * 100.0 AS difference_pct
 FROM (SELECT count(*) AS n FROM raw) o, (SELECT count(*) AS n FROM clean) c"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlint.session import fresh_path
@@ -129,3 +129,24 @@ def slices(texts: list[bytes], max_bytes: int = 4 << 20):
         total += len(t)
     if lo < len(texts):
         yield lo, len(texts)
+
+
+def running_offsets(df: DataFrame, group: list[str], order: list[str], n_rows: int, size: Column | None = None, out: str = "offset") -> DataFrame:
+    """Add ``out``: the sum of ``size`` (default 1) over the rows of the same group that come before.
+
+    The order is fixed by the values in ``order``.  Groups of any size are dealt
+    into small hash buckets; only the buckets' sums are summed up in turn, so no
+    task sees a whole group.  Group columns must not be null.
+    """
+    size = F.lit(1).cast("long") if size is None else size
+    n = max(1, -(-n_rows // 400))
+    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(n))).withColumn("_size", size)
+    before = lambda keys, by: Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    run = lambda value, keys, by: F.coalesce(F.sum(value).over(before(keys, by)), F.lit(0)).cast("long")
+    sums = rows.groupBy(*group, "_bucket").agg(F.sum("_size").alias("_sum")).withColumn("_block", F.floor(F.col("_bucket") / 512))
+    blocks = sums.groupBy(*group, "_block").agg(F.sum("_sum").alias("_sum"))
+    blocks = blocks.select(*group, "_block", run("_sum", group, ["_block"]).alias("_block_offset"))
+    sums = sums.select(*group, "_block", "_bucket", run("_sum", [*group, "_block"], ["_bucket"]).alias("_bucket_offset"))
+    starts = sums.join(blocks, [*group, "_block"]).select(*group, "_bucket", (F.col("_block_offset") + F.col("_bucket_offset")).alias("_start"))
+    local = rows.withColumn("_local", run("_size", [*group, "_bucket"], order))
+    return local.join(starts, [*group, "_bucket"]).withColumn(out, F.col("_start") + F.col("_local")).drop("_bucket", "_size", "_start", "_local")

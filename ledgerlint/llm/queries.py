@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlint.llm import exact_dedup
+from ledgerlint.llm import exact_dedup, langid, mixing, packing
 from ledgerlint.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(read(spark, sf_dir, "documents"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(read(spark, sf_dir, "documents"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(read(spark, sf_dir, "documents"))
+
+
 OP9_SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
@@ -24,9 +33,19 @@ WINDOW w AS (PARTITION BY body)
 """
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    found = langid.predict(docs, langid.fit(docs.filter(~out)))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op5_mix_sources": op5_mix_sources,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_language_id": op10_language_id,
     }
 
 

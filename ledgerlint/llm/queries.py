@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlint.llm import exact_dedup, langid, mixing, packing
+from ledgerlint.llm import exact_dedup, fingerprint, langid, mixing, ngram_jaccard, packing, substring
 from ledgerlint.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(read(spark, sf_dir, "documents"))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.classes(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
@@ -25,6 +29,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_edits(read(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(read(spark, sf_dir, "documents")).drop("kept_text")
+
+
 OP9_SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
@@ -42,8 +54,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op5_mix_sources": op5_mix_sources,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_fingerprints": op7_fingerprints,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_language_id": op10_language_id,
     }

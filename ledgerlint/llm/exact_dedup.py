@@ -141,11 +141,13 @@ def assign(docs: DataFrame, id: str = "doc_id", text: str = "text", max_filter_b
         F.lit(True).alias("kept"),
         _sha(F.col("body")).alias("text_sha256"),
     )
-    # Narrow rows only; the counts before each shuffle make a large group cheap.
+    # Narrow rows only; the counts before each shuffle make a large group cheap.  The join has a key more than
+    # the counts, hence a shuffle of its own, whose large partitions adaptive execution splits.
     per_id = flagged.filter("maybe").groupBy(_sha(F.col("body")).alias("text_sha256"), "doc_id").agg(F.count(F.lit(1)).alias("n"))
     group = per_id.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size"))
     repeated = (
-        per_id.join(group, "text_sha256")
+        per_id.withColumn("more", F.crc32("text_sha256"))
+        .join(group.withColumn("more", F.crc32("text_sha256")), ["text_sha256", "more"])
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
         .select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
     )

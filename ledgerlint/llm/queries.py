@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlint.llm import exact_dedup, fingerprint, langid, mixing, ngram_jaccard, packing, substring
+from ledgerlint.llm import exact_dedup, fingerprint, langid, licenses, mixing, ngram_jaccard, packing, pii, substring, url_filter
 from ledgerlint.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,18 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.classes(read(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detected(read(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(read(spark, sf_dir, "pages"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
@@ -44,6 +56,18 @@ FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)
 WINDOW w AS (PARTITION BY body)
 """
 
+OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT r, ws, unnest(generate_series(1, len(ws) - 34)) AS s FROM d WHERE len(ws) >= 35),
+k AS (SELECT r, s, md5(array_to_string(ws[s:s + 34], ' ')) AS k FROM p),
+c AS (SELECT r, s, count(*) OVER (PARTITION BY k) AS n FROM k),
+gone AS (SELECT DISTINCT r, unnest(generate_series(s, s + 34)) AS w FROM c WHERE n > 1),
+words AS (SELECT r, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS w FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY w) AS body, count(*) AS n FROM words ANTI JOIN gone USING (r, w) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -55,6 +79,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_pii": op2_pii,
+        "op3_url_filter": op3_url_filter,
+        "op4_license_scan": op4_license_scan,
         "op5_mix_sources": op5_mix_sources,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_fingerprints": op7_fingerprints,
@@ -66,5 +93,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_substring_dedup": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
     }

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline as C
+from ledgerlint.llm import mixing
+from ledgerlint.llm.common import written
+
+from test_ngram_jaccard import shingles
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in C.STAGES:
+        out.append(written(stage(spark, out[-1], SF), "test-" + name.replace(" ", "-")))
+    return out
+
+
+def test_columns(stages):
+    for s in stages[1:-1]:
+        assert s.dtypes == stages[0].dtypes
+
+
+def test_language_id_keeps_texts_with_letters(stages):
+    before, after = (Counter(r.doc_id for r in s.collect() if re.search(r"[^\W\d_]", r.text or "")) for s in stages[:2])
+    assert sum((before - after).values()) <= 2 and stages[1].count() == sum(after.values())
+
+
+def test_exact_copies(stages):
+    last = {}
+    for r in stages[1].collect():
+        last[r.text] = max(r.doc_id, last.get(r.text, -1))
+    assert Counter(r.doc_id for r in stages[2].collect()) == Counter(last.values())
+
+
+def test_near_copies(stages):
+    rows = sorted((r.doc_id, shingles(r.text)) for r in stages[2].collect())
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, (i, a) in enumerate(rows):
+        for k, b in rows[:n]:
+            if a == b or (a and b and len(a & b) >= 0.8 * len(a | b)):
+                x, y = sorted((find(i), find(k)))
+                root[y] = x
+    assert Counter(r.doc_id for r in stages[3].collect()) == Counter(i for i in root if find(i) == i)
+
+
+def test_mix(stages):
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes, got = Counter(), Counter()
+    texts = {r.doc_id: r.text for r in stages[3].collect()}
+    for r in stages[3].collect():
+        sizes[r.source] += size(r.text)
+    taken = Counter()
+    for r in stages[4].collect():
+        got[r.source] += size(r.text)
+        taken[r.doc_id] += size(r.text)
+        assert r.n_chars == len(r.text)
+    names = sorted(sizes)
+    want = mixing.water_fill([sizes[s] for s in names], [(5, 2, 1)[k % 3] for k in range(len(names))], 1.5 * sum(sizes.values()), 2)
+    for s, t in zip(names, want):
+        assert abs(got[s] - t) <= 2 * mixing.BLOCK
+    assert all(n <= 2 * size(texts[i]) for i, n in taken.items())
+
+
+def test_packing(stages):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for r in stages[4].collect():
+        ids = np.array(t.encode(r.text, add_special_tokens=False).ids + [2], "<u4")
+        first = len(ids) % 1024 or 1024
+        at = [0, *range(first, len(ids) + 1, 1024)]
+        for k, (a, b) in enumerate(zip(at, at[1:])):
+            want[(r.doc_id, k, a, b - a, crc32(ids[a:b].tobytes()))] += 1
+    assert Counter(tuple(r)[:5] for r in stages[5].collect()) == want
+
+
+def test_run_returns_the_last_stage(spark):
+    got = C.run(spark, SF)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 200

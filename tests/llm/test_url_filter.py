@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+from urllib.parse import urljoin
+
+from pyspark.sql import functions as F
+
+from ledgerlint.llm import url_filter as U
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+    host, rest = rest[:cut], rest[cut:].split("#", 1)[0]
+    path, _, query = rest.partition("?")
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path, query and "?" + query
+
+
+def rule(host, path):
+    fits = [(len(h + p), h + p, v) for v, h, p in U.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def brute(pages, edges):
+    """Verdicts by search over the graph, one page at a time."""
+    node = lambda u: (parts(u)[0], parts(u)[1] or "/", parts(u)[2])
+    near, own = defaultdict(set), {}
+    for a, b in edges:
+        if parts(a)[0] and parts(b)[0]:
+            near[node(a)].add(node(b))
+            near[node(b)].add(node(a))
+            own.setdefault(node(a), set()).add(rule(*parts(a)[:2])[1])
+            own.setdefault(node(b), set()).add(rule(*parts(b)[:2])[1])
+    out = Counter()
+    for i, u in pages:
+        h, p, _ = parts(u)
+        r, v = rule(h, p)
+        if v is None:
+            seen, todo = set(), [node(u)] if h else []
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += near[x]
+            found = {o for x in seen for o in own.get(x, ())}
+            v = "allow" if "allow" in found or "block" not in found else "block"
+        out[(i, h, p, r, v)] += 1
+    return out
+
+
+def test_rules_and_parts(spark):
+    urls = [None, "", "no scheme", "http://", "HTTP://Example.NET", "http://example.net/", "http://a.example.net/en/x", "http://b.example.com/de/1?x#y", "http://example.com/de", "http://q.org/fr/#a", "https://ORG/fr/",
+            "http://notnet/x", "http://x.net?q=/en/", "http://u@h.net:80/p", "a://b://c.net/d", "http://ÄX.net/é", "http://example.com/x\n/de/", "http://host#f", "http://example.net/en//", "x" * 100_000 + "://a.net/"]
+    docs = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], SCHEMA).withColumns({c: F.lit(1) for c in ("host", "path", "rule", "verdict", "node", "own", "root")})
+    got = Counter(tuple(r) for r in U.judged(docs).collect())
+    assert got == brute(list(enumerate(urls)), [])
+
+
+def test_links(spark):
+    html = ["""<LINK href='/a b' Rel="CANONICAL">""", '<link rel=canonical href=http://x.org/q>', """<meta content="0; URL='http://y.net/z'" http-equiv="Refresh">""", '<link rel="stylesheet" href="/canonical.css">', "<a rel=canonical href=/x>", None, "", '<link rel="canonical">' , '<link data-rel="canonical" href="/no"><link rel="canonical" href="p?q#f">']
+    df = spark.createDataFrame([(i, "http://h.org/d/e", x) for i, x in enumerate(html)], SCHEMA)
+    got = {(r.page_id, r.target) for r in df.select("page_id", F.explode(U.links_of(F.col("html"))).alias("link"), "url").select("page_id", U._absolute(F.col("link"), F.col("url")).alias("target")).collect()}
+    assert got == {(0, "http://h.org/a b"), (1, "http://x.org/q"), (2, "http://y.net/z"), (7, "http://h.org/d/e"), (8, "http://h.org/d/p?q#f")}
+
+
+def test_aliases_against_search(spark):
+    rng = random.Random(6)
+    hosts = ["a.example.net", "b.example.com", "c.org", "d.info", "e.info", "F.info"]
+    url = lambda: f"http{rng.choice(['', 's'])}://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr', 'x'])}/{rng.randrange(40)}{rng.choice(['', '#f', '?q=1'])}"
+    pages, edges, rows = [], [], []
+    for i in range(300):
+        u = url()
+        links = [rng.choice([url(), f"/de/{rng.randrange(40)}", f"{rng.randrange(40)}"]) for _ in range(rng.choice([0, 0, 1, 1, 2]))]
+        edges += [(u, urljoin(u, k)) for k in links]
+        rows.append((i, u, "<html>" + "".join(rng.choice([f'<link rel="canonical" href="{k}">', f'<meta http-equiv="refresh" content="5;url={k}">']) for k in links)))
+        pages.append((i, u))
+    more = [(url(), url()) for _ in range(20)] + [(None, url()), ("x", "y")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = Counter(tuple(r) for r in U.judged(df, redirects=spark.createDataFrame(more, "source string, target string")).collect())
+    assert got == brute(pages, edges + [e for e in more if e[0]])
+    assert len({r[4] for r in got if r[3] is None}) == 2
+
+
+def test_empty(spark):
+    assert U.judged(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -29,14 +29,15 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import written
+from ledgerlint.llm.common import mix64, written
 
 UNKNOWN = "und"
 MAX_TRAIN_ROWS = 8_000
@@ -46,7 +47,7 @@ MIN_SCORE = 0.5
 MAX_WORD = 32
 UNCOVERED = 1e-7  # probability of a character outside the vocabulary
 SMOOTHING = 0.1  # added to every piece's expected count
-CACHED_WORDS = 400_000  # words whose scores a task keeps; only speed depends on it
+CACHED_WORDS = 700_000  # words whose scores a task keeps; only speed depends on it
 SCALE = 1024.0  # by which sums grow with each character, to stay in range
 MARK = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -74,56 +75,94 @@ def _parts(word: str) -> list[str]:
 class Model:
     """Piece probabilities: row ``index[piece]`` of ``probs`` has a column for each language.
 
-    Two more rows stand for an uncovered character and for no piece at all.
+    One more row stands for an uncovered character.
     """
 
     langs: list[str]
     index: dict[str, int]
     probs: np.ndarray
-    longest: int = field(init=False)
 
     def __post_init__(self):
-        self.longest = max(map(len, self.index), default=1)
-
-    def pieces(self, parts: list[str]) -> np.ndarray:
-        """For parts of one length: [part, end, length] to the row of the piece of that length ending there."""
-        n, size = len(parts), len(parts[0])
-        none, uncovered, most = len(self.index) + 1, len(self.index), min(size, self.longest)
-        find = self.index.get
-        rows = [
-            [find(p[end - k : end], none) if k <= end else none for k in range(1, most + 1)]
-            for p in parts
-            for end in range(1, size + 1)
-        ]
-        out = np.array(rows, np.int32).reshape(n, size, most)
-        out[..., 0][out[..., 0] == none] = uncovered
+        # The pieces by a hash of their characters, sorted, and a bitmap that tells most strings that are no piece.
+        pieces = sorted(self.index.items(), key=lambda x: len(x[0]))
+        keys = [np.zeros(0, np.uint64)]
+        for size in sorted({len(p) for p, _ in pieces}):
+            keys.append(_string_hashes(_codes([p for p, _ in pieces if len(p) == size]), size)[:, 0])
+        every = np.concatenate(keys)
+        order = np.argsort(every)
+        self.keys, self.ids = every[order], np.array([i for _, i in pieces], np.int64)[order]
+        self.longest = max((len(p) for p, _ in pieces), default=1)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(every >> np.uint64(44)).astype(np.int64)] = True
+
+    def segments(self, parts: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For parts of one length: (end, length, numbers of the parts that have a piece there, its row), by end."""
+        size = len(parts[0])
+        codes = _codes(parts)
+        found = {}
+        for k in range(1, min(size, self.longest) + 1):
+            hashes = _string_hashes(codes, k, found.get("last"))
+            found["last"] = hashes
+            at = np.flatnonzero(self.maybe[(hashes.ravel() >> np.uint64(44)).astype(np.int64)])
+            key = hashes.ravel()[at]
+            where = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[where] == key
+            part, start = np.divmod(at[hit], size - k + 1)
+            row = self.ids[where[hit]]
+            order = np.argsort(start, kind="stable")
+            cuts = np.searchsorted(start[order], np.arange(size - k + 2))
+            for s in range(size - k + 1):
+                own = order[cuts[s] : cuts[s + 1]]
+                if len(own):
+                    found[(s + k, k)] = (part[own], row[own])
+        out = []
+        for end in range(1, size + 1):
+            alone = np.ones(len(parts), bool)
+            if (end, 1) in found:
+                alone[found[(end, 1)][0]] = False
+            alone = np.flatnonzero(alone)
+            if len(alone):
+                out.append((end, 1, alone, np.full(len(alone), len(self.index))))
+            out += [(end, k, *found[(end, k)]) for k in range(1, min(end, self.longest) + 1) if (end, k) in found]
         return out
 
-    def forward(self, at: np.ndarray, probs: np.ndarray) -> np.ndarray:
-        """[part, position, ...]: scaled sums over all segmentations of the characters before each position.
-
-        ``probs`` is [piece row, ...] or, with one language for each part, [part, end, length].
-        """
-        n, size, most = at.shape
-        tail = probs.shape[1:] if probs.ndim == 2 else ()
-        sums = np.zeros((n, size + 1, *tail))
-        sums[:, 0] = 1.0
-        for end in range(1, size + 1):
-            for k in range(1, min(end, most) + 1):
-                p = probs[at[:, end - 1, k - 1]] if probs.ndim == 2 else probs[:, end - 1, k - 1]
-                sums[:, end] += sums[:, end - k] * p * SCALE**k
+    def forward(self, segments: list, n: int, size: int, probs: list[np.ndarray]) -> np.ndarray:
+        """[part, position, ...]: scaled sums over all segmentations of the characters before each position."""
+        tail = probs[0].shape[1:]
+        sums = np.zeros((size + 1, n, *tail))
+        sums[0] = 1.0
+        for (end, k, part, _), p in zip(segments, probs):
+            sums[end][part] += sums[end - k][part] * p
         return sums
 
     def log_probs(self, words: list[str]) -> np.ndarray:
         """[word, language]: log of the summed probability of all segmentations."""
         out = np.zeros((len(words), len(self.langs)))
         for ids, parts in _by_length(words):
-            total = self.forward(self.pieces(parts), self.probs)[:, -1]
-            np.add.at(out, ids, np.log(total) - len(parts[0]) * np.log(SCALE))
+            size = len(parts[0])
+            found = self.segments(parts)
+            total = self.forward(found, len(parts), size, [self.probs[row] * SCALE**k for _, k, _, row in found])[size]
+            np.add.at(out, ids, np.log(total) - size * np.log(SCALE))
         return out
 
 
-def _by_length(words: list[str], most: int = 2_000) -> Iterator[tuple[list[int], list[str]]]:
+def _codes(strings: list[str]) -> np.ndarray:
+    """Code points of strings of one length, a row each."""
+    return np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(strings), -1).astype(np.uint64)
+
+
+def _string_hashes(codes: np.ndarray, size: int, shorter: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of all substrings of ``size`` characters; ``shorter`` are those of one character less."""
+    if shorter is None:
+        shorter = np.zeros_like(codes[:, : codes.shape[1] + 1 - size + 1])
+        for k in range(1, size):
+            shorter = _string_hashes(codes[:, : codes.shape[1] - size + k], k, shorter if k > 1 else None)
+    n = codes.shape[1] - size + 1
+    with np.errstate(over="ignore"):
+        return mix64(shorter[:, :n] * np.uint64(0x5851F42D4C957F2D) + codes[:, size - 1 :] + np.uint64(size))
+
+
+def _by_length(words: list[str], most: int = 8_000) -> Iterator[tuple[list[int], list[str]]]:
     """Parts of words in groups of one length, with their words' numbers."""
     groups: dict[int, tuple[list[int], list[str]]] = defaultdict(lambda: ([], []))
     for i, word in enumerate(words):
@@ -158,21 +197,17 @@ def _expected_counts(shared, lang_at: dict[str, int]):
             lang = b["lang"].map(lang_at).to_numpy()
             n = b["n"].to_numpy(float)
             for ids, parts in _by_length(b["word"].tolist()):
-                ids = np.array(ids)
-                at = model.pieces(parts)
-                p = model.probs[at, lang[ids][:, None, None]]
-                size, most = at.shape[1:]
-                before = model.forward(at, p)
-                after = np.zeros((len(ids), size + 1))
-                after[:, size] = 1.0
-                for end in range(size, 0, -1):
-                    for k in range(1, min(end, most) + 1):
-                        after[:, end - k] += after[:, end] * p[:, end - 1, k - 1] * SCALE**k
-                share = n[ids] / before[:, size]
-                for end in range(1, size + 1):
-                    for k in range(1, min(end, most) + 1):
-                        w = before[:, end - k] * p[:, end - 1, k - 1] * SCALE**k * after[:, end] * share
-                        np.add.at(sums, (at[:, end - 1, k - 1], lang[ids]), w)
+                own, size = lang[ids], len(parts[0])
+                found = model.segments(parts)
+                probs = [model.probs[row, own[part]] * SCALE**k for _, k, part, row in found]
+                before = model.forward(found, len(parts), size, probs)
+                after = np.zeros_like(before)
+                after[size] = 1.0
+                for (end, k, part, _), p in zip(reversed(found), reversed(probs)):
+                    after[end - k][part] += after[end][part] * p
+                share = n[ids] / before[size]
+                for (end, k, part, row), p in zip(found, probs):
+                    np.add.at(sums, (row, own[part]), before[end - k][part] * p * after[end][part] * share[part])
         sums = sums[: len(model.index)]
         piece, k = np.nonzero(sums)
         if len(piece):
@@ -197,13 +232,13 @@ def fit(
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     langs = sorted(counts)
     if not langs:
-        return Model([], index, np.zeros((len(index) + 2, 0)))
+        return Model([], index, np.zeros((len(index) + 1, 0)))
     share = spark.createDataFrame([(k, min(1.0, max_train_rows / len(langs) / n)) for k, n in counts.items()], "lang string, share double")
     chosen = rows.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     words = written(chosen.select("lang", "text").mapInPandas(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "lang-words")
     lang_at = {k: i for i, k in enumerate(langs)}
-    probs = np.full((len(index) + 2, len(langs)), 1.0 / max(1, len(index)))
-    probs[-2], probs[-1] = UNCOVERED, 0.0
+    probs = np.full((len(index) + 1, len(langs)), 1.0 / max(1, len(index)))
+    probs[-1] = UNCOVERED
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(Model(langs, index, probs))
         # At most one row for each piece of the vocabulary and language.
@@ -213,44 +248,60 @@ def fit(
         sums[learnt["piece"], learnt["lang"]] = learnt["n"]
         sums[: len(index)] += SMOOTHING
         probs = sums / sums.sum(axis=0)
-        probs[-2], probs[-1] = UNCOVERED, 0.0
+        probs[-1] = UNCOVERED
     return Model(langs, index, probs)
 
 
+class _Scores:
+    """Words' scores under one model, as far as they are kept; one table serves all tasks of a Python worker."""
+
+    latest: tuple[str, _Scores] | None = None
+
+    def __init__(self, model: Model):
+        self.model, self.known, self.table = model, {}, np.zeros((1024, len(model.langs)))
+
+    @classmethod
+    def of(cls, name: str, shared) -> _Scores:
+        if cls.latest is None or cls.latest[0] != name:
+            cls.latest = (name, cls(shared.value))
+        return cls.latest[1]
+
+    def totals(self, bags: list[list[str]]) -> list[np.ndarray]:
+        """Each bag's summed log probabilities."""
+        known = self.known
+        new = list(set().union(*bags).difference(known))
+        base = len(known)
+        while base + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[base : base + len(new)] = self.model.log_probs(new)
+        known.update(zip(new, range(base, base + len(new))))
+        out = [self.table[[known[w] for w in words]].sum(axis=0) for words in bags]
+        for w in new[max(0, CACHED_WORDS - base) :]:  # the words that came first stay: frequent ones are among them
+            del known[w]
+        return out
+
+
 def scorer(spark, model: Model):
     """A ``Column -> Column`` of struct(lang, score) for texts."""
     shared = spark.sparkContext.broadcast(model)
+    name = uuid4().hex
 
     @F.pandas_udf("lang string, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m: Model = shared.value
-        known: dict[str, int] = {}
-        table = np.zeros((1024, len(m.langs)))
+        scores = _Scores.of(name, shared)
+        learnt = scores.model.langs
         for texts in batches:
-            langs: list[str] = []
-            scores: list[float] = []
-            for lo in range(0, len(texts), 256):
-                bags = [words_of(t) for t in texts.iloc[lo : lo + 256]]
-                new = list(set().union(*bags).difference(known))
-                base = len(known)
-                if new and m.langs:
-                    while base + len(new) > len(table):
-                        table = np.concatenate([table, np.zeros_like(table)])
-                    table[base : base + len(new)] = m.log_probs(new)
-                    known.update(zip(new, range(base, base + len(new))))
-                for words in bags:
-                    if not m.langs or not any(c.isalpha() for w in words for c in w):
-                        langs.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    total = table[[known[w] for w in words]].sum(axis=0)
-                    best = int(total.argmax())
-                    langs.append(m.langs[best])
-                    scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-                if base + len(new) > CACHED_WORDS and new:  # keep the words that came first: frequent ones are among them
-                    for w in new if base else new[CACHED_WORDS:]:
-                        del known[w]
-            yield pd.DataFrame({"lang": pd.Series(langs, dtype=object), "score": pd.Series(scores, dtype=float)})
+            out = []
+            for lo in range(0, len(texts), 512):
+                bags = [words_of(t) for t in texts.iloc[lo : lo + 512]]
+                bags = [b if learnt and any(c.isalpha() for w in b for c in w) else [] for b in bags]
+                for words, total in zip(bags, scores.totals(bags)):
+                    if words:
+                        best = int(total.argmax())
+                        out.append((learnt[best], float(1.0 / np.exp(total - total[best]).sum())))
+                    else:
+                        out.append((UNKNOWN, 0.0))
+            yield pd.DataFrame(out, columns=["lang", "score"]).astype({"lang": object, "score": float})
 
     return score
 

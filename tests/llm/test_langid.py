@@ -27,7 +27,7 @@ def brute_force(model, word):
 
 def toy():
     index = {p: i for i, p in enumerate(["▁", "▁a", "a", "b", "ab", "ba", "aba", "c", "▁ab"])}
-    probs = np.vstack([np.random.default_rng(1).dirichlet(np.ones(len(index)), 2).T, [[L.UNCOVERED] * 2, [0.0] * 2]])
+    probs = np.vstack([np.random.default_rng(1).dirichlet(np.ones(len(index)), 2).T, [[L.UNCOVERED] * 2]])
     return L.Model(["x", "y"], index, probs)
 
 

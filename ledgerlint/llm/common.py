@@ -119,7 +119,7 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[
     return acc, out_offsets
 
 
-def slices(texts: list[bytes], max_bytes: int = 4 << 20):
+def slices(texts: list[bytes], max_bytes: int = 1 << 20):
     """Consecutive index ranges of texts of about ``max_bytes`` (one larger text stands alone): bounds memory."""
     lo, total = 0, 0
     for i, t in enumerate(texts):
@@ -149,4 +149,4 @@ def running_offsets(df: DataFrame, group: list[str], order: list[str], n_rows: i
     sums = sums.select(*group, "_block", "_bucket", run("_sum", [*group, "_block"], ["_bucket"]).alias("_bucket_offset"))
     starts = sums.join(blocks, [*group, "_block"]).select(*group, "_bucket", (F.col("_block_offset") + F.col("_bucket_offset")).alias("_start"))
     local = rows.withColumn("_local", run("_size", [*group, "_bucket"], order))
-    return local.join(starts, [*group, "_bucket"]).withColumn(out, F.col("_start") + F.col("_local")).drop("_bucket", "_size", "_start", "_local")
+    return local.join(starts.hint("merge"), [*group, "_bucket"]).withColumn(out, F.col("_start") + F.col("_local")).drop("_bucket", "_size", "_start", "_local")

@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from ledgerlint import Options, clean_all  # noqa: E402
+from ledgerlint import Options, clean_all, run_job  # noqa: E402
 from ledgerlint.functions import columns as C  # noqa: E402
 from ledgerlint.operators import quality as Q  # noqa: E402
 from ledgerlint.operators import relational as R  # noqa: E402
 from ledgerlint.operators.names import full_name_from_dedup  # noqa: E402
 from ledgerlint.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DISTRIBUTION_COLUMNS, NUMERIC_COLUMNS, RAW_SCHEMA  # noqa: E402
-from ledgerlint.session import ensure_shared_dir, fresh_path  # noqa: E402
+from ledgerlint.session import fresh_path  # noqa: E402
 from ledgerlint.sources import target as K  # noqa: E402
 from ledgerlint.sources.fixture import dirty_transactions  # noqa: E402
 from ledgerlint.sources.raw import read_raw_csv, write_raw_csv  # noqa: E402
@@ -79,7 +79,6 @@ def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _fresh_target(spark: SparkSession, stem: str) -> tuple[str, str]:
-    ensure_shared_dir(spark)
     loc = fresh_path(spark, stem)
     name = "t_" + loc.rsplit("-", 1)[-1]
     return name, loc
@@ -109,7 +108,7 @@ def q_append_count(spark: SparkSession, d: str) -> DataFrame:
     name, loc = _fresh_target(spark, "target")
     K.create_target(spark, name, CLEAN_SCHEMA, loc)
     n = K.align_append(_clean(spark, d), name)
-    return spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.lit(n).cast("long").alias("appended"))
+    return spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.lit(int(n)).cast("long").alias("appended"))
 
 
 def q_load_if_new(spark: SparkSession, d: str) -> DataFrame:
@@ -117,7 +116,7 @@ def q_load_if_new(spark: SparkSession, d: str) -> DataFrame:
     clean = _clean(spark, d)
     K.load_if_new(clean, name, CLEAN_SCHEMA, loc)
     again = K.load_if_new(clean, name, CLEAN_SCHEMA, loc)
-    return spark.table(name).withColumn("second_load_appended", F.lit(again))
+    return spark.table(name).withColumn("second_load_appended", F.lit(int(again)))
 
 
 def q_data_exists(spark: SparkSession, d: str) -> DataFrame:
@@ -136,16 +135,83 @@ def q_id_filter(spark: SparkSession, d: str) -> DataFrame:
     return R.id_filter(q_dedup(spark, d))
 
 
+RAW_KEYS = ["transaction_id", "customer_id", "legacy_id", "src_row"]
+
+
 def q_drop_empty_rows(spark: SparkSession, d: str) -> DataFrame:
-    return R.drop_empty_rows(_raw(spark, d), keys=["transaction_id", "customer_id", "legacy_id", "src_row"])
+    # Every 43rd row is emptied of all but its ids.
+    raw = _raw(spark, d)
+    emptied = raw.select(*[c if c in RAW_KEYS else F.when(F.col("src_row") % 43 != 0, F.col(c)).alias(c) for c in raw.columns])
+    return R.drop_empty_rows(emptied, keys=RAW_KEYS)
+
+
+RAW_TYPES = [
+    ("src_row", T.LongType()), ("customer_id", T.StringType()), ("transaction_amount", T.DoubleType()), ("age", T.IntegerType()),
+    ("credit_score", T.IntegerType()), ("account_balance", T.DoubleType()), ("annual_income", T.DoubleType()), ("risk_score", T.DoubleType()),
+    ("card_last_four", T.StringType()), ("card_type", T.StringType()), ("is_fraud", T.BooleanType()), ("is_flagged", T.BooleanType()), ("merchant_name", T.StringType()),
+]
+
+
+def _typed_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Raw text typed without cleaning: invalid and out-of-range values reach the casts and the rules."""
+    return R.typed_cast(_raw(spark, d), RAW_TYPES)
 
 
 def q_typed_cast(spark: SparkSession, d: str) -> DataFrame:
-    # The clean table with its dates rendered as text, as a row-at-a-time
-    # cleaner would hand it over, then typed by R8.
+    # Decimal text in integer columns is left out: engines round it differently.
+    return _typed_raw(spark, d).drop("age", "credit_score")
+
+
+def q_edge_cases_raw(spark: SparkSession, d: str) -> DataFrame:
+    return Q.edge_cases(_typed_raw(spark, d), 100, order_by=("src_row",)).select("src_row", "reasons")
+
+
+def q_dedup_no_tiebreak(spark: SparkSession, d: str) -> DataFrame:
+    return R.dedup_by_key(_raw(spark, d).drop("src_row"), ["customer_id"], None)
+
+
+def q_load_replay(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job twice over the same rows in other partitions, without a row number."""
+    name, loc = _fresh_target(spark, "target")
+    raw = _raw(spark, d).drop("src_row")
+    run_job(raw.repartition(3, "first_name"), name, loc)
+    again = run_job(raw.repartition(5, "transaction_id"), name, loc)
+    return spark.table(name).withColumn("second_load_appended", F.lit(int(again)))
+
+
+def q_create_target(spark: SparkSession, d: str) -> DataFrame:
+    """The created table's columns as the catalog has them, and how many rows of the clean table it then takes."""
+    name, loc = _fresh_target(spark, "target")
+    K.create_target(spark, name, CLEAN_SCHEMA, loc)
+    columns = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(spark.table(name).schema.fields)]
+    K.align_append(_clean(spark, d), name, target_schema=CLEAN_SCHEMA)
+    rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows"))
+    return spark.createDataFrame(columns, "position int, column string, type string").crossJoin(F.broadcast(rows))
+
+
+def q_data_exists_all_columns(spark: SparkSession, d: str) -> DataFrame:
+    name, loc = _fresh_target(spark, "target")
+    K.load_if_new(_clean(spark, d), name, CLEAN_SCHEMA, loc)
+    incoming = _clean(spark, d).select("customer_id", "transaction_id", "gender", "state", "age")
+    return K.data_exists(incoming, spark.table(name), keys=None)
+
+
+def q_load_batch_skip(spark: SparkSession, d: str) -> DataFrame:
+    """A batch that has one stored row is skipped as a whole."""
+    name, loc = _fresh_target(spark, "target")
     clean = _clean(spark, d)
-    as_text = clean.select(*[F.col(c).cast("string").alias(c) for c in clean.columns])
-    return R.typed_cast(as_text, CLEAN_COLUMNS)
+    K.load_if_new(clean.filter("customer_id < 'ID-00000500'"), name, CLEAN_SCHEMA, loc, batch_skip=True)
+    again = K.load_if_new(clean, name, CLEAN_SCHEMA, loc, batch_skip=True)
+    return spark.table(name).withColumn("second_load_appended", F.lit(int(again)))
+
+
+def _signed_zeros(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("l_linenumber")
+    return _table(spark, d, "lineitem").select(
+        F.when(n == 1, F.lit(-0.0)).when(n == 2, F.lit(0.0)).when(n == 3, F.col("l_tax")).alias("signed"),
+        F.when(n == 1, "").when(n == 2, "  ").when(n == 3, F.col("l_shipmode" if "l_shipmode" in _table(spark, d, "lineitem").columns else "l_returnflag")).alias("blank"),
+        F.when(n > 9, n).alias("empty"),
+    )
 
 
 def q_name_dictionary(spark: SparkSession, d: str) -> DataFrame:
@@ -171,7 +237,7 @@ def q_value_distribution(spark: SparkSession, d: str) -> DataFrame:
 def q_clean_full_name(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
     dedup = R.dedup_by_key(raw, ["customer_id"], "src_row")
-    return full_name_from_dedup(raw.select("src_row", "full_name"), dedup, key="src_row")
+    return full_name_from_dedup(raw.select("src_row", "full_name"), dedup, "src_row")
 
 
 col = F.col
@@ -214,15 +280,20 @@ def _cleaning_queries() -> dict[str, Query]:
         "align_append": q_align_append,
         "append_count": q_append_count,
         "load_if_new": q_load_if_new,
+        "create_target": q_create_target,
+        "data_exists_all_columns": q_data_exists_all_columns,
+        "load_batch_skip": q_load_batch_skip,
+        "load_replay": q_load_replay,
         # relational
         "drop_null_key": lambda s, d: R.drop_null_key(_raw(s, d)),
         "dedup_by_key": q_dedup,
+        "dedup_no_tiebreak": q_dedup_no_tiebreak,
         "id_filter": q_id_filter,
         "drop_columns": lambda s, d: R.drop_columns(_raw(s, d)),
         "drop_empty_rows": q_drop_empty_rows,
         "typed_cast": q_typed_cast,
         "name_dictionary": q_name_dictionary,
-        "hash_sample": q_sample,
+        "hash_sample": lambda s, d: R.hash_sample(_table(s, d, "lineitem"), 0.1, F.concat_ws("-", "l_orderkey", "l_linenumber")).select("l_orderkey", "l_linenumber"),
         "describe_numeric": q_describe,
         "value_distribution": q_value_distribution,
         # column cleaners, applied to every raw row
@@ -265,6 +336,7 @@ def _cleaning_queries() -> dict[str, Query]:
         # the whole job
         "clean_all": _clean,
         "clean_all_intended": lambda s, d: clean_all(_raw(s, d), INTENDED),
+        "clean_all_by_transaction": lambda s, d: clean_all(_raw(s, d), Options(dedup_keys=("transaction_id",))),
         # quality reports on the clean table
         "null_profile": lambda s, d: Q.null_profile(_clean(s, d)),
         "null_columns": lambda s, d: Q.null_profile(_clean(s, d), nonzero_only=True),
@@ -273,6 +345,10 @@ def _cleaning_queries() -> dict[str, Query]:
         "quality_metrics_intended": lambda s, d: Q.quality_metrics(_clean(s, d), intended=True),
         "quality_flags": lambda s, d: Q.quality_flags(Q.quality_metrics(_clean(s, d))),
         "business_rules": lambda s, d: Q.business_rules(_clean(s, d)),
+        "business_rules_intended": lambda s, d: Q.business_rules(clean_all(_raw(s, d), INTENDED)),
+        "business_rules_raw": lambda s, d: Q.business_rules(_typed_raw(s, d)),
+        "edge_cases_raw": q_edge_cases_raw,
+        "quality_metrics_signed": lambda s, d: Q.quality_metrics(_signed_zeros(s, d)),
         "rule_summary": lambda s, d: Q.rule_summary(Q.business_rules(_clean(s, d))),
         "stat_compare": q_stat_compare,
         "edge_cases": lambda s, d: Q.edge_cases(_clean(s, d), 100),

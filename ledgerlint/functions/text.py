@@ -23,8 +23,7 @@ DIGIT = r"\p{Nd}"
 # Letters that have case; Python's title() starts a new word after anything else.
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
-STRIP_RE = f"^[{WS}]+|[{WS}]+$"
-# The same whitespace set as plain characters, derived from Python's own
+# Python whitespace as plain characters, derived from Python's own
 # definition (every whitespace code point lies below U+3001), for a
 # character-set trim that needs no regex.
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
@@ -62,9 +61,3 @@ def title_case(c: str | Column) -> Column:
     """
     runs = F.regexp_extract_all(col_of(c), F.lit(CASE_RUNS_RE), 0)
     return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
-
-
-def capitalize(c: str | Column) -> Column:
-    """Python ``str.capitalize()``: first character upper, the rest lower."""
-    c = col_of(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))

@@ -17,16 +17,20 @@ Spark form, with no driver collect and no UDF:
 3. One ``groupBy(row key)``: the last first-name token, the last last-name
    token and its position, and the suffix tokens; the suffixes after the last
    last-name token are concatenated in order.
-4. Left-join the result back on the row key.
+4. Left-join the result back on the row key (or on the name, if there is no key).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lookups import EXCLUDE_FIRST, EXCLUDE_LAST, NAME_SUFFIXES
 from ..functions.text import NOT_WORD_OR_WS_RE, split_words, strip
+from .relational import name_dictionary
 
 
 def name_roles(first_dict: DataFrame, last_dict: DataFrame) -> DataFrame:
@@ -43,47 +47,44 @@ def name_roles(first_dict: DataFrame, last_dict: DataFrame) -> DataFrame:
 
 def rebuild_full_name(
     df: DataFrame,
-    first_dict: DataFrame | None,
-    last_dict: DataFrame | None,
-    key: str,
+    first_dict: DataFrame,
+    last_dict: DataFrame,
+    keys: str | Sequence[str] | None = None,
     column: str = "full_name",
-    roles: DataFrame | None = None,
-    salt: int = 1,
 ) -> DataFrame:
-    """Replace ``column`` of ``df`` by the rebuilt name; ``key`` must be unique per row.
-
-    Either the two dictionaries (one ``name`` column each) or a ready role
-    table (``token``, ``role``) is given.
-
-    ``salt`` > 1 spreads every token over that many join partitions: a token
-    row gets salt ``hash(key, pos) mod salt`` and the role table is repeated
-    once per salt value, so one very frequent name cannot fill a single task
-    even where AQE's skew handling is off.  The result does not depend on it."""
-    words = split_words(F.regexp_replace(F.col(column), NOT_WORD_OR_WS_RE, " "))
-    tokens = df.select(F.col(key).alias("_k"), F.posexplode(words).alias("pos", "tok")).withColumn(
-        "low", F.lower("tok")
-    )
-    if roles is None:
-        roles = name_roles(first_dict, last_dict)
-    if salt > 1:
-        tokens = tokens.withColumn("_salt", F.pmod(F.hash("_k", "pos"), F.lit(salt)))
-        roles = roles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        cond = (tokens["low"] == roles["token"]) & (tokens["_salt"] == roles["_salt"])
-    else:
-        cond = tokens["low"] == roles["token"]
-    tagged = tokens.join(roles, cond, "left").select(
-        "_k",
+    """Replace ``column`` of ``df`` by the rebuilt name.
+
+    ``keys`` name columns that are unique per row and not null (one that is
+    not unique raises when evaluated): if ``df`` is already partitioned by them,
+    its rows are not shuffled again.  Without keys the name itself is the key,
+    as the result depends on nothing else.
+
+    The token join has a key more than the role table's aggregate; it then
+    shuffles both sides by itself, and adaptive execution can split the rows
+    of a very frequent token.
+    """
+    by = [column] if keys is None else [keys] if isinstance(keys, str) else list(keys)
+    own = [f"_k{i}" for i in range(len(by))]
+    rows = df.select(*[F.col(k).alias(o) for k, o in zip(by, own)], F.col(column).alias("_name"))
+    if keys is None:
+        rows = rows.distinct()
+    words = split_words(F.regexp_replace("_name", NOT_WORD_OR_WS_RE, " "))
+    tokens = rows.select(*own, F.posexplode(words).alias("pos", "tok")).withColumn("low", F.lower("tok"))
+    roles = name_roles(first_dict, last_dict)
+    same = (tokens["low"] == roles["token"]) & (F.crc32(tokens["low"].cast("binary")) == F.crc32(roles["token"].cast("binary")))
+    tagged = tokens.join(roles, same, "left").select(
+        *own,
         "pos",
         "tok",
-        F.when(F.col("role").isNotNull(), F.col("role"))
-        .when(F.col("low").isin(NAME_SUFFIXES), F.lit("S"))
-        .alias("role"),
+        F.when(F.col("role").isNotNull(), F.col("role")).when(F.col("low").isin(NAME_SUFFIXES), F.lit("S")).alias("role"),
     )
     pos_tok = F.struct("pos", "tok")
-    parts = tagged.groupBy("_k").agg(
+    parts = tagged.groupBy(*own).agg(
         F.max(F.when(F.col("role") == "F", pos_tok)).alias("f"),
         F.max(F.when(F.col("role") == "L", pos_tok)).alias("l"),
         F.collect_list(F.when(F.col("role") == "S", pos_tok)).alias("s"),
+        # Positions of one row are 0, 1, ...: more tokens than that come from several rows.
+        (F.count("pos") > F.max("pos") + 1).alias("twice"),
     )
     last_pos = F.coalesce(F.col("l.pos"), F.lit(-1))
     sfx = F.array_sort(F.filter(F.col("s"), lambda x: x["pos"] > last_pos))
@@ -92,23 +93,12 @@ def rebuild_full_name(
         F.array_join(F.transform(sfx, lambda x: F.concat(F.lit(" "), x["tok"])), ""),
     )
     full = strip(F.concat(F.coalesce(F.col("f.tok"), F.lit("")), F.lit(" "), last))
-    names = parts.select(F.col("_k"), F.nullif(full, F.lit("")).alias("_full"))
-    out = df.join(names, df[key] == names["_k"], "left")
+    checked = F.when(F.col("twice"), F.raise_error(F.lit(f"{by} is not unique per row")).cast("string")).otherwise(F.nullif(full, F.lit("")))
+    names = parts.select(*own, checked.alias("_full"))
+    out = df.join(names, reduce(lambda a, b: a & b, [df[k] == names[o] for k, o in zip(by, own)]), "left")
     return out.select(*[F.col("_full").alias(column) if c == column else df[c] for c in df.columns])
 
 
-def roles_from_rows(dedup: DataFrame) -> DataFrame:
-    """The role table straight from the rows holding the names: one scan of the
-    two name columns and one partially aggregated group-by (instead of two
-    dictionaries, a union and a third aggregate)."""
-    pair = lambda c, code: F.struct(F.lower(c).alias("token"), F.lit(code).alias("code"))
-    pairs = dedup.select(F.explode(F.array(pair("first_name", 1), pair("last_name", 2))).alias("p")).select("p.*")
-    t, code = F.col("token"), F.col("code")
-    keep = t.isNotNull() & ~((code == 1) & t.isin(EXCLUDE_FIRST)) & ~((code == 2) & t.isin(EXCLUDE_LAST))
-    best = pairs.filter(keep).groupBy("token").agg(F.min("code").alias("code"))
-    return best.select("token", F.when(F.col("code") == 1, "F").otherwise("L").alias("role"))
-
-
-def full_name_from_dedup(df: DataFrame, dedup: DataFrame, key: str, salt: int = 1) -> DataFrame:
-    """C4 with dictionaries taken from the deduplicated frame (R14), as the job does."""
-    return rebuild_full_name(df, None, None, key, roles=roles_from_rows(dedup), salt=salt)
+def full_name_from_dedup(df: DataFrame, dedup: DataFrame, keys: str | Sequence[str] | None = None) -> DataFrame:
+    """C4 with the dictionaries (R14) of the deduplicated frame, as the job does."""
+    return rebuild_full_name(df, name_dictionary(dedup, "first_name"), name_dictionary(dedup, "last_name"), keys)

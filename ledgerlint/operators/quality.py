@@ -8,14 +8,16 @@ on any table, not only the transaction table.
 from __future__ import annotations
 
 import datetime as _dt
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from ..schema import CRITICAL_COLUMNS, DISTRIBUTION_COLUMNS, NUMERIC_COLUMNS
-from .relational import describe_numeric, hash_sample
+from .relational import describe_numeric, hash_sample, top_ranked, unpivoted
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -28,7 +30,7 @@ def _rows(structs: list[Column]) -> Column:
 
 # Q1 --------------------------------------------------------------------------
 def null_profile(df: DataFrame, nonzero_only: bool = False) -> DataFrame:
-    """column, null_count, null_pct: one aggregation pass over all columns."""
+    """column, null_count, null_pct, and the table's total_rows and n_columns: one aggregation pass over all columns."""
     cols = df.columns
     one = df.agg(
         F.count(F.lit(1)).alias("_total"),
@@ -41,6 +43,8 @@ def null_profile(df: DataFrame, nonzero_only: bool = False) -> DataFrame:
                     F.lit(c).alias("column"),
                     F.col(f"_n{i}").alias("null_count"),
                     _pct(F.col(f"_n{i}"), F.col("_total")).alias("null_pct"),
+                    F.col("_total").alias("total_rows"),
+                    F.lit(len(cols)).alias("n_columns"),
                 )
                 for i, c in enumerate(cols)
             ]
@@ -66,13 +70,6 @@ def before_after_counts(original: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 
 # Q3 --------------------------------------------------------------------------
-def _tall(df: DataFrame, columns: Sequence[str], side: str | None = None) -> DataFrame:
-    cols = [c for c in columns if c in df.columns]
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
-    tall = df.select(F.explode(pairs).alias("_cv")).select("_cv.column", "_cv.value")
-    return tall if side is None else tall.withColumn("side", F.lit(side))
-
-
 def value_distribution(
     original: DataFrame,
     cleaned: DataFrame,
@@ -83,84 +80,62 @@ def value_distribution(
 
     Ties are broken by value (nulls first) so the cut is repeatable.
     """
-    tall = _tall(original, columns, "original").unionByName(_tall(cleaned, columns, "cleaned"))
-    counts = tall.groupBy("side", "column", "value").agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("side", "column").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).select(
-        "side", "column", "value", "count", "rank"
-    )
+    sides = [unpivoted(df, columns).withColumn("side", F.lit(side)) for df, side in ((original, "original"), (cleaned, "cleaned"))]
+    counts = sides[0].unionByName(sides[1]).groupBy("side", "column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return top_ranked(counts, ["side", "column"], n).select("side", "column", "value", "count", "rank")
 
 
 # Q4 --------------------------------------------------------------------------
+def _comparable(df: DataFrame, c: str) -> Column:
+    """A column's value as text such that equal values have equal texts (0.0 and -0.0 are equal)."""
+    x = F.col(c)
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        x = F.when(x == 0, F.lit(0.0)).otherwise(x)
+    return x.cast("string")
+
+
 def quality_metrics(df: DataFrame, intended: bool = False, approx_distinct: bool = False) -> DataFrame:
     """Per column: total (non-null), null_count, distinct_values, empty_strings,
-    whitespace_only, valid, completeness, uniqueness.
+    whitespace_only, valid, completeness, uniqueness; a row for every column, also of an empty table.
 
     ``valid`` subtracts nulls from the non-null count as the studied rule does
     (so completeness can go negative); ``intended=True`` subtracts only empty
-    and blank strings.  Exact distinct counts come from one unpivot and a
-    two-level group-by (no per-column jobs, no multi-distinct expansion);
-    ``approx_distinct`` uses HyperLogLog sketches in a single pass instead.
+    and blank strings.  All but the distinct counts come from one narrow
+    aggregate.  Exact distinct counts come from one unpivot of the non-null
+    values and a two-level group-by (no per-column jobs, no multi-distinct
+    expansion); ``approx_distinct`` adds HyperLogLog sketches to the aggregate
+    instead.
     """
     cols = df.columns
-    is_str = {c: t == "string" for c, t in df.dtypes}
-    if approx_distinct:
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-        for i, c in enumerate(cols):
-            x = F.col(c)
-            aggs += [
-                F.count(x).alias(f"t{i}"),
-                F.count_if(x.isNull()).alias(f"n{i}"),
-                F.approx_count_distinct(x).alias(f"d{i}"),
-                (F.count_if(x == "") if is_str[c] else F.lit(0).cast("long")).alias(f"e{i}"),
-                (F.count_if(x.rlike(r"^\s+$")) if is_str[c] else F.lit(0).cast("long")).alias(f"w{i}"),
-            ]
-        one = df.agg(*aggs)
-        per_col = one.select(
-            F.col("_rows"),
-            _rows(
-                [
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(f"t{i}").alias("total"),
-                        F.col(f"n{i}").alias("null_count"),
-                        F.col(f"d{i}").alias("distinct_values"),
-                        F.col(f"e{i}").alias("empty_strings"),
-                        F.col(f"w{i}").alias("whitespace_only"),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            ),
-        )
-    else:
-        tagged = df.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            F.lit(is_str[c]).alias("is_str"),
-                            F.col(c).cast("string").alias("value"),
-                        )
-                        for c in cols
-                    ]
-                )
-            ).alias("_cv")
-        ).select("_cv.*")
-        by_value = tagged.groupBy("column", "is_str", "value").agg(F.count(F.lit(1)).alias("n"))
-        v = F.col("value")
-        per_col = by_value.groupBy("column").agg(
-            F.sum(F.when(v.isNotNull(), F.col("n")).otherwise(0)).cast("long").alias("total"),
-            F.sum(F.when(v.isNull(), F.col("n")).otherwise(0)).cast("long").alias("null_count"),
-            F.count(v).alias("distinct_values"),
-            F.sum(F.when(F.col("is_str") & (v == ""), F.col("n")).otherwise(0)).cast("long").alias("empty_strings"),
-            F.sum(F.when(F.col("is_str") & v.rlike(r"^\s+$"), F.col("n")).otherwise(0)).cast("long").alias("whitespace_only"),
-            F.sum("n").cast("long").alias("_rows"),
+    none = F.lit(0).cast("long")
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, (c, t) in enumerate(df.dtypes):
+        x = F.col(c)
+        aggs.append(F.count(x).alias(f"t{i}"))
+        aggs.append((F.count_if(x == "") if t == "string" else none).alias(f"e{i}"))
+        aggs.append((F.count_if(x.rlike(r"^\s+$")) if t == "string" else none).alias(f"w{i}"))
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(x).alias(f"d{i}"))
+    per_column = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.lit(c).alias("column"),
+            F.col(f"t{i}").alias("total"),
+            (F.col("_rows") - F.col(f"t{i}")).alias("null_count"),
+            *([F.col(f"d{i}").alias("distinct_values")] if approx_distinct else []),
+            F.col(f"e{i}").alias("empty_strings"),
+            F.col(f"w{i}").alias("whitespace_only"),
         )
+        for i, c in enumerate(cols)
+    ]
+    counted = df.agg(*aggs).select("_rows", _rows(per_column))
+    if not approx_distinct:
+        cells = F.array(*[F.struct(F.lit(i).alias("i"), _comparable(df, c).alias("value")) for i, c in enumerate(cols)])
+        values = df.select(F.explode(F.filter(cells, lambda x: x["value"].isNotNull())).alias("x")).select("x.i", "x.value").distinct()
+        distinct = values.groupBy("i").agg(F.count(F.lit(1)).alias("d"))
+        counted = counted.join(distinct, "i", "left").withColumn("distinct_values", F.coalesce("d", F.lit(0)))
     valid = F.col("total") - F.col("empty_strings") - F.col("whitespace_only")
-    if not intended:
-        valid = valid - F.col("null_count")
-    out = per_col.withColumn("valid", valid)
+    out = counted.withColumn("valid", valid if intended else valid - F.col("null_count"))
     return out.select(
         "column",
         "total",
@@ -187,53 +162,45 @@ def quality_flags(metrics: DataFrame, min_completeness: float = 90.0, min_unique
 
 
 # Q6 --------------------------------------------------------------------------
-def _date_rule(c: str, as_of: Column) -> Column:
-    x = F.col(c)
-    return (x < F.lit(_dt.date(1900, 1, 1))) | (x > as_of)
+# Rule, column and the range [low, high] outside which a value violates it (None: open).
+RANGE_RULES = (
+    ("invalid_amounts", "transaction_amount", 0, 100000),
+    ("invalid_ages", "age", 0, 120),
+    ("invalid_credit_scores", "credit_score", 300, 850),
+    ("negative_balances", "account_balance", -10000, None),
+    ("extremely_high_balances", "account_balance", None, 10000000),
+    ("invalid_risk_scores", "risk_score", 0, 1),
+)
+# Rule and date column; dates before 1900 or after the day of the report violate it.
+DATE_RULES = (
+    ("invalid_transaction_dates", "transaction_date"),
+    ("invalid_dob_dates", "dob"),
+    ("invalid_account_dates", "account_open_date"),
+)
+FIRST_DATE = _dt.date(1900, 1, 1)
+LAST_FOUR = ("invalid_card_last_four", "card_last_four", r"^\d{4}$")
+
+
+def _outside(c: str, low, high) -> Column:
+    tests = [F.col(c) < low] * (low is not None) + [F.col(c) > high] * (high is not None)
+    return reduce(lambda a, b: a | b, tests)
+
+
+def rule_conditions(as_of: Column) -> list[tuple[str, str, Column]]:
+    """(rule, column, violation) of every business rule."""
+    rules = [(name, c, _outside(c, low, high)) for name, c, low, high in RANGE_RULES]
+    rules += [(name, c, _outside(c, F.lit(FIRST_DATE), as_of)) for name, c in DATE_RULES]
+    return [*rules, (LAST_FOUR[0], LAST_FOUR[1], ~F.col(LAST_FOUR[1]).rlike(LAST_FOUR[2]))]
 
 
 def business_rules(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """rule, violations, violation_pct; nulls never count; rules on absent columns are
     skipped, except the three date rules, which then report 0."""
-    as_of = F.current_date() if as_of is None else as_of
-    have = set(df.columns)
-    rules: list[tuple[str, Column | None]] = []
-    if "transaction_amount" in have:
-        a = F.col("transaction_amount")
-        rules.append(("invalid_amounts", (a < 0) | (a > 100000)))
-    for name, c in (
-        ("invalid_transaction_dates", "transaction_date"),
-        ("invalid_dob_dates", "dob"),
-        ("invalid_account_dates", "account_open_date"),
-    ):
-        rules.append((name, _date_rule(c, as_of) if c in have else None))
-    if "age" in have:
-        rules.append(("invalid_ages", (F.col("age") < 0) | (F.col("age") > 120)))
-    if "credit_score" in have:
-        rules.append(("invalid_credit_scores", (F.col("credit_score") < 300) | (F.col("credit_score") > 850)))
-    if "account_balance" in have:
-        rules.append(("negative_balances", F.col("account_balance") < -10000))
-        rules.append(("extremely_high_balances", F.col("account_balance") > 10000000))
-    if "risk_score" in have:
-        rules.append(("invalid_risk_scores", (F.col("risk_score") < 0) | (F.col("risk_score") > 1)))
-    if "card_last_four" in have:
-        rules.append(("invalid_card_last_four", ~F.col("card_last_four").rlike(r"^\d{4}$")))
-    one = df.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[(F.count_if(cond) if cond is not None else F.lit(0).cast("long")).alias(f"_r{i}") for i, (_, cond) in enumerate(rules)],
-    )
-    return one.select(
-        _rows(
-            [
-                F.struct(
-                    F.lit(name).alias("rule"),
-                    F.col(f"_r{i}").alias("violations"),
-                    _pct(F.col(f"_r{i}"), F.col("_total")).alias("violation_pct"),
-                )
-                for i, (name, _) in enumerate(rules)
-            ]
-        )
-    )
+    always = {name for name, _ in DATE_RULES}
+    conditions = rule_conditions(F.current_date() if as_of is None else as_of)
+    counts = {name: F.count_if(violated) if c in df.columns else F.lit(0).cast("long") for name, c, violated in conditions if c in df.columns or name in always}
+    one = df.agg(F.count(F.lit(1)).alias("_total"), *[n.alias(name) for name, n in counts.items()])
+    return one.select(_rows([F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations"), _pct(F.col(name), F.col("_total")).alias("violation_pct")) for name in counts]))
 
 
 # Q15 -------------------------------------------------------------------------
@@ -265,42 +232,36 @@ def sample_validation(df: DataFrame, sample_size: int = 1000, key: str = "custom
 
 
 # Q10 / Q11 -------------------------------------------------------------------
+# Condition, column, comparison and the value compared with.
+EDGE_RULES = (
+    ("amount_gt_10000", "transaction_amount", "gt", 10000),
+    ("amount_lt_1", "transaction_amount", "lt", 1),
+    ("card_type_unknown", "card_type", "eq", "Unknown"),
+    ("credit_lt_50", "credit_score", "lt", 50),
+    ("credit_gt_800", "credit_score", "gt", 800),
+    ("age_lt_18", "age", "lt", 18),
+    ("age_gt_80", "age", "gt", 80),
+    ("balance_lt_0", "account_balance", "lt", 0),
+    ("balance_gt_1000000", "account_balance", "gt", 1000000),
+    ("is_fraud", "is_fraud", "eq", True),
+    ("is_flagged", "is_flagged", "eq", True),
+    ("merchant_has_null", "merchant_name", "contains", "null"),
+    ("merchant_blank", "merchant_name", "like", r"^\s*$"),
+)
+_COMPARE = {"gt": operator.gt, "lt": operator.lt, "eq": operator.eq, "contains": Column.contains, "like": Column.rlike}
+
+
 def edge_conditions(df: DataFrame) -> list[tuple[str, Column]]:
-    have = set(df.columns)
-    conds: list[tuple[str, Column]] = []
-    if "transaction_amount" in have:
-        conds += [("amount_gt_10000", F.col("transaction_amount") > 10000), ("amount_lt_1", F.col("transaction_amount") < 1)]
-    if "card_type" in have:
-        conds.append(("card_type_unknown", F.col("card_type") == "Unknown"))
-    if "credit_score" in have:
-        conds += [("credit_lt_50", F.col("credit_score") < 50), ("credit_gt_800", F.col("credit_score") > 800)]
-    if "age" in have:
-        conds += [("age_lt_18", F.col("age") < 18), ("age_gt_80", F.col("age") > 80)]
-    if "account_balance" in have:
-        conds += [("balance_lt_0", F.col("account_balance") < 0), ("balance_gt_1000000", F.col("account_balance") > 1000000)]
-    if "is_fraud" in have:
-        conds.append(("is_fraud", F.col("is_fraud") == F.lit(True)))
-    if "is_flagged" in have:
-        conds.append(("is_flagged", F.col("is_flagged") == F.lit(True)))
-    if "merchant_name" in have:
-        conds += [
-            ("merchant_has_null", F.col("merchant_name").contains("null")),
-            ("merchant_blank", F.col("merchant_name").rlike(r"^\s*$")),
-        ]
-    return conds
+    """(name, condition) of the edge rules whose column exists."""
+    return [(name, _COMPARE[how](F.col(c), value)) for name, c, how, value in EDGE_RULES if c in df.columns]
 
 
 def edge_cases(df: DataFrame, limit: int = 100, order_by: Sequence[str] = ("customer_id",)) -> DataFrame:
     """Rows hitting any edge condition, with the matched condition names in ``reasons``;
     the first ``limit`` by ``order_by`` (a top-k, not a full sort)."""
-    conds = edge_conditions(df)
-    if not conds:
-        return df.limit(0).withColumn("reasons", F.lit(None).cast("string"))
-    any_hit = conds[0][1]
-    for _, c in conds[1:]:
-        any_hit = any_hit | c
-    reasons = F.concat_ws(",", *[F.when(c, F.lit(name)) for name, c in conds])
-    return df.filter(any_hit).withColumn("reasons", reasons).orderBy(*order_by).limit(limit)
+    named = [F.when(hit, name) for name, hit in edge_conditions(df)]
+    reasons = F.concat_ws(",", *named) if named else F.lit("")
+    return df.withColumn("reasons", reasons).filter("reasons <> ''").orderBy(*order_by).limit(limit)
 
 
 # Q12 / Q13 -------------------------------------------------------------------
@@ -318,11 +279,11 @@ def checkpoint(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS, warn_ab
     empty input raises (the job must stop there)."""
     cols = [c for c in columns if c in df.columns]
     one = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
+    none = F.array().cast("array<struct<column:string,null_pct:double>>")
     # Every output value depends on the guarded total, so the check cannot be pruned away.
     total = F.when(F.col("_total") == 0, F.raise_error(F.lit("Data pipeline resulted in empty dataset"))).otherwise(
         F.col("_total")
     )
-    rows = one.select(
-        _rows([F.struct(F.lit(c).alias("column"), _pct(F.col(f"_n{i}"), total).alias("null_pct")) for i, c in enumerate(cols)])
-    )
+    shares = F.array(*[F.struct(F.lit(c).alias("column"), _pct(F.col(f"_n{i}"), total).alias("null_pct")) for i, c in enumerate(cols)]) if cols else none
+    rows = one.select(F.inline(F.when(total >= 0, shares)))
     return rows.select("column", "null_pct", F.when(F.col("null_pct") > warn_above, "warning").otherwise("ok").alias("status"))

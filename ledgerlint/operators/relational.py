@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.lookups import ROW_ID_PATTERN
 
@@ -18,12 +20,15 @@ def drop_null_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 # R1 -------------------------------------------------------------------------
 def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak: str | None = "src_row") -> DataFrame:
-    """Keep one row per key; with ``tiebreak`` the row with its smallest value survives.
+    """Keep one row per key: the one with the smallest ``tiebreak``, then the smallest whole row.
+
+    The order is total, so the survivor never depends on partitioning; without
+    a tiebreak column the whole row alone decides (nulls first).
 
     Null keys are removed first (R2): they would form one group that is
     dropped afterwards anyway, and removing them shrinks the shuffle.
 
-    Planned as ``groupBy(keys).agg(min_by(struct(rest), tiebreak))``: the
+    Planned as ``groupBy(keys).agg(min(struct(tiebreak, rest)))``: the
     partial aggregate runs before the exchange, so each map task ships at most
     one row per key.  A key that holds a third of all rows therefore costs
     one row per map task in the shuffle instead of landing in one task, which
@@ -31,26 +36,24 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak
     """
     keys = list(keys)
     df = df.dropna(subset=keys)
-    if tiebreak is None:
-        return df.dropDuplicates(keys)
     rest = [c for c in df.columns if c not in keys]
-    # Ordering by (tiebreak is null, tiebreak) is never null, so a key whose
-    # rows all lack a tiebreak still keeps one of them (min_by skips null orderings).
-    order = F.struct(F.col(tiebreak).isNull(), F.col(tiebreak))
-    survivor = F.min_by(F.struct(*rest), order).alias("_row")
-    return df.groupBy(*keys).agg(survivor).select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(
-        *df.columns
-    )
+    # A struct is never null, so a key whose rows all lack a tiebreak still keeps one of them.
+    first = [F.col(tiebreak).isNull().alias("_no_tiebreak"), F.col(tiebreak).alias("_tiebreak")] if tiebreak in df.columns else []
+    survivor = F.min(F.struct(F.struct(*first, F.lit(0).alias("_")).alias("order"), F.struct(*rest, F.lit(0).alias("_")).alias("row"))).alias("_first")
+    return df.groupBy(*keys).agg(survivor).select(*[c if c in keys else F.col("_first.row")[c].alias(c) for c in df.columns])
 
 
 # R3 -------------------------------------------------------------------------
 def id_filter(df: DataFrame, columns: Sequence[str] = ("customer_id", "transaction_id"), pattern: str = ROW_ID_PATTERN) -> DataFrame:
-    """Keep rows whose raw ids all match ``pattern`` (null fails)."""
-    cond = None
-    for c in columns:
-        m = F.coalesce(F.col(c).rlike(pattern), F.lit(False))
-        cond = m if cond is None else cond & m
-    return df.filter(cond)
+    """Keep rows whose raw ids all match ``pattern`` (null fails); no columns, no filter.
+
+    The test is one expression, not a conjunction: Spark then keeps it above
+    the one-row-per-key aggregate, whose shuffle the branches of the job share.
+    """
+    if not columns:
+        return df
+    matches = [F.col(c).rlike(pattern) for c in columns]
+    return df.filter(F.coalesce(reduce(lambda a, b: a & b, matches), F.lit(False)))
 
 
 # R4 -------------------------------------------------------------------------
@@ -110,15 +113,27 @@ def top_values(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
     One pass: the columns are unpivoted to (column, value) and counted with a
     partially aggregated group-by; only the small count table is ranked.
     """
-    from pyspark.sql.window import Window
+    counts = unpivoted(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return top_ranked(counts, ["column"], n)
 
-    cols = [c for c in columns if c in df.columns]
-    tall = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])).alias("cv")
-    ).select("cv.column", "cv.value")
-    counts = tall.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+def unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value as text) of every cell of the listed columns that exist."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns if c in df.columns]
+    return df.select(F.explode(F.array(*pairs)).alias("_cv")).select("_cv.column", "_cv.value")
+
+
+def top_ranked(counts: DataFrame, group: Sequence[str], n: int, parts: int = 64) -> DataFrame:
+    """The ``n`` largest counts of each group with their ``rank`` (ties by value, nulls first).
+
+    Two steps, whatever ``n`` is: the best ``n`` of each of 64 hash parts of a
+    group, then the best of those; no task sorts all values of a group.
+    """
+    order = [F.desc("count"), F.asc_nulls_first("value")]
+    part = F.pmod(F.xxhash64("value"), F.lit(parts))
+    best = counts.withColumn("_part", part).withColumn("_r", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)))
+    best = best.filter(F.col("_r") <= n).drop("_part", "_r")
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("rank") <= n)
 
 
 # R13 ------------------------------------------------------------------------

@@ -1,78 +1,40 @@
-"""Writing an intermediate result once to the shared folder and reading it back.
+"""Intermediate results written once to the shared folder, with an owner that deletes them.
 
-Used where several branches of a plan read the same expensive result.  A
-parquet table (rather than an RDD checkpoint) is written in a single job,
-lets each reader prune to the columns it needs, and cuts the lineage.
-Bucketing by a key keeps the hash partitioning on read, so later group-bys
-and joins on that key need no new shuffle of this side.
+Used where several actions read the same expensive result.  A parquet table
+(rather than an RDD checkpoint) is written in a single job, lets each reader
+prune to the columns it needs, and cuts the lineage.  It is not bucketed: the
+readers' tasks then follow the size of the data, not a bucket count.
 """
 
 from __future__ import annotations
 
-import threading
-import uuid
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import fresh_path
 
-# (table name or None, location) of everything written, in order, so a job can
-# drop its own intermediates when it is done (see ``drop_since``).  Kept per
-# thread: a streaming query's batches and other driver threads never see, or
-# drop, each other's entries.
-_LOCAL = threading.local()
-
-
-def _written() -> list[tuple[str | None, str]]:
-    if not hasattr(_LOCAL, "items"):
-        _LOCAL.items = []
-    return _LOCAL.items
-
 
-def bucket_count(df: DataFrame) -> int:
-    """``spark.sql.shuffle.partitions``.
+class Intermediates:
+    """Folders written for one run; a context manager that deletes them at its end."""
 
-    A result grouped by the bucket key arrives hash-partitioned into that many
-    shuffle partitions, and bucketing uses the same hash: with equal counts
-    every bucket is written by one task (AQE coalescing keeps partitions
-    whole), so the table has one file per bucket.  Any other count makes
-    every task write a file for every bucket (tasks x buckets small files).
-    Size the shuffle partitions for the data, as for any job.
-    """
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
 
-
-def materialize(df: DataFrame, stem: str, bucket_by: Sequence[str] = (), num_buckets: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    path = fresh_path(spark, stem)
-    if not bucket_by:
+    def write(self, df: DataFrame, stem: str) -> DataFrame:
+        path = fresh_path(self.spark, stem)
+        self.paths.append(path)
         df.write.parquet(path)
-        _written().append((None, path))
-        return spark.read.parquet(path)
-    n = num_buckets or bucket_count(df)
-    name = f"{stem}_{uuid.uuid4().hex}"
-    df.write.format("parquet").option("path", path).bucketBy(n, *bucket_by).saveAsTable(name)
-    _written().append((name, path))
-    return spark.table(name)
-
-
-def written_mark() -> int:
-    return len(_written())
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self) -> None:
+        """Delete what was written, through the Hadoop FileSystem of each path, so on any shared store."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        while self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            p.getFileSystem(conf).delete(p, True)
 
-def drop_since(spark, mark: int) -> None:
-    """Drop the tables and delete the folders written after ``mark``.
+    def __enter__(self) -> Intermediates:
+        return self
 
-    Only for intermediates no DataFrame will read again.  Uses the Hadoop
-    FileSystem of each path, so it works on any shared store.
-    """
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    items = _written()
-    while len(items) > mark:
-        name, path = items.pop()
-        if name:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+    def __exit__(self, *_) -> None:
+        self.close()

@@ -1,19 +1,23 @@
 """The cleaning job as one lazy plan.
 
-    raw -> drop null keys + keep one row per customer (one partial aggregate)
+    raw -> drop null keys + keep one row per key (one partial aggregate)
         -> id filter -> full-name rebuild (dictionary join)
         -> every column cleaner in one projection -> typed columns
 
+``clean_all`` runs nothing by itself.  Its three branches (rows, name tokens,
+name dictionaries) share the shuffle of the one-row-per-key aggregate, and the
+rows stay partitioned by the key until the name join, so they shuffle once.
+
 Steps whose input columns are missing are skipped (and listed by
 ``plan_steps``) instead of failing the job.
 """
 
 from __future__ import annotations
 
-import dataclasses
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark import SparkContext
 
@@ -25,7 +29,7 @@ from ..operators.names import full_name_from_dedup
 from ..operators.quality import checkpoint
 from ..operators.relational import dedup_by_key, drop_columns, drop_empty_rows, id_filter, typed_cast
 from ..schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DROPPED_COLUMNS, KEY_COLUMNS
-from .materialize import drop_since, materialize, written_mark
+from .materialize import Intermediates
 from ..sources.target import load_if_new
 
 log = logging.getLogger(__name__)
@@ -46,16 +50,6 @@ class Options:
     clean_is_flagged: bool = False
     drop_empty_rows: bool = False
     as_of: Column | None = None
-    # Write the one-row-per-key table once to the shared folder, bucketed by
-    # customer.  Three branches read it (main rows, name tokens, name
-    # dictionaries); without this each would re-scan and re-aggregate the raw
-    # input.  Bucketing keeps the partitioning, so the name regroup and the
-    # join back need no shuffle of the wide rows.
-    checkpoint_dedup: bool = True
-    num_buckets: int | None = None  # default: spark.sql.shuffle.partitions (see materialize.bucket_count)
-    # >1: salt the token-to-name join so one very frequent name is spread over
-    # that many tasks without relying on AQE's skew-join splitting.
-    name_salt: int = 1
 
 
 # (output column, input columns, expression builder)
@@ -107,30 +101,34 @@ def _derived_steps(o: Options) -> list[Step]:
     return [("age", ("age", "dob"), lambda o: C.clean_age(F.col("age"), F.col("dob"), o.as_of))]
 
 
+ID_COLUMNS = ("customer_id", "transaction_id")
+NAME_COLUMNS = ("full_name", "first_name", "last_name")
+
+
 def plan_steps(columns: Sequence[str], options: Options = Options()) -> tuple[list[str], list[str]]:
-    """(applied, skipped) output columns for an input with ``columns``."""
+    """(applied, skipped) steps for an input with ``columns``: dedup, id_filter and the cleaned columns."""
     have = set(columns)
-    applied, skipped = [], []
-    for out, needs, _ in _steps(options) + _derived_steps(options):
-        (applied if all(n in have for n in needs) else skipped).append(out)
-    return applied, skipped
+    needs = [("dedup", options.dedup_keys), ("id_filter", ID_COLUMNS), ("full_name", NAME_COLUMNS)]
+    needs += [(out, inputs) for out, inputs, _ in _steps(options) + _derived_steps(options)]
+    applied = [step for step, inputs in needs if have.issuperset(inputs)]
+    return applied, [step for step, inputs in needs if not have.issuperset(inputs)]
 
 
 # Cleaner expressions name only their input columns, so the same Column
 # objects serve every DataFrame of a SparkContext.  Building them costs a few
 # thousand py4j calls (literal maps, higher-order functions), so they are
-# built once per context and options.
-_EXPR_CACHE: dict = {}
+# built once per context and options, and go with the context.
+_EXPRESSIONS: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def _expr(out: str, build: Callable[[Options], Column], options: Options) -> Column:
     sc = SparkContext._active_spark_context
     if sc is None or options.as_of is not None:
         return build(options)
-    key = (id(sc), out, dataclasses.replace(options, as_of=None))
-    if key not in _EXPR_CACHE:
-        _EXPR_CACHE[key] = build(options)
-    return _EXPR_CACHE[key]
+    known = _EXPRESSIONS.setdefault(sc, {})
+    if (out, options) not in known:
+        known[out, options] = build(options)
+    return known[out, options]
 
 
 def clean_columns(df: DataFrame, options: Options = Options()) -> DataFrame:
@@ -149,22 +147,27 @@ def clean_columns(df: DataFrame, options: Options = Options()) -> DataFrame:
 
 
 def deduplicate(raw: DataFrame, options: Options = Options()) -> DataFrame:
-    keys = [k for k in options.dedup_keys if k in raw.columns]
-    if not keys:
+    """One row per key; skipped if any of the key columns is missing (fewer would merge unlike rows)."""
+    missing = [k for k in options.dedup_keys if k not in raw.columns]
+    if missing or not options.dedup_keys:
+        log.warning("skipping the one-row-per-key step: missing %s", missing)
         return raw
-    tiebreak = options.tiebreak if options.tiebreak in raw.columns else None
-    return dedup_by_key(raw, keys, tiebreak)
+    return dedup_by_key(raw, options.dedup_keys, options.tiebreak)
 
 
 def clean_untyped(raw: DataFrame, options: Options = Options()) -> DataFrame:
     """Everything up to (not including) the final typing."""
+    applied, skipped = plan_steps(raw.columns, options)
     dedup = deduplicate(raw, options)
-    if options.checkpoint_dedup and "customer_id" in dedup.columns:
-        dedup = materialize(dedup, "dedup", bucket_by=["customer_id"], num_buckets=options.num_buckets)
-    have = set(dedup.columns)
-    kept = id_filter(dedup, [c for c in ("customer_id", "transaction_id") if c in have])
-    if {"full_name", "first_name", "last_name", "customer_id"} <= have:
-        kept = full_name_from_dedup(kept, dedup, key="customer_id", salt=options.name_salt)
+    if "id_filter" in applied:
+        kept = id_filter(dedup, ID_COLUMNS)
+    else:
+        log.warning("skipping the id filter: missing %s", [c for c in ID_COLUMNS if c not in raw.columns])
+        kept = dedup
+    if "full_name" in applied:
+        kept = full_name_from_dedup(kept, dedup, options.dedup_keys if "dedup" in applied else None)
+    else:
+        log.warning("skipping the rebuild of full_name: missing %s", [c for c in NAME_COLUMNS if c not in raw.columns])
     kept = drop_columns(kept, DROPPED_COLUMNS)
     cleaned = clean_columns(kept, options)
     if options.drop_empty_rows:
@@ -177,29 +180,20 @@ def clean_all(raw: DataFrame, options: Options = Options()) -> DataFrame:
     return typed_cast(clean_untyped(raw, options), CLEAN_COLUMNS)
 
 
-def run_job(
-    raw: DataFrame,
-    target: str,
-    location: str | None = None,
-    options: Options = Options(),
-    keep_intermediates: bool = False,
-) -> int:
+def run_job(raw: DataFrame, target: str, location: str | None = None, options: Options = Options()) -> int:
     """The whole job: clean, stop if nothing is left, load rows not yet stored.
 
     The clean table is written once to the shared folder
     (``spark.checkpoint.dir``); the mid-pipeline check and the load both read
     that copy, so the raw input is processed once and a lost executor does not
-    send the load back to the raw files.  The written intermediates (this copy
-    and the one-row-per-customer table) are deleted once the load has
-    committed, unless ``keep_intermediates``.  Returns the number of rows appended.
+    send the load back to the raw files.  The copy is deleted at the end.
+    Rows count as stored by the key that the job keeps one row of (ids if it
+    has none).  Returns the number of rows appended.
     """
-    mark = written_mark()
-    try:
-        clean = materialize(clean_all(raw, options), "clean")
+    with Intermediates(raw.sparkSession) as written:
+        clean = written.write(clean_all(raw, options), "clean")
         report = checkpoint(clean).collect()  # raises on an empty result
         for r in report:
             (log.warning if r["status"] == "warning" else log.info)("null share of %s: %.2f%%", r["column"], r["null_pct"] or 0.0)
-        return load_if_new(clean, target, CLEAN_SCHEMA, location)
-    finally:
-        if not keep_intermediates:
-            drop_since(raw.sparkSession, mark)
+        keys = options.dedup_keys if "dedup" in plan_steps(raw.columns, options)[0] else ID_COLUMNS
+        return load_if_new(clean, target, CLEAN_SCHEMA, location, keys=keys)

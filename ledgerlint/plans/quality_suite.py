@@ -2,36 +2,44 @@
 
 The clean table is written once to the shared folder; every report then reads
 that copy (pruned to the columns it needs), so the cleaning plan runs once
-however many reports are evaluated.  Reports are returned lazily, as
-DataFrames, in the order the studied suite produced them.
+however many reports are evaluated.  The reports are lazy DataFrames, in the
+order the studied suite produced them, and valid until the suite is closed:
+
+    with quality_suite(raw) as reports:
+        reports["business_rules"].show()
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
 from ..operators import quality as Q
-from .materialize import materialize
+from .materialize import Intermediates
 from .pipeline import Options, clean_all
 
 
-def quality_suite(raw: DataFrame, options: Options = Options(), sample_size: int = 100) -> dict[str, DataFrame]:
-    clean = materialize(clean_all(raw, options), "clean")
-    rules = Q.business_rules(clean, options.as_of)
-    metrics = Q.quality_metrics(clean)
-    return {
-        "clean": clean,
-        "null_profile": Q.null_profile(clean),
-        "business_rules": rules,
-        "quality_metrics": metrics,
-        "quality_flags": Q.quality_flags(metrics),
-        "before_after_counts": Q.before_after_counts(raw, clean),
-        "value_distribution": Q.value_distribution(raw, clean),
-        "stat_compare": Q.stat_compare(raw, clean),
-        "sample": Q.sample_validation(clean, sample_size),
-        "edge_cases": Q.edge_cases(clean),
-        "high_value": Q.high_value(clean),
-        "high_risk": Q.high_risk(clean),
-        "checkpoint": Q.checkpoint(clean),
-        "rule_summary": Q.rule_summary(rules),
-    }
+@contextmanager
+def quality_suite(raw: DataFrame, options: Options = Options(), sample_size: int = 100) -> Iterator[dict[str, DataFrame]]:
+    with Intermediates(raw.sparkSession) as written:
+        clean = written.write(clean_all(raw, options), "clean")
+        rules = Q.business_rules(clean, options.as_of)
+        metrics = Q.quality_metrics(clean)
+        yield {
+            "clean": clean,
+            "null_profile": Q.null_profile(clean),
+            "business_rules": rules,
+            "quality_metrics": metrics,
+            "quality_flags": Q.quality_flags(metrics),
+            "before_after_counts": Q.before_after_counts(raw, clean),
+            "value_distribution": Q.value_distribution(raw, clean),
+            "stat_compare": Q.stat_compare(raw, clean),
+            "sample": Q.sample_validation(clean, sample_size),
+            "edge_cases": Q.edge_cases(clean),
+            "high_value": Q.high_value(clean),
+            "high_risk": Q.high_risk(clean),
+            "checkpoint": Q.checkpoint(clean),
+            "rule_summary": Q.rule_summary(rules),
+        }

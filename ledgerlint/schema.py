@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Target columns in the target table's ordinal order, with their final types.
+# Target columns in the target table's ordinal order, with their final types.
 CLEAN_COLUMNS: list[tuple[str, T.DataType]] = [
     ("customer_id", T.StringType()),
     ("first_name", T.StringType()),
@@ -66,11 +66,11 @@ CLEAN_SCHEMA = T.StructType(
 # Columns that identify a row; the empty-row filter ignores them.
 KEY_COLUMNS = ["transaction_id", "customer_id", "legacy_id"]
 
-# Numeric columns compared before/after cleaning.
+# Numeric columns compared before/after cleaning.
 NUMERIC_COLUMNS = ["transaction_amount", "age", "credit_score", "annual_income", "account_balance", "risk_score"]
 
-# Columns whose null share is checked mid-pipeline.
+# Columns whose null share is checked mid-pipeline.
 CRITICAL_COLUMNS = ["customer_id", "transaction_id", "transaction_amount", "transaction_date"]
 
-# Columns whose value distribution is compared before/after cleaning.
+# Columns whose value distribution is compared before/after cleaning.
 DISTRIBUTION_COLUMNS = ["card_type", "transaction_type", "employment_status"]

@@ -35,13 +35,13 @@ SELECT
   CASE k % 7 WHEN 0 THEN 'CA' WHEN 1 THEN 'texas' WHEN 2 THEN 'ny' WHEN 3 THEN ' WA' WHEN 4 THEN NULL WHEN 5 THEN 'DC' ELSE 'North Carolina' END AS state,
   CASE k % 6 WHEN 0 THEN '12345' WHEN 1 THEN '12345-6789' WHEN 2 THEN '123' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE 'zip 98 765' END AS zip_code,
   CASE k % 7 WHEN 0 THEN '720' WHEN 1 THEN '720.5' WHEN 2 THEN '5' WHEN 3 THEN 'score: 299' WHEN 4 THEN NULL WHEN 5 THEN '851' ELSE '' END AS credit_score,
-  CASE k % 6 WHEN 0 THEN '$' || CAST(50000 + k % 90000 AS STRING) WHEN 1 THEN '1,234.50' WHEN 2 THEN '-300' WHEN 3 THEN 'n/a' WHEN 4 THEN NULL ELSE '1.2.3' END AS annual_income,
+  CASE k % 6 WHEN 0 THEN '$' || CAST(50000 + (k * 7919) % 90000 AS STRING) WHEN 1 THEN '1,234.50' WHEN 2 THEN '-300' WHEN 3 THEN 'n/a' WHEN 4 THEN NULL ELSE '1.2.3' END AS annual_income,
   CASE k % 8 WHEN 0 THEN 'EMPLOYED' WHEN 1 THEN ' part-time ' WHEN 2 THEN 'Self-Employed' WHEN 3 THEN 'freelance' WHEN 4 THEN NULL WHEN 5 THEN 'full-time' WHEN 6 THEN 'Retired' ELSE 'unknown' END AS employment_status,
-  CASE k % 3 WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN m || '/' || d || '/' || y ELSE NULL END AS account_open_date,
+  CASE WHEN k % 53 = 0 THEN '2999-01-01' WHEN k % 3 = 0 THEN y || '-' || m || '-' || d WHEN k % 3 = 1 THEN m || '/' || d || '/' || y ELSE NULL END AS account_open_date,
   CASE k % 7 WHEN 0 THEN 'checking' WHEN 1 THEN 'Savings' WHEN 2 THEN 'Retail' WHEN 3 THEN 'Online' WHEN 4 THEN 'CHK' WHEN 5 THEN NULL ELSE 'retail' END AS account_type,
   CASE k % 5 WHEN 0 THEN '-20000.75' WHEN 1 THEN '$10,000,001.00' WHEN 2 THEN NULL WHEN 3 THEN '.5' ELSE '.' END AS account_balance,
   CASE WHEN k % 41 = 0 THEN 'X-1' ELSE 'ID-' || kid END AS transaction_id,
-  CASE k % 4 WHEN 0 THEN y || '/' || m || '/' || d || ' 08:00' WHEN 1 THEN m || '/' || d || '/' || y || ' 08:00' WHEN 2 THEN y || m || d || '000000' ELSE y || '-' || m || '-' || d END AS transaction_date,
+  CASE WHEN k % 59 = 0 THEN '1850-01-01' WHEN k % 4 = 0 THEN y || '/' || m || '/' || d || ' 08:00' WHEN k % 4 = 1 THEN m || '/' || d || '/' || y || ' 08:00' WHEN k % 4 = 2 THEN y || m || d || '000000' ELSE y || '-' || m || '-' || d END AS transaction_date,
   CASE k % 6 WHEN 0 THEN '$' || CAST(k % 20000 AS STRING) || '.25' WHEN 1 THEN '250000' WHEN 2 THEN '0.5' WHEN 3 THEN '-12.00 USD' WHEN 4 THEN NULL ELSE 'free' END AS transaction_amount,
   CASE k % 8 WHEN 0 THEN 'W/D' WHEN 1 THEN ' DEP ' WHEN 2 THEN 'PUR' WHEN 3 THEN 'XFR' WHEN 4 THEN 'Payment' WHEN 5 THEN 'payment' WHEN 6 THEN NULL ELSE 'W' END AS transaction_type,
   CASE k % 8 WHEN 0 THEN 'acme, inc.' WHEN 1 THEN 'Inc' WHEN 2 THEN '3m   company' WHEN 3 THEN '!!!' WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN 'co foo LLC' ELSE 'null' END AS merchant_name,
@@ -69,15 +69,4 @@ def fixture_sql(orders: str = "orders", customer: str = "customer", nation: str
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty, all-text transaction row per order of ``sf_dir``."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    orders = read("orders")
-    # One dirty row is ~40 text columns built from 3 narrow order columns.  If
-    # the scan yields fewer splits than there are cores (e.g. one row group),
-    # spread the narrow input first so the wide rows are built in parallel; on
-    # a cluster reading many files this is a no-op.
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if orders.rdd.getNumPartitions() < cores:
-            orders = orders.repartition(cores, "o_orderkey")
-    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave the scan as is
-        pass
-    return spark.sql(FIXTURE_SQL, orders=orders, customer=read("customer"), nation=read("nation"))
+    return spark.sql(FIXTURE_SQL, orders=read("orders"), customer=read("customer"), nation=read("nation"))

@@ -34,8 +34,8 @@ def read_raw_csv(
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    """Write text columns as header CSV so that ``read_raw_csv`` gives them back
-    unchanged (edge whitespace kept, empty strings quoted, nulls empty)."""
+    """Write text columns as header CSV for ``read_raw_csv``: edge whitespace is kept;
+    nulls and empty strings both come back as null."""
     (
         df.write.mode("overwrite")
         .option("header", True)

@@ -8,11 +8,14 @@ distributed joins against the target, never driver-side row loops.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.relational import dedup_by_key
+
 
 # K1 --------------------------------------------------------------------------
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -43,16 +46,20 @@ def create_target(
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     keys = ", ".join(f"`{k}`" for k in bucket_by)
-    loc = f" LOCATION '{location}'" if location else ""
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'") if location else None
+    loc = f" LOCATION '{quoted}'" if quoted else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({keys}) INTO {n} BUCKETS{loc}")
 
 
+def buckets_of(spark: SparkSession, name: str) -> tuple[int, list[str]]:
+    """Number of buckets and bucket columns of a table; (0, []) if it has none."""
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    columns = [c.strip().strip("`") for c in info.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
+    return (int(info["Num Buckets"]), columns) if columns else (0, [])
+
+
 def _match_condition(df: DataFrame, target: DataFrame, cols: Sequence[str], null_safe: bool) -> Column:
-    conds = [(df[c].eqNullSafe(target[c]) if null_safe else df[c] == target[c]) for c in cols]
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond & c
-    return cond
+    return reduce(lambda a, b: a & b, [df[c].eqNullSafe(target[c]) if null_safe else df[c] == target[c] for c in cols])
 
 
 # K3 --------------------------------------------------------------------------
@@ -61,21 +68,15 @@ def data_exists(
     target: DataFrame,
     keys: Sequence[str] | None = ("customer_id", "transaction_id"),
     null_safe: bool = False,
-    probe_rows: int | None = None,
 ) -> DataFrame:
     """One row: data_exists (any incoming row already stored), matched_rows.
 
     ``keys=None`` compares every incoming column; with ``null_safe=False`` a
-    row holding a null then never matches, as with SQL ``=``.  ``probe_rows``
-    restricts the probe to that many incoming rows (ordered by the compared
-    columns), the studied job's ten-row spot check; by default the whole
-    batch is probed.
+    row holding a null then never matches, as with SQL ``=``.  The whole batch
+    is probed.
     """
     cols = list(keys) if keys else [c for c in df.columns if c in target.columns]
-    incoming = df.select(*cols)
-    if probe_rows is not None:
-        incoming = incoming.orderBy(*cols).limit(probe_rows)
-    stored = target.select(*cols)
+    incoming, stored = df.select(*cols), target.select(*cols)
     hits = incoming.join(stored, _match_condition(incoming, stored, cols, null_safe), "left_semi")
     return hits.agg(F.count(F.lit(1)).alias("matched_rows")).select(
         (F.col("matched_rows") > 0).alias("data_exists"), "matched_rows"
@@ -83,15 +84,34 @@ def data_exists(
 
 
 # K4 / K5 / K6 ----------------------------------------------------------------
+class Appended(int):
+    """Number of rows appended; ``cast_losses`` has the columns whose type some values did not fit, with how many."""
+
+    cast_losses: dict[str, int]
+
+
+def _value(df: DataFrame, field: T.StructField) -> Column:
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
+    return F.col(field.name).try_cast(field.dataType)
+
+
 def aligned(df: DataFrame, target_schema: T.StructType) -> DataFrame:
-    """``df`` in the target's column order; target columns it lacks become typed nulls."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in target_schema.fields
-        ]
-    )
+    """``df`` in the target's column order; target columns it lacks become typed nulls.
+
+    A null in a column that the schema declares not nullable raises when the rows are evaluated.
+    """
+    return df.select(*_aligned_columns(df, target_schema))
+
+
+def _aligned_columns(df: DataFrame, target_schema: T.StructType) -> list[Column]:
+    out = []
+    for f in target_schema.fields:
+        value = _value(df, f)
+        if not f.nullable:
+            value = F.coalesce(value, F.raise_error(F.lit(f"null in {f.name}, which must not be null")).cast(f.dataType))
+        out.append(value.alias(f.name))
+    return out
 
 
 def align_append(
@@ -100,26 +120,38 @@ def align_append(
     jdbc: dict[str, str] | None = None,
     target_schema: T.StructType | None = None,
     num_partitions: int | None = None,
-) -> int:
+) -> Appended:
     """Append ``df`` to the target by column name; returns the rows written.
 
-    The row count is observed during the write (no second pass).  ``jdbc``
-    (url, dbtable, user, password, driver, ...) writes through JDBC instead;
-    then ``target_schema`` gives the column order.  ``num_partitions`` caps
-    the number of concurrent writers (useful for databases).
+    The row count and the values lost to typing are observed during the write
+    (no second pass).  ``target_schema`` gives the column order and which
+    columns must not be null (a stored table keeps only names and types);
+    ``jdbc`` (url, dbtable, user, password, driver, ...) writes through JDBC
+    and needs it.  Rows for a bucketed table are dealt to its buckets first, so
+    a load adds at most one file to each.  ``num_partitions`` caps the number of
+    concurrent writers otherwise (useful for databases).
     """
     spark = df.sparkSession
     schema = target_schema if target_schema is not None else spark.table(name).schema
-    out = aligned(df, schema)
-    if num_partitions:
-        out = out.repartition(num_partitions)
+    typed = [f for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    lost = {f"_lost_{f.name}": F.col(f.name).isNotNull() & _value(df, f).isNull() for f in typed}
+    rows = df.select(*_aligned_columns(df, schema), *[c.alias(k) for k, c in lost.items()])
+    n_buckets, bucket_columns = (0, []) if jdbc is not None else buckets_of(spark, name)
+    if n_buckets:
+        rows = rows.repartition(n_buckets, *bucket_columns)
+    elif num_partitions:
+        rows = rows.repartition(num_partitions)
+    # Observed last: an empty shuffle below may be planned away, and with it what it observed.
     obs = Observation("append")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = rows.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k)).alias(k) for k in lost]).drop(*lost)
     if jdbc is not None:
         out.write.format("jdbc").options(**jdbc).mode("append").save()
     else:
         out.write.mode("append").insertInto(name)
-    return int(obs.get.get("rows", 0))
+    seen = obs.get
+    result = Appended(seen.get("rows", 0))
+    result.cast_losses = {f.name: seen[f"_lost_{f.name}"] for f in typed if seen.get(f"_lost_{f.name}")}
+    return result
 
 
 # K7 --------------------------------------------------------------------------
@@ -132,23 +164,25 @@ def load_if_new(
     batch_skip: bool = False,
     bucketed: bool = True,
     num_buckets: int | None = None,
-) -> int:
-    """Create the target if missing, then append only rows whose keys are not stored.
-
-    Idempotent per row: loading the same batch twice writes nothing the second
-    time.  ``batch_skip=True`` keeps the all-or-nothing behavior instead: if
-    any incoming row is already stored, nothing is written.  A new target is
-    bucketed by ``keys`` (``bucketed=False`` for a plain table), so the
-    anti-join below never re-shuffles what is already stored.
-    Returns the number of rows appended.
+) -> Appended:
+    """Create the target if missing, then append one row for each key that is not stored.
+
+    Idempotent per key: loading the same rows again writes nothing, however
+    they are partitioned, and of rows that share a key within the batch the
+    smallest is stored.  ``batch_skip=True`` keeps the all-or-nothing behavior
+    instead: if any incoming row is already stored, nothing is written.  A new
+    target is bucketed by ``keys`` (``bucketed=False`` for a plain table), so the
+    anti-join below never re-shuffles what is already stored.  A null in a
+    column that ``schema`` declares not nullable raises.
     """
     spark = df.sparkSession
     create_target(spark, name, schema, location, bucket_by=keys if bucketed else (), num_buckets=num_buckets)
     stored = spark.table(name)
     if batch_skip:
-        hit = data_exists(df, stored, keys).first()
-        if hit is not None and hit["data_exists"]:
-            return 0
-        return align_append(df, name)
-    new = df.join(stored.select(*keys), list(keys), "left_anti")
-    return align_append(new, name)
+        if data_exists(df, stored, keys).first()["data_exists"]:
+            return align_append(df.limit(0), name, target_schema=schema)
+        return align_append(df, name, target_schema=schema)
+    required = {f.name for f in schema.fields if not f.nullable}
+    unkeyed = df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])) if required.intersection(keys) else df.limit(0)
+    one = dedup_by_key(df, keys, tiebreak=None).unionByName(unkeyed)  # rows without a key go on, to raise
+    return align_append(one.join(stored.select(*keys), list(keys), "left_anti"), name, target_schema=schema)

@@ -238,7 +238,7 @@ names AS (
 )"""
 
 
-def _clean_select(src: str = "kept", intended: bool = False) -> str:
+def _clean_select(src: str = "kept", intended: bool = False, key: str = "customer_id") -> str:
     """The typed clean table from the id-filtered rows joined to the rebuilt names.
 
     ``intended`` switches every cleaner with an intended-behavior option to it.
@@ -282,7 +282,7 @@ def _clean_select(src: str = "kept", intended: bool = False) -> str:
         "legacy_id": c_id("r.legacy_id"),
     }
     sel = ",\n  ".join(f"{e} AS {c}" for c, e in cols.items())
-    return f"SELECT\n  {sel}\nFROM {src} r LEFT JOIN names n ON r.customer_id = n.k"
+    return f"SELECT\n  {sel}\nFROM {src} r LEFT JOIN names n ON r.{key} = n.k"
 
 
 ID_RE = r"^ID-\d{8}$"
@@ -296,16 +296,32 @@ RAW_TEXT_COLUMNS = [
 ]
 
 
-def base_ctes() -> str:
+ROW_KEYS = ["src_row", "transaction_id", "customer_id", "legacy_id"]
+# The order in which whole rows without a row number compare: all columns but the key, nulls first.
+WHOLE_ROW = ", ".join(f"{c} ASC NULLS FIRST" for c in RAW_TEXT_COLUMNS if c != "customer_id")
+CLEAN_TYPES = {
+    "dob": "date", "account_open_date": "date", "transaction_date": "date", "age": "int", "credit_score": "int",
+    "annual_income": "double", "account_balance": "double", "transaction_amount": "double", "risk_score": "double",
+    "is_flagged": "boolean", "is_fraud": "boolean",
+}
+TYPED_RAW = (
+    "SELECT src_row, customer_id, "
+    + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in ("transaction_amount", "account_balance", "annual_income", "risk_score"))
+    + ", TRY_CAST(age AS INTEGER) AS age, TRY_CAST(credit_score AS INTEGER) AS credit_score, card_last_four, card_type, "
+    + f"{c_cast_bool('is_fraud')} AS is_fraud, {c_cast_bool('is_flagged')} AS is_flagged, merchant_name FROM raw"
+)
+
+
+def base_ctes(key: str = "customer_id", order: str = "src_row", intended: bool = False) -> str:
     return f"""WITH raw AS ({fixture_sql()}),
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY src_row) AS rn FROM raw WHERE customer_id IS NOT NULL
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM raw WHERE {key} IS NOT NULL
   ) WHERE rn = 1
 ),
 kept AS (SELECT * FROM dedup WHERE regexp_matches(customer_id, '{ID_RE}') AND regexp_matches(transaction_id, '{ID_RE}')),
-{_name_ctes("kept", "customer_id", "dedup").strip()},
-clean AS ({_clean_select()})
+{_name_ctes("kept", key, "dedup").strip()},
+clean AS ({_clean_select(intended=intended, key=key)})
 """
 
 
@@ -346,7 +362,7 @@ def _quality_metrics_sql(src: str, cols_types, intended: bool = False) -> str:
         w = f"count_if(regexp_matches({c}, '^[ \\t\\n\\x0B\\f\\r]+$'))" if is_str else "0"
         parts.append(
             f"SELECT {q(c)} AS \"column\", count({c}) AS total, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
-            f"count(DISTINCT CAST({c} AS VARCHAR)) AS distinct_values, CAST({e} AS BIGINT) AS empty_strings, "
+            f"count(DISTINCT {c}) AS distinct_values, CAST({e} AS BIGINT) AS empty_strings, "
             f"CAST({w} AS BIGINT) AS whitespace_only, count(*) AS _rows FROM {src}"
         )
     u = " UNION ALL ".join(parts)
@@ -365,7 +381,7 @@ CLEAN_STRING_COLS = [
 ]
 
 
-def _business_rules_sql(src: str) -> str:
+def _business_rules_sql(src: str, absent: frozenset = frozenset()) -> str:
     rules = [
         ("invalid_amounts", "transaction_amount < 0 OR transaction_amount > 100000"),
         ("invalid_transaction_dates", "transaction_date < DATE '1900-01-01' OR transaction_date > current_date"),
@@ -378,6 +394,7 @@ def _business_rules_sql(src: str) -> str:
         ("invalid_risk_scores", "risk_score < 0 OR risk_score > 1"),
         ("invalid_card_last_four", "NOT regexp_matches(card_last_four, '^[0-9]{4}$')"),
     ]
+    rules = [(r, "false" if any(c in cond for c in absent) else cond) for r, cond in rules]
     return " UNION ALL ".join(
         f"SELECT {q(r)} AS rule, CAST(count_if({cond}) AS BIGINT) AS violations, "
         f"CAST(count_if({cond}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS violation_pct FROM {src}"
@@ -427,19 +444,26 @@ WHERE EXISTS (SELECT 1 FROM clean c WHERE c.customer_id = i.customer_id AND c.tr
     o["id_filter"] = B + "SELECT * FROM kept"
     o["drop_columns"] = raw_only("SELECT * EXCLUDE (unused_field, temp_data) FROM raw")
     o["drop_empty_rows"] = raw_only(
-        "SELECT * FROM raw WHERE coalesce("
-        + ", ".join(
-            c for c in ["first_name", "last_name", "full_name", "gender", "dob", "age", "email", "phone", "address", "city",
-                        "state", "zip_code", "credit_score", "annual_income", "employment_status", "account_open_date",
-                        "account_type", "account_balance", "transaction_date", "transaction_amount", "transaction_type",
-                        "merchant_name", "merchant_category", "payment_method", "card_last_four", "card_type", "is_fraud",
-                        "is_flagged", "risk_score", "notes", "internal_comments", "unused_field", "temp_data"]
-        )
-        + ") IS NOT NULL"
+        "SELECT * FROM (SELECT "
+        + ", ".join(c if c in ROW_KEYS else f"CASE WHEN src_row % 43 <> 0 THEN {c} END AS {c}" for c in ["src_row", *RAW_TEXT_COLUMNS])
+        + " FROM raw) WHERE NOT ("
+        + " AND ".join(f"{c} IS NULL" for c in RAW_TEXT_COLUMNS if c not in ROW_KEYS)
+        + ")"
     )
-    o["typed_cast"] = B + f"SELECT {cols} FROM clean"
+    o["dedup_no_tiebreak"] = base_ctes(order=WHOLE_ROW) + "SELECT * EXCLUDE (src_row) FROM dedup"
+    o["create_target"] = B + "SELECT CAST(p AS INTEGER) AS position, c AS \"column\", t AS type, (SELECT count(*) FROM clean) AS rows FROM (VALUES " + ", ".join(
+        f"({i}, {q(c)}, {q(CLEAN_TYPES.get(c, 'string'))})" for i, c in enumerate(CLEAN_NAMES)
+    ) + ") AS v(p, c, t)"
+    o["data_exists_all_columns"] = B + """SELECT count(*) > 0 AS data_exists, count(*) AS matched_rows FROM clean
+WHERE customer_id IS NOT NULL AND transaction_id IS NOT NULL AND gender IS NOT NULL AND state IS NOT NULL AND age IS NOT NULL"""
+    o["load_batch_skip"] = B + f"SELECT {cols}, 0 AS second_load_appended FROM clean WHERE customer_id < 'ID-00000500'"
+    o["load_replay"] = base_ctes(order=WHOLE_ROW) + f"SELECT {cols}, 0 AS second_load_appended FROM clean"
+    o["clean_all_by_transaction"] = base_ctes(key="transaction_id") + f"SELECT {cols} FROM clean"
+    o["typed_cast"] = raw_only(f"SELECT * EXCLUDE (age, credit_score) FROM ({TYPED_RAW})")
     o["name_dictionary"] = B + "SELECT 'first' AS kind, name FROM fdict UNION ALL SELECT 'last' AS kind, name FROM ldict"
-    o["hash_sample"] = B + """SELECT * FROM clean
+    o["hash_sample"] = """SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE CAST(('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 8))::BIGINT AS DOUBLE) / CAST(4294967296 AS DOUBLE) < CAST(0.1 AS DOUBLE)"""
+    o["sample_validation"] = B + """SELECT * FROM clean
 WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(4294967296 AS DOUBLE) < least(CAST(100 AS DOUBLE) / CAST((SELECT count(*) FROM clean) AS DOUBLE), CAST(1 AS DOUBLE))"""
     o["describe_numeric"] = B + "SELECT * EXCLUDE (side) FROM (" + _describe(
         "clean", ["transaction_amount", "age", "credit_score", "annual_income", "account_balance", "risk_score"], "cleaned", False
@@ -501,12 +525,12 @@ WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(42
     # quality reports
     o["null_profile"] = B + " UNION ALL ".join(
         f"SELECT {q(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
-        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM clean"
+        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct, count(*) AS total_rows, 34 AS n_columns FROM clean"
         for c in CLEAN_NAMES
     )
     o["null_columns"] = B + "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT {q(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
-        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM clean"
+        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct, count(*) AS total_rows, 34 AS n_columns FROM clean"
         for c in CLEAN_NAMES
     ) + ") WHERE null_count > 0"
     o["before_after_counts"] = B + """SELECT o.n AS original_rows, c.n AS cleaned_rows, o.n - c.n AS difference,
@@ -522,6 +546,12 @@ SELECT "column", 'completeness' AS "check", completeness AS value FROM m WHERE c
 UNION ALL
 SELECT "column", 'uniqueness' AS "check", uniqueness AS value FROM m WHERE uniqueness < 80"""
     o["business_rules"] = B + _business_rules_sql("clean")
+    o["business_rules_intended"] = base_ctes(intended=True) + _business_rules_sql("clean")
+    on_raw = _business_rules_sql("t", {"transaction_date", "dob", "account_open_date"})
+    o["business_rules_raw"] = raw_only(f", t AS ({TYPED_RAW}) ").replace("\n, t AS", ", t AS") + on_raw
+    o["quality_metrics_signed"] = """WITH s AS (SELECT CASE l_linenumber WHEN 1 THEN CAST('-0' AS DOUBLE) WHEN 2 THEN CAST(0 AS DOUBLE) WHEN 3 THEN CAST(l_tax AS DOUBLE) END AS signed,
+  CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN l_returnflag END AS blank, CASE WHEN l_linenumber > 9 THEN l_linenumber END AS empty FROM lineitem)
+""" + _quality_metrics_sql("s", [("signed", False), ("blank", True), ("empty", False)])
     o["rule_summary"] = B + f"""SELECT rule, violations, CASE WHEN violations > 0 THEN 'violation' ELSE 'passed' END AS status
 FROM ({_business_rules_sql('clean')})"""
     num = ["transaction_amount", "age", "credit_score", "annual_income", "account_balance", "risk_score"]
@@ -529,6 +559,7 @@ FROM ({_business_rules_sql('clean')})"""
     any_edge = " OR ".join(f"({c})" for _, c in EDGE)
     reasons = "concat_ws(',', " + ", ".join(f"CASE WHEN {c} THEN {q(n)} END" for n, c in EDGE) + ")"
     o["edge_cases"] = B + f"SELECT {cols}, {reasons} AS reasons FROM clean WHERE {any_edge} ORDER BY customer_id LIMIT 100"
+    o["edge_cases_raw"] = raw_only(f", t AS ({TYPED_RAW}) ").replace("\n, t AS", ", t AS") + f"SELECT src_row, {reasons} AS reasons FROM t WHERE {any_edge} ORDER BY src_row LIMIT 100"
     o["high_value"] = B + f"SELECT {cols} FROM clean WHERE annual_income > 100000 ORDER BY customer_id LIMIT 20"
     o["high_risk"] = B + f"SELECT {cols} FROM clean WHERE risk_score > 0.8 ORDER BY customer_id LIMIT 20"
     o["checkpoint"] = B + " UNION ALL ".join(
@@ -536,8 +567,6 @@ FROM ({_business_rules_sql('clean')})"""
         f"CASE WHEN CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 > 50 THEN 'warning' ELSE 'ok' END AS status FROM clean"
         for c in ["customer_id", "transaction_id", "transaction_amount", "transaction_date"]
     )
-    o["sample_validation"] = o["hash_sample"]
-
     # plain tables
     li = [
         ("l_orderkey", False), ("l_partkey", False), ("l_suppkey", False), ("l_linenumber", False),
@@ -549,7 +578,7 @@ FROM ({_business_rules_sql('clean')})"""
     customer = [("c_custkey", False), ("c_name", True), ("c_nationkey", False), ("c_acctbal", False), ("c_mktsegment", True)]
     o["null_profile_lineitem"] = " UNION ALL ".join(
         f"SELECT {q(c)} AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
-        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct FROM lineitem"
+        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0 AS null_pct, count(*) AS total_rows, {len(li)} AS n_columns FROM lineitem"
         for c, _ in li
     )
     o["quality_metrics_lineitem"] = _quality_metrics_sql("lineitem", li)

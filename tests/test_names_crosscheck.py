@@ -45,7 +45,7 @@ def test_join_form_equals_fold(spark):
     dedup = dedup_by_key(raw)
     first = sorted({r[0] for r in dedup.select(F.lower("first_name")).dropna().distinct().collect()})
     last = sorted({r[0] for r in dedup.select(F.lower("last_name")).dropna().distinct().collect()})
-    joined = full_name_from_dedup(raw.select("src_row", "full_name"), dedup, key="src_row")
+    joined = full_name_from_dedup(raw.select("src_row", "full_name"), dedup, "src_row")
     folded = raw.select("src_row", fold_full_name(F.col("full_name"), first, last).alias("full_name"))
     a = {r["src_row"]: r["full_name"] for r in joined.collect()}
     b = {r["src_row"]: r["full_name"] for r in folded.collect()}

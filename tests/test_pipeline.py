@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 from ledgerlint import Options, clean_all, clean_untyped
 from ledgerlint.operators import quality as Q
 from ledgerlint.operators import relational as R
-from ledgerlint.operators.names import rebuild_full_name
+from ledgerlint.operators.names import full_name_from_dedup, rebuild_full_name
 from ledgerlint.plans.pipeline import plan_steps, run_job
 from ledgerlint.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, RAW_COLUMNS
 from ledgerlint.session import fresh_path
@@ -52,7 +52,7 @@ def test_dedup_hot_key_is_partially_aggregated(spark):
     df = dirty_transactions(spark, SF_SMALL).withColumn("customer_id", F.lit("ID-00000001"))
     out = R.dedup_by_key(df)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert "partial_min" in plan
     assert out.count() == 1
 
 
@@ -235,7 +235,6 @@ def test_batch_skip_and_data_exists(spark):
     with_null = clean.filter(F.col("notes").isNull())
     assert K.data_exists(with_null, stored, keys=None).first()["matched_rows"] == 0
     assert K.data_exists(with_null, stored, keys=None, null_safe=True).first()["matched_rows"] == with_null.count()
-    assert K.data_exists(clean, stored, keys=None, null_safe=True, probe_rows=10).first()["matched_rows"] == 10
     assert K.load_if_new(clean, name, CLEAN_SCHEMA, loc, batch_skip=True) == 0
 
 
@@ -279,22 +278,23 @@ def test_quality_suite_reads_one_clean_copy(spark):
     from ledgerlint.plans.quality_suite import quality_suite
 
     raw = dirty_transactions(spark, SF_SMALL)
-    suite = quality_suite(raw)
-    clean = suite["clean"]
-    # the reports read the written copy, not the raw input
-    plan = suite["business_rules"]._jdf.queryExecution().optimizedPlan().toString()
-    assert "orders" not in plan
-    assert sorted(map(tuple, clean.collect())) == sorted(map(tuple, clean_all(raw).collect()))
-    rules = {r["rule"]: r["violations"] for r in suite["business_rules"].collect()}
-    assert rules == {r["rule"]: r["violations"] for r in Q.business_rules(clean_all(raw)).collect()}
-    assert suite["before_after_counts"].first()["original_rows"] == raw.count()
-    for name, df in suite.items():
-        df.collect()
+    before = listing(spark)
+    with quality_suite(raw) as suite:
+        clean = suite["clean"]
+        # the reports read the written copy, not the raw input
+        plan = suite["business_rules"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "orders" not in plan
+        assert sorted(map(tuple, clean.collect())) == sorted(map(tuple, clean_all(raw).collect()))
+        rules = {r["rule"]: r["violations"] for r in suite["business_rules"].collect()}
+        assert rules == {r["rule"]: r["violations"] for r in Q.business_rules(clean_all(raw)).collect()}
+        assert suite["before_after_counts"].first()["original_rows"] == raw.count()
+        for name, df in suite.items():
+            df.collect()
+    assert listing(spark) == before
 
 
 def test_shuffle_join_path_gives_same_result(spark):
-    """The plan a large input gets (no broadcast joins, bucketed scans feeding the
-    name regroup, the join back and the load's anti-join) returns the same rows."""
+    """The plan a large input gets (no broadcast joins) returns the same rows."""
     raw = dirty_transactions(spark, SF_SMALL)
     expected = sorted(map(tuple, clean_all(raw).collect()))
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
@@ -305,8 +305,7 @@ def test_shuffle_join_path_gives_same_result(spark):
         clean = clean_all(raw)
         assert sorted(map(tuple, clean.collect())) == expected
         plan = clean._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-        assert "Bucketed: true" in plan
+        assert "SortMergeJoin" in plan
         name, loc = _target(spark)
         assert K.load_if_new(clean, name, CLEAN_SCHEMA, loc) == len(expected)
         assert K.load_if_new(clean, name, CLEAN_SCHEMA, loc) == 0
@@ -318,24 +317,118 @@ def test_shuffle_join_path_gives_same_result(spark):
                 spark.conf.set(k, v)
 
 
-def test_salted_name_join_gives_same_result(spark):
-    raw = dirty_transactions(spark, SF_SMALL)
-    plain = sorted(map(tuple, clean_all(raw).collect()))
-    salted = sorted(map(tuple, clean_all(raw, Options(name_salt=7)).collect()))
-    assert salted == plain
-
-
-def test_run_job_removes_its_intermediates(spark):
+def listing(spark):
+    """Everything in the shared folder and the catalog."""
     import os
 
-    from ledgerlint.plans import materialize as M
+    shared = fresh_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    return sorted(os.listdir(shared)) if os.path.isdir(shared) else [], sorted(t.name for t in spark.catalog.listTables())
+
 
+def test_run_job_removes_its_intermediates(spark):
     name, loc = _target(spark)
-    before = M.written_mark()
-    shared = fresh_path(spark, "x").rsplit("/", 1)[0]
-    listing = lambda: {p for p in os.listdir(shared.removeprefix("file:")) if p.startswith(("dedup-", "clean-"))}
-    existing = listing()
+    before = listing(spark)
     n = run_job(dirty_transactions(spark, SF_SMALL), name, loc)
     assert n > 0 and spark.table(name).count() == n
-    assert M.written_mark() == before
-    assert listing() == existing
+    folders, tables = listing(spark)
+    assert set(folders) - set(before[0]) == {loc.rsplit("/", 1)[-1]} and set(tables) - set(before[1]) == {name}
+
+
+def test_clean_all_is_lazy_and_leaves_nothing(spark):
+    raw = dirty_transactions(spark, SF_SMALL)
+    before = listing(spark)
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    clean = clean_all(raw)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    clean.count()
+    assert listing(spark) == before
+
+
+def no_row_number(spark):
+    return dirty_transactions(spark, SF_SMALL).drop("src_row")
+
+
+def test_replayed_rows_in_other_partitions_add_nothing(spark):
+    name, loc = _target(spark)
+    raw = no_row_number(spark)
+    n = run_job(raw.repartition(3, "first_name"), name, loc)
+    assert n == raw.select("customer_id").distinct().join(clean_all(raw).select("customer_id"), "customer_id").count() > 0
+    assert run_job(raw.repartition(7, "transaction_id"), name, loc) == 0
+    assert spark.table(name).count() == n
+
+
+def test_load_takes_one_row_of_each_key_and_no_null_keys(spark):
+    clean = clean_all(dirty_transactions(spark, SF_SMALL))
+    name, loc = _target(spark)
+    assert K.load_if_new(clean.unionByName(clean), name, CLEAN_SCHEMA, loc) == clean.count()
+    bad = spark.createDataFrame([("ID-00000001", None, "x")], "customer_id string, transaction_id string, age string")
+    with pytest.raises(Exception, match="transaction_id, which must not be null"):
+        K.load_if_new(bad, name, CLEAN_SCHEMA, loc)
+    odd = spark.createDataFrame([("ID-99999999", "ID-99999999", "notanumber", "7")], "customer_id string, transaction_id string, age string, credit_score string")
+    done = K.load_if_new(odd, name, CLEAN_SCHEMA, loc)
+    assert done == 1 and done.cast_losses == {"age": 1}
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_load_adds_at_most_one_file_to_each_bucket(spark, threshold):
+    import os
+
+    raw = dirty_transactions(spark, SF_SMALL)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in names}
+    name, loc = _target(spark)
+    files = lambda: sum(f.endswith(".parquet") for f in os.listdir(loc.removeprefix("file:")))
+    try:
+        for k in names:
+            spark.conf.set(k, threshold)
+        clean = clean_all(raw).repartition(6)
+        assert K.load_if_new(clean.filter("customer_id < 'ID-00000100'"), name, CLEAN_SCHEMA, loc, num_buckets=5) > 0
+        first = files()
+        assert K.load_if_new(clean, name, CLEAN_SCHEMA, loc) > 0
+        assert first <= 5 and files() <= first + 5
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_names_follow_the_row_key_not_the_customer(spark):
+    rows = [("ID-00000001", "ID-00000001", "John", "Smith", "John Smith"), ("ID-00000001", "ID-00000002", "Ana", "Lee", "Ana Lee")]
+    raw = spark.createDataFrame(rows, "customer_id string, transaction_id string, first_name string, last_name string, full_name string")
+    out = clean_all(raw, Options(dedup_keys=("transaction_id",)))
+    assert {r["transaction_id"]: r["full_name"] for r in out.collect()} == {"ID-00000001": "John Smith", "ID-00000002": "Ana Lee"}
+    names = raw.select(F.lower("first_name").alias("name"))
+    with pytest.raises(Exception, match="not unique per row"):
+        rebuild_full_name(raw, names, names, "customer_id").collect()
+
+
+def test_a_missing_key_skips_the_step_and_says_so(spark):
+    raw = dirty_transactions(spark, SF_SMALL)
+    keys = Options(dedup_keys=("customer_id", "transaction_id"))
+    assert "dedup" in plan_steps(raw.drop("transaction_id").columns, keys)[1]
+    assert clean_all(raw.drop("transaction_id"), keys).count() == raw.count()
+
+
+@pytest.mark.parametrize("dropped", [("customer_id",), ("transaction_id",), ("customer_id", "transaction_id"), ("full_name",), ("first_name",), ("last_name",)])
+def test_steps_with_missing_columns(spark, dropped):
+    raw = dirty_transactions(spark, SF_SMALL).drop(*dropped)
+    applied, skipped = plan_steps(raw.columns)
+    assert set(skipped) >= {c for c in dropped if c != "full_name"} | ({"full_name"} if {"full_name", "first_name", "last_name"} & set(dropped) else set())
+    assert ("dedup" in skipped) == ("customer_id" in dropped) and ("id_filter" in skipped) == bool({"customer_id", "transaction_id"} & set(dropped))
+    out = clean_all(raw)
+    got = {r["full_name"] for r in out.collect()} if "full_name" in out.columns else set()
+    if "full_name" in applied:  # rebuilt with or without a key
+        assert got and got <= {r["full_name"] for r in full_name_from_dedup(raw.select("full_name").distinct(), raw).collect()} | {None}
+
+
+def test_quality_metrics_of_an_empty_table_and_signed_zeros(spark):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, None), (1.0, 2), (None, 2)], "x double, n int")
+    assert {r["column"]: r["distinct_values"] for r in Q.quality_metrics(df).collect()} == {"x": 2, "n": 2}
+    for approx in (False, True):
+        empty = Q.quality_metrics(df.limit(0), approx_distinct=approx).collect()
+        assert sorted((r["column"], r["total"], r["distinct_values"]) for r in empty) == [("n", 0, 0), ("x", 0, 0)]
+
+
+def test_checkpoint_without_critical_columns(spark):
+    assert Q.checkpoint(spark.range(3)).count() == 0
+    with pytest.raises(Exception, match="empty dataset"):
+        Q.checkpoint(spark.range(0)).collect()

@@ -136,7 +136,8 @@ def _mix(sized: DataFrame, weights, share, most, block, seed):
     named = sized.join(F.broadcast(sources.select(F.col("source").alias("_source"), "source_id", "source_size", "target")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = running_offsets(named, ["source_id"], ["doc_id", "tie"], n_rows, F.col("size"))
     times = slot_plan(sources, total, seed=seed).groupBy("source_id", "block").agg(F.count(F.lit(1)).alias("times"))
-    return block_pieces(placed, block).join(times, ["source_id", "block"], "left")
+    # Spark can't foresee how many slots the source table becomes: without the hint it may broadcast them.
+    return block_pieces(placed, block).join(times.hint("merge"), ["source_id", "block"], "left")
 
 
 def _sized(docs: DataFrame, id: str, text: str, source: str, *more: Column) -> DataFrame:

@@ -13,9 +13,9 @@ least ``PRECISION`` of the proposals are base spans.  Looser spans that reach it
 added; base spans always stay.
 
 Features are binned, so the corpus comes down to counts of at most
-``GRID`` different feature rows, on which the driver fits the trees; these are
-then written out as DataFrame expressions.  All work on texts is done by
-DataFrame functions.
+``GRID`` different feature rows, on which the driver fits the trees; their answer
+for each of these rows is joined back.  All work on texts is done by DataFrame
+functions.
 
 Patterns use possessive quantifiers where they match the same: they neither
 recurse nor go back in very long runs.
@@ -230,13 +230,6 @@ def thresholds(kind: np.ndarray, score: np.ndarray, label: np.ndarray, weight: n
     return out
 
 
-def _expression(tree, features: list[Column]) -> Column:
-    if isinstance(tree, float):
-        return F.lit(tree)
-    f, b, low, high = tree
-    return F.when(features[f] <= b, _expression(low, features)).otherwise(_expression(high, features))
-
-
 def detected(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added."""
     found = written(proposals(docs, id, text), "proposals")
@@ -244,16 +237,19 @@ def detected(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     grid = found.filter("kind is not null").groupBy(*names, "base").agg(F.count(F.lit(1)).alias("n")).collect()  # at most GRID rows
     x = np.array([[r[n] for n in names] for r in grid], np.int64).reshape(-1, len(names))
     label, weight = np.array([float(r["base"]) for r in grid]), np.array([float(r["n"]) for r in grid])
-    chosen = F.col("base")
+    added: list[tuple] = []
     if len(grid):
         order = np.lexsort(x.T[::-1])
         x, label, weight = x[order], label[order], weight[order]
         first, trees = fit(x, label, weight)
-        margin = sum((_value(t, x) for t in trees), np.full(len(x), first))
-        limits = thresholds(x[:, 0], 1 / (1 + np.exp(-margin)), label, weight)
-        total = reduce(lambda a, b: a + b, [_expression(t, [F.col(n) for n in names]) for t in trees], F.lit(first))
-        chosen = F.col("base") | (1 / (1 + F.exp(-total)) >= _of_kind(lambda k: F.lit(limits[KINDS.index(k)] - 1e-9)))
-    spans = found.select("rid", "doc_id", "base", F.when(F.col("kind").isNotNull() & chosen, F.struct("kind", "start", "end")).alias("span"))
+        score = 1 / (1 + np.exp(-sum((_value(t, x) for t in trees), np.full(len(x), first))))
+        limits = np.array(thresholds(x[:, 0], score, label, weight))
+        added = sorted({tuple(map(int, row)) for row in x[score >= limits[x[:, 0]] - 1e-9]})
+    # The trees' answer for every feature row there is: a table of at most GRID rows.
+    answers = docs.sparkSession.createDataFrame([(*row, True) for row in added], ", ".join(f"{n} int" for n in names) + ", added boolean")
+    scored = found.join(F.broadcast(answers), names, "left")
+    chosen = F.col("kind").isNotNull() & (F.col("base") | F.coalesce("added", F.lit(False)))
+    spans = scored.select("rid", "doc_id", "base", F.when(chosen, F.struct("kind", "start", "end")).alias("span"))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda s: F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.when(F.col("base"), F.col("span"))
     counts = [F.count(F.when(F.col("base") & (F.col("span.kind") == k), 1)).alias(f"n_{name}") for k, name in enumerate(KINDS)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,7 +23,15 @@ _fold[0x41:0x5B] += 0x20
 FOLDED_WORDS = (_alnum, _fold)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if it is not installed for them."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(":"):
+        known["PYTHONPATH"] = ":".join(filter(None, [known.get("PYTHONPATH"), root]))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

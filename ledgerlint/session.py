@@ -17,8 +17,8 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlint") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlint", checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, AQE on, UTC; a checkpoint folder of its own if none is given)."""
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -26,12 +26,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="ledgerlint-"))
     )
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_shared_dir(spark)
     return spark
 
 

@@ -3,6 +3,13 @@ from __future__ import annotations
 import pytest
 
 
+@pytest.fixture(autouse=True)
+def workers_find_the_package(spark):
+    from ledgerlint.llm.common import importable
+
+    importable(spark)
+
+
 @pytest.fixture()
 def docs_of(spark):
     """A ``documents`` table of (doc_id, text[, lang[, source]]) rows."""

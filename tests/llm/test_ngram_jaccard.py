@@ -75,7 +75,7 @@ def test_equals_brute_force(spark, docs_of):
 
 def test_large_groups_split_by_pivots_and_blocks(spark, docs_of, monkeypatch):
     rows = corpus(8, 60, 2)
-    for name, value in (("SMALL", 6), ("BLOCK_SHINGLES", 900), ("MAX_DEPTH", 3)):
+    for name, value in (("SMALL", 3), ("WHOLE", 6), ("BLOCK_SHINGLES", 900), ("MAX_DEPTH", 3)):
         monkeypatch.setattr(J, name, value)
     got = Counter(tuple(r) for r in J.classes(docs_of(rows)).collect())
     assert got == brute(rows)

@@ -54,7 +54,7 @@ TRICKY = ["", " ", "a  b\n\n c", "it's  'ere I'LL", "tab\t\tx \n \n y ", "  x
 
 def test_both_tokenizers_give_the_same_ids(spark):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f, open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as g:
-        encode = P._encoder(f.read(), g.read())
+        encode = P._Encoder(f.read(), g.read())
     t = tokens()
     rng = random.Random(5)
     fuzz = ["".join(rng.choice("ab's \n\t.,1é漢 LdT") for _ in range(rng.randrange(80))) for _ in range(2000)]

@@ -13,7 +13,7 @@ import corpus_pipeline as C
 from ledgerlint.llm import mixing
 from ledgerlint.llm.common import written
 
-from test_ngram_jaccard import shingles
+from .test_ngram_jaccard import shingles
 
 SF = "/root/testdata/sf0.001"
 

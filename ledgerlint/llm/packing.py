@@ -28,6 +28,7 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import sha256
 from zlib import crc32
 
 import numpy as np
@@ -45,26 +46,38 @@ LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
 PIECES = "doc_id long, tie long, piece int, start long, length long, ids_crc32 long"
 
 
-def _encoder(ranks: bytes, model: bytes):
-    """Two public tokenizers of one vocabulary that give the same ids; the first is faster on ordinary text."""
-    import public_tokenizers
-    import tiktoken
-    from tokenizers import Tokenizer
+class _Encoder:
+    """Two public tokenizers of one vocabulary that give the same ids; the first is faster on ordinary text.
+
+    One encoder serves all tasks of a Python worker: its tables take tens of MB.
+    """
+
+    latest: tuple[str, _Encoder] | None = None
+
+    def __init__(self, ranks: bytes, model: bytes):
+        import public_tokenizers
+        import tiktoken
+
+        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
+        self.fast = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        self.model, self.steady = model, None
 
-    table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-    fast = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    steady: list = []
+    @classmethod
+    def of(cls, name: str, files) -> _Encoder:
+        if cls.latest is None or cls.latest[0] != name:
+            cls.latest = None
+            cls.latest = (name, cls(*files.value))
+        return cls.latest[1]
 
-    def encode(text: str) -> np.ndarray:
+    def __call__(self, text: str) -> np.ndarray:
         if len(text) < 2000 or not LONG_RUN.search(text):
-            return fast.encode_to_numpy(text, disallowed_special=())
-        if not steady:
-            t = Tokenizer.from_buffer(model)
-            t.encode_special_tokens = True
-            steady.append(t)
-        return np.array(steady[0].encode(text, add_special_tokens=False).ids, np.uint32)
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        if self.steady is None:
+            from tokenizers import Tokenizer
 
-    return encode
+            self.steady = Tokenizer.from_buffer(self.model)
+            self.steady.encode_special_tokens = True
+        return np.array(self.steady.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def pieces_of(n_tokens: int, length: int) -> list[tuple[int, int]]:
@@ -79,11 +92,12 @@ def tokenised(docs: DataFrame, id: str = "doc_id", text: str = "text", length: i
 
     context = docs.sparkSession.sparkContext
     with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f, open(model_path or public_tokenizers.path("byte_bpe_50k.json"), "rb") as g:
-        files = context.broadcast((f.read(), g.read()))
+        read = f.read(), g.read()
+    files, name = context.broadcast(read), sha256(read[0] + read[1]).hexdigest()
     end = np.array([end_id], np.uint32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(*files.value)
+        encode = _Encoder.of(name, files)
         for b in batches:
             out = []
             for doc, tie, body in zip(b["doc_id"], b["tie"], b["body"]):

@@ -27,6 +27,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return found.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(found.select("u", F.col("m").alias("v")))
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (u, v) leads down to v, every u has one v, and no v has another: nothing is left to join."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.col("v").alias("to")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(None).cast("long").alias("to"))
+    )
+    nodes = ends.groupBy("node").agg(F.min("child").alias("low"), F.max("child").alias("high"), F.min("to").alias("first"), F.max("to").alias("last"))
+    return nodes.filter("low <> high or first <> last or first > node").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of an edge; root is the component's least node.
 
@@ -36,12 +45,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     now = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v").distinct()
     now = written(now, "edges")
-    state = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if seen == state or not seen[0]:
-            break
-        state = seen
+    while not _are_stars(now):
         now = written(_small_star(_large_star(now)).filter("u <> v").distinct(), "edges")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

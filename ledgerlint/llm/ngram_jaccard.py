@@ -8,13 +8,14 @@ Candidates.  A node's set is embedded as 64 min-wise values.  Each run starts
 from all nodes and splits recursively: a bucket chooses a coordinate at random
 (with probability 1/4 a second one, so that 1/0.8 children hold a pair on
 average) and sends each node on by its value there.  A bucket of at most
-``SMALL`` nodes is compared by brute force on the min-wise values.  In a larger
-bucket a few pivots are drawn: nodes much like a pivot are linked to it and
+``WHOLE`` nodes is compared by brute force on the min-wise values, in blocks of
+``SMALL``.  In a larger bucket a few pivots are drawn: nodes much like a pivot are linked to it and
 leave (whatever is similar to them is itself linked to the pivot, by the
 triangle inequality of the Jaccard distance); the others are split again.
 After ``MAX_DEPTH`` splits what is left is compared by brute force in blocks, so
 no bucket is cut off.  Runs are repeated until the chance to meet in no run, at
-the depth reached, is below 1 - ``recall``.
+the depth reached, is below 1 - ``recall``; nodes that left with a pivot are
+then represented by it.
 
 Verification.  Candidate links only join nodes into components, within which
 whole shingle sets are compared exactly, block by block (a large component is
@@ -31,8 +32,8 @@ null; an empty table gives an empty result; extra columns are ignored by
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -45,15 +46,19 @@ from ledgerlint.llm.components import components
 WIDTH = 5
 THRESHOLD = 0.8
 COORDINATES = 64
-RUNS = 6  # runs started together
+RUNS = 12  # runs started together: enough for RECALL down to four splits
 RECALL = 0.9999
-SMALL = 200
+#: Nodes in a block of a brute-force comparison of min-wise values, and in a bucket that is not split any more.
+SMALL = 1_000
+WHOLE = 4_000
 MAX_DEPTH = 6
 PIVOTS = 4
-#: Estimated similarities, of which 64 coordinates have a standard error of 0.05 near 0.8: at or above which
-#: a link is a candidate, and at or above which a node leaves with its pivot.
-CANDIDATE = 0.6
-LEAVES = 0.9
+#: Estimated similarity (64 coordinates: a standard error of 0.05 near 0.8) at or above which a pair is a candidate.
+#: A pair at 0.8 misses it with a chance of 4 in a million.
+CANDIDATE = 0.55
+#: The same with a pivot.  Whatever is at least 0.8 similar to a node that leaves is at least 0.6 similar to its pivot.
+PIVOT_LINK = 0.5
+LEAVES = 0.8
 #: Shingles in one side of a block comparison; bounds a task's memory.
 BLOCK_SHINGLES = 500_000
 
@@ -127,21 +132,30 @@ def _first_paths(runs: list[int]):
 
 
 def _by_pivots(depth: int):
-    """Links of nodes to their bucket's pivots, and the paths on which the others go on."""
+    """Links of nodes to their bucket's pivots, and the paths on which the others go on.
+
+    Rows (a, b, path): a link has a node or pivot in ``b`` and 1 in ``path`` if ``a`` leaves with it; a node that
+    goes on has -1 in ``b``.  A node linked to several pivots has a link to the first; the pivots are linked too.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if not len(b):
                 continue
-            own = _array(b["sketch"])
-            node = b["node"].to_numpy()
-            stays = np.ones(len(b), bool)
-            for k in range(PIVOTS):
-                alike = (own == _array(b[f"sketch{k}"])).mean(axis=1)
-                linked = (alike >= CANDIDATE) & (node != b[f"pivot{k}"].to_numpy())
-                yield pd.DataFrame({"a": node[linked], "b": b[f"pivot{k}"].to_numpy()[linked], "path": 0})
-                stays &= alike < LEAVES
-            left = np.flatnonzero(stays)
+            own, node = _array(b["sketch"]), b["node"].to_numpy()
+            pivots = b[[f"pivot{k}" for k in range(PIVOTS)]].to_numpy()
+            alike = np.stack([(own == _array(b[f"sketch{k}"])).mean(axis=1) for k in range(PIVOTS)], axis=1)
+            other = pivots != node[:, None]
+            linked = (alike >= PIVOT_LINK) & other
+            some = np.flatnonzero(linked.any(axis=1))
+            first = pivots[some, linked[some].argmax(axis=1)]
+            leaves = alike.max(axis=1) >= LEAVES
+            yield pd.DataFrame({"a": node[some], "b": first, "path": ((alike >= LEAVES) & other).any(axis=1)[some].astype(np.int64)})
+            more = linked[some] & (pivots[some] != first[:, None])
+            row, k = np.nonzero(more)
+            between = np.unique(np.stack([first[row], pivots[some][row, k]], axis=1), axis=0)
+            yield pd.DataFrame({"a": between[:, 0], "b": between[:, 1], "path": 0})
+            left = np.flatnonzero(~leaves)
             at, path = _children(b["path"].to_numpy()[left], own[left], depth)
             yield pd.DataFrame({"a": node[left][at], "b": -1, "path": path})
 
@@ -235,36 +249,40 @@ def _join_size(rows: DataFrame) -> DataFrame:
 
 def candidate_edges(nodes: DataFrame, recall: float = RECALL) -> DataFrame:
     """Edges (a, b) that connect all candidate pairs of ``nodes`` (node, sketch; a stored table)."""
-    sketches = nodes.select("node", "sketch")
+    active = nodes.select("node", "sketch")
     found, done, met = [], 0, 1.0
     while 1 - met < recall or not done:
-        deepest = 1
-        rows = sketches.mapInPandas(_first_paths(list(range(done, done + RUNS))), "path long, node long")
+        deepest, left, pivot_nodes = 1, [], []
+        rows = active.mapInPandas(_first_paths(list(range(done, done + RUNS))), "path long, node long")
         for depth in range(1, MAX_DEPTH + 1):
             sized = written(_join_size(rows), "buckets")
             last = depth == MAX_DEPTH
-            small = _in_blocks(sized if last else sized.filter(F.col("size") <= SMALL), "size", SMALL).join(sketches, "node")
+            small = _in_blocks(sized if last else sized.filter(F.col("size") <= WHOLE), "size", SMALL).join(active, "node")
             small = small.select("path", "lo", "hi", "node", "sketch").repartition("path", "lo", "hi").sortWithinPartitions("path", "lo", "hi")
             found.append(small.mapInPandas(_compare_sketches, "a long, b long"))
-            large = sized.filter(F.col("size") > SMALL)
+            large = sized.filter(F.col("size") > WHOLE)
             if last or large.isEmpty():
                 break
             deepest = depth + 1
-            large = large.select("path", "node").join(sketches, "node")
-            first = [F.min(F.struct(F.xxhash64("node", "path", F.lit(k)), "node", "sketch")).alias(f"p{k}") for k in range(PIVOTS)]
+            large = large.select("path", "node").join(active, "node")
+            first = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "sketch")).alias(f"p{k}") for k in range(PIVOTS)]
             pivots = large.groupBy("path").agg(*first)
             pivots = pivots.select("path", *[F.col(f"p{k}.node").alias(f"pivot{k}") for k in range(PIVOTS)], *[F.col(f"p{k}.sketch").alias(f"sketch{k}") for k in range(PIVOTS)])
             more = F.crc32(F.col("path").cast("string").cast("binary"))
             held = large.withColumn("more", more).join(pivots.withColumn("more", more), ["path", "more"]).drop("more")
             split = written(held.mapInPandas(_by_pivots(depth), "a long, b long, path long"), "split")
-            found.append(split.filter("b >= 0").select("a", "b"))
+            links = split.filter("b >= 0")
+            found.append(links.select("a", "b"))
+            left.append(links.filter("path = 1").select(F.col("a").alias("node")))
+            pivot_nodes.append(links.select(F.col("b").alias("node")))
             rows = split.filter("b < 0").select("path", F.col("a").alias("node"))
         done += RUNS
         met *= _missed(deepest) ** RUNS
-    edges = found[0]
-    for f in found[1:]:
-        edges = edges.unionByName(f)
-    return edges
+        if left and 1 - met < recall:
+            # What left with a pivot need not run again: its pivot stands for it.
+            gone = reduce(DataFrame.union, left).distinct().join(reduce(DataFrame.union, pivot_nodes).distinct(), "node", "left_anti")
+            active = written(active.join(gone, "node", "left_anti"), "active")
+    return reduce(DataFrame.unionByName, found)
 
 
 def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:

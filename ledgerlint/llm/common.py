@@ -42,6 +42,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class PerWorker:
+    """One object that a Python worker keeps between tasks (a tokenizer, a cache): the latest asked for by any operator."""
+
+    latest: tuple | None = None
+
+    @classmethod
+    def get(cls, name: str, make):
+        if cls.latest is None or cls.latest[0] != name:
+            cls.latest = None  # frees the one before first
+            cls.latest = (name, make())
+        return cls.latest[1]
+
+
 def text_bytes(col: Column) -> Column:
     """UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(col, F.lit("")).cast("binary")

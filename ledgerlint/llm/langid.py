@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import mix64, written
+from ledgerlint.llm.common import PerWorker, mix64, written
 
 UNKNOWN = "und"
 MAX_TRAIN_ROWS = 8_000
@@ -47,7 +47,7 @@ MIN_SCORE = 0.5
 MAX_WORD = 32
 UNCOVERED = 1e-7  # probability of a character outside the vocabulary
 SMOOTHING = 0.1  # added to every piece's expected count
-CACHED_WORDS = 700_000  # words whose scores a task keeps; only speed depends on it
+CACHED_WORDS = 300_000  # words whose scores a task keeps; only speed depends on it
 SCALE = 1024.0  # by which sums grow with each character, to stay in range
 MARK = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -255,17 +255,9 @@ def fit(
 class _Scores:
     """Words' scores under one model, as far as they are kept; one table serves all tasks of a Python worker."""
 
-    latest: tuple[str, _Scores] | None = None
-
     def __init__(self, model: Model):
         self.model, self.known, self.table = model, {}, np.zeros((1024, len(model.langs)))
 
-    @classmethod
-    def of(cls, name: str, shared) -> _Scores:
-        if cls.latest is None or cls.latest[0] != name:
-            cls.latest = (name, cls(shared.value))
-        return cls.latest[1]
-
     def totals(self, bags: list[list[str]]) -> list[np.ndarray]:
         """Each bag's summed log probabilities."""
         known = self.known
@@ -288,7 +280,7 @@ def scorer(spark, model: Model):
 
     @F.pandas_udf("lang string, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scores = _Scores.of(name, shared)
+        scores = PerWorker.get(name, lambda: _Scores(shared.value))
         learnt = scores.model.langs
         for texts in batches:
             out = []

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import running_offsets, written
+from ledgerlint.llm.common import PerWorker, running_offsets, written
 
 LENGTH = 1024
 END_ID = 2
@@ -47,12 +47,7 @@ PIECES = "doc_id long, tie long, piece int, start long, length long, ids_crc32 l
 
 
 class _Encoder:
-    """Two public tokenizers of one vocabulary that give the same ids; the first is faster on ordinary text.
-
-    One encoder serves all tasks of a Python worker: its tables take tens of MB.
-    """
-
-    latest: tuple[str, _Encoder] | None = None
+    """Two public tokenizers of one vocabulary that give the same ids; the first is faster on ordinary text."""
 
     def __init__(self, ranks: bytes, model: bytes):
         import public_tokenizers
@@ -62,13 +57,6 @@ class _Encoder:
         self.fast = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.model, self.steady = model, None
 
-    @classmethod
-    def of(cls, name: str, files) -> _Encoder:
-        if cls.latest is None or cls.latest[0] != name:
-            cls.latest = None
-            cls.latest = (name, cls(*files.value))
-        return cls.latest[1]
-
     def __call__(self, text: str) -> np.ndarray:
         if len(text) < 2000 or not LONG_RUN.search(text):
             return self.fast.encode_to_numpy(text, disallowed_special=())
@@ -97,7 +85,7 @@ def tokenised(docs: DataFrame, id: str = "doc_id", text: str = "text", length: i
     end = np.array([end_id], np.uint32)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _Encoder.of(name, files)
+        encode = PerWorker.get(name, lambda: _Encoder(*files.value))  # its tables take tens of MB
         for b in batches:
             out = []
             for doc, tie, body in zip(b["doc_id"], b["tie"], b["body"]):

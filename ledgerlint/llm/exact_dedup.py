@@ -62,7 +62,7 @@ def _count_slots(bits: int):
             # A text's two slots may coincide: it must not count itself twice.
             held += [a, c[c != a]]
             size += 2 * len(a)
-            if size >= 4_000_000:
+            if size >= 1_000_000:
                 yield emit(np.concatenate(held))
                 held, size = [], 0
         if size:

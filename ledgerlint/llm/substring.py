@@ -193,7 +193,7 @@ def _search(width: int):
 
 def _remove(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (b.iloc[lo : lo + 500] for b in batches for lo in range(0, len(b), 500)):
             out = []
             for doc, body, covered in zip(b["doc_id"].astype("Int64"), b["body"], b["covered"]):
                 words = body.split()  # bytes: ASCII white space alone

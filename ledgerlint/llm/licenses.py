@@ -6,7 +6,10 @@ its rarest licence words are looked up; their postings are intersected by
 relative position (position in the text less position in the template), so
 words that stand to each other as in the template add up.  A template whose
 aligned words carry at least ``MIN_SCORE`` of its weight is a candidate, and is
-reported if the text also has its mandatory key phrase word for word.
+reported if the text also has its mandatory key phrase word for word.  A
+template whose key phrase is in the text is scored over all its own words too,
+each with a weight of at least ``LEAST_IDF``: other licences in the same text,
+or a notice that most files have, cannot hide it.  The greater score counts.
 
 Besides, four fixed phrases are found exactly (the *base*).
 
@@ -57,7 +60,8 @@ TEMPLATES = (
     ("cc-by-nd", "licensed under cc by nd 4 0", "cc by nd"),
 )
 RAREST = 24  # words of a text that are looked up
-MIN_IDF = 0.7  # a word that half of all texts have tells nothing
+MIN_IDF = 0.7  # a word that half of all texts have tells nothing in the first look-up
+LEAST_IDF = 0.1  # weight that any word of a template keeps where its key phrase stands
 MIN_SCORE = 0.6
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -82,8 +86,34 @@ def _phrase(body: Column, phrase: str) -> tuple[Column, Column, Column]:
     return F.when(has, F.size(parts) - 1).otherwise(0).cast("long"), F.when(has, first), F.when(has, last)
 
 
+def _scores(placed: DataFrame, weight: list[float]) -> DataFrame:
+    """(doc_id, tie, template, score) at the best offset of each template. ``placed``: doc_id, tie, template, pos, at, weight."""
+    placed = placed.groupBy("doc_id", "tie", "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.collect_set(F.struct("at", "weight")).alias("found"))
+    sums = F.aggregate("found", F.lit(0.0), lambda total, f: total + f["weight"])
+    full = F.element_at(F.array(*[F.lit(max(w, 1e-9)) for w in weight]), F.col("template") + 1)
+    return placed.groupBy("doc_id", "tie", "template").agg(F.max(F.least(sums / full, F.lit(1.0))).alias("score")).filter(F.col("score") >= MIN_SCORE)
+
+
+def _keys(body: Column) -> Column:
+    """For each template whether its key phrase is in the text."""
+    padded = F.concat(F.lit(" "), body, F.lit(" "))
+    return F.array(*[padded.contains(f" {key} ") for _, _, key in TEMPLATES])
+
+
+def _keyed(docs: DataFrame, idf: dict[str, float]) -> DataFrame:
+    """(doc_id, tie, template, score) over all words of the templates whose key phrase is in the text."""
+    postings = [(w, t, at, max(idf[w], LEAST_IDF)) for t, (_, text, _) in enumerate(TEMPLATES) for at, w in enumerate(text.split())]
+    weight = [sum(p[3] for p in postings if p[1] == t) for t in range(len(TEMPLATES))]
+    lookup = F.broadcast(docs.sparkSession.createDataFrame(postings, "word string, template int, at int, weight double"))
+    # One pattern, so that the filter names the text's words only once.
+    some = F.col("body").rlike(r"(?<![^ ])(?:" + "|".join(sorted({key for _, _, key in TEMPLATES})) + r")(?![^ ])")
+    own = docs.filter(some).select("doc_id", "tie", "body", _keys(F.col("body")).alias("keys"))
+    words = own.select("doc_id", "tie", "keys", F.posexplode(F.split("body", " ")).alias("pos", "word"))
+    return _scores(words.join(lookup, "word").filter(F.element_at("keys", F.col("template") + 1)), weight)
+
+
 def _aligned(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, template, score) of the templates that a text's rare words place. ``docs``: doc_id, tie, body."""
+    """(doc_id, tie, template, score) of the templates that a text's rare words or their key phrases place. ``docs``: doc_id, tie, body."""
     spark = docs.sparkSession
     words = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
     vocabulary = F.broadcast(spark.createDataFrame([(w,) for w in words], "word string"))
@@ -106,17 +136,13 @@ def _aligned(docs: DataFrame) -> DataFrame:
     hits = docs.select("doc_id", "tie", F.posexplode(split).alias("pos", "word")).join(index, "word")
     rank = F.dense_rank().over(Window.partitionBy("doc_id", "tie").orderBy(F.desc("idf"), "word"))
     placed = hits.withColumn("rank", rank).filter(F.col("rank") <= RAREST).join(lookup, "word")
-    placed = placed.groupBy("doc_id", "tie", "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.collect_set(F.struct("at", "weight")).alias("found"))
-    sums = F.aggregate("found", F.lit(0.0), lambda total, f: total + f["weight"])
-    full = F.element_at(F.array(*[F.lit(max(w, 1e-9)) for w in weight]), F.col("template") + 1)
-    return placed.groupBy("doc_id", "tie", "template").agg(F.max(F.least(sums / full, F.lit(1.0))).alias("score")).filter(F.col("score") >= MIN_SCORE)
+    return _scores(placed, weight).unionByName(_keyed(docs, idf))
 
 
 def scanned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     rows = docs.select(docs[id].alias("doc_id"), F.xxhash64(text_bytes(docs[text])).alias("tie"), normalised(docs[text]).alias("body"))
     body = F.col("body")
-    padded = F.concat(F.lit(" "), body, F.lit(" "))
     found = [_phrase(body, p) for p, _ in BASE]
     digest = rows.select(
         "doc_id",
@@ -126,7 +152,7 @@ def scanned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         F.least(*[f[1] for f in found]).alias("first_word"),
         F.greatest(*[f[2] for f in found]).alias("last_word"),
         F.array_sort(F.array_compact(F.array(*[F.when(f[0] > 0, label) for f, (_, label) in zip(found, BASE)]))).alias("base"),
-        F.array(*[padded.contains(f" {key} ") for _, _, key in TEMPLATES]).alias("keys"),
+        _keys(body).alias("keys"),
     )
     candidates = _aligned(rows).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("template", "score")).alias("templates"))
     candidates = candidates.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "templates")

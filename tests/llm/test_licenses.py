@@ -44,3 +44,16 @@ def test_given_documents_and_native_plan(spark, docs_of):
     assert Counter(tuple(r)[:6] for r in found.collect()) == brute([(r.doc_id, r.text) for r in docs.collect()])
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", found._jdf.queryExecution().toString())
     assert L.scanned(docs_of([])).count() == 0
+
+
+def test_licences_that_stand_together_or_in_most_files(spark, docs_of):
+    text = {t[0]: t[1] for t in reversed(L.TEMPLATES)}
+    together = [("mit", "bsd", "isc"), ("mit", "apache", "bsd"), ("mit", "apache", "bsd", "isc", "mpl"), ("apache", "gpl", "unlicense", "cc0", "isc", "bsd")]
+    rows = [(i, " and then ".join(text[k] for k in kinds)) for i, kinds in enumerate(together)]
+    rows += [(1000 + i, f"plain words number {i} of this and the other") for i in range(200)]
+    got = {r.doc_id: r for r in L.scanned(docs_of(rows)).collect()}
+    for i, kinds in enumerate(together):
+        assert set(kinds) <= set(got[i].labels.split(",")), (kinds, got[i].labels)
+    other = {r.doc_id: r for r in L.scanned(docs_of([(i, f"{text['bsd']} file {i}") for i in range(300)] + rows[-200:])).collect()}
+    assert all(other[i].labels == "bsd" and other[i].score > 0.99 for i in range(300))
+    assert not any(got[1000 + i].labels for i in range(200))

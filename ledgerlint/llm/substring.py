@@ -19,8 +19,9 @@ equal.  Three steps find the repeated windows:
    or above the threshold are reported.
 
 An anchor of more than ``HOT`` different contents (a passage that very many
-documents share, each with other words around) is split: its windows become
-texts of their own, dealt by the hash of the whole window.
+documents share, each with other words around) is not indexed: its windows are
+counted by both hashes of the whole window, and those in two or more contents
+are repeated.  Equal windows have the same anchor, so none is elsewhere.
 
 Words are runs of bytes other than ASCII white space, unchanged, compared by
 64-bit hashes.  Defined cases: a null text has no words; texts shorter than a
@@ -142,7 +143,7 @@ def _segment_rows(width: int):
 
 
 def _segment_words(width: int):
-    """The words of the segments asked for, as bytes of their hashes; those of hot anchors by single windows."""
+    """The words of the segments asked for, as bytes of their hashes; of hot anchors each window's two hashes instead."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -154,12 +155,12 @@ def _segment_words(width: int):
                     own = words[offsets[k] : offsets[k + 1]]
                     for s in asked:
                         if not s["hot"]:
-                            out.append((s["anchor"], s["c1"], s["c2"], 0, s["single"], own[s["start"] : s["start"] + s["windows"] + width - 1].tobytes()))
+                            out.append((s["anchor"], 0, s["c1"], s["c2"], 0, s["single"], own[s["start"] : s["start"] + s["windows"] + width - 1].tobytes()))
                             continue
                         starts = s["start"] + np.arange(s["windows"])
-                        for i, h in zip(starts.tolist(), _content(own, starts, np.full(len(starts), width))[0].tolist()):
-                            out.append((h, s["c1"], s["c2"], i - s["start"], s["single"], own[i : i + width].tobytes()))
-                yield pd.DataFrame(out, columns=["key", "c1", "c2", "from", "single", "words"])
+                        hashes = _content(own, starts, np.full(len(starts), width))
+                        out += [(h1, h2, s["c1"], s["c2"], i, s["single"], None) for i, (h1, h2) in enumerate(zip(*(h.tolist() for h in hashes)))]
+                yield pd.DataFrame(out, columns=["key", "key2", "c1", "c2", "from", "single", "words"])
 
     return run
 
@@ -168,18 +169,18 @@ def _search(width: int):
     """Rows sorted by shard: index a shard's texts, and stream those with one place against it."""
 
     def found(rows: list[tuple]) -> pd.DataFrame:
-        texts = [np.frombuffer(r[4], np.uint64) for r in rows]
-        asked = np.array([i for i, r in enumerate(rows) if r[3]], np.int64)
+        texts = [np.frombuffer(r[3], np.uint64) for r in rows]
+        asked = np.array([i for i, r in enumerate(rows) if r[2]], np.int64)
         if not len(asked):
             return pd.DataFrame([], columns=["c1", "c2", "hits"])
         hits = FMIndex(texts).repeated_windows(asked, width)
-        out = [(rows[i][0], rows[i][1], (h + rows[i][2]).tolist()) for i, h in zip(asked, hits) if len(h)]
+        out = [(rows[i][0], rows[i][1], h.tolist()) for i, h in zip(asked, hits) if len(h)]
         return pd.DataFrame(out, columns=["c1", "c2", "hits"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, held = None, []
         for b in batches:
-            for shard, *row in zip(b["shard"], b["c1"], b["c2"], b["from"], b["single"], b["words"]):
+            for shard, *row in zip(b["shard"], b["c1"], b["c2"], b["single"], b["words"]):
                 if shard != current and held:
                     yield found(held)
                     held = []
@@ -239,12 +240,15 @@ def _covered(rows: DataFrame, text_chars: int, width: int, max_filter_bytes: int
     asked = F.struct("anchor", "c1", "c2", "first.start", "first.windows", (F.col("different") > HOT).alias("hot"), (F.col("places") == 1).alias("single"))
     by_doc = shared.groupBy(F.col("first.doc_id").alias("_id"), F.col("first.tie").alias("_tie")).agg(F.collect_list(asked).alias("asked"))
     texts = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).dropDuplicates(["doc_id", "tie"])
-    words = texts.select("body", "asked").mapInPandas(_segment_words(width), "key long, c1 long, c2 long, `from` long, single boolean, words binary")
+    words = texts.select("body", "asked").mapInPandas(_segment_words(width), "key long, key2 long, c1 long, c2 long, `from` long, single boolean, words binary")
     words = written(words, "segment-words")
+    windows = words.filter("words is null")
+    repeated = windows.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "key2").withColumn("more", _more("key", "key2"))
+    hot = windows.filter("single").withColumn("more", _more("key", "key2")).join(repeated, ["key", "key2", "more"]).select("c1", "c2", F.array("from").alias("hits"))
     n_shards = max(1, (words.agg(F.sum(F.length("words"))).first()[0] or 0) // (8 * SHARD_WORDS))
-    sharded = words.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(n_shards))).repartition("shard").sortWithinPartitions("shard")
-    hits = sharded.select("shard", "c1", "c2", "from", "single", "words").mapInPandas(_search(width), "c1 long, c2 long, hits array<long>")
-    hits = hits.groupBy("c1", "c2").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    sharded = words.filter("words is not null").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(n_shards))).repartition("shard").sortWithinPartitions("shard")
+    hits = sharded.select("shard", "c1", "c2", "single", "words").mapInPandas(_search(width), "c1 long, c2 long, hits array<long>")
+    hits = hits.unionByName(hot).groupBy("c1", "c2").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     whole = contents.filter("places > 1").select("c1", "c2", F.lit(None).cast("array<long>").alias("hits"))
     known = whole.unionByName(hits).withColumn("more", _more("c1", "c2"))
     found = kept.withColumn("more", _more("c1", "c2")).join(known, ["c1", "c2", "more"])

@@ -95,3 +95,17 @@ def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert result(S.deduplicated(docs)) == brute(rows)
+
+
+def test_windows_of_a_hot_anchor_are_not_indexed(spark, docs_of, monkeypatch):
+    rng = random.Random(4)
+    say = lambda k: " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+    passage = say(50)
+    rows = [(i, f"{say(40)} {passage} {say(40)}") for i in range(300)] + [(1000 + i, f"{say(40)} {passage}") for i in (0, 0, 1)]
+    rows += [(2000 + i, rows[0][1]) for i in range(3)]
+    tables, store = {}, S.written
+    monkeypatch.setattr(S, "HOT", 20)
+    monkeypatch.setattr(S, "written", lambda df, name: tables.setdefault(name, store(df, name)))
+    assert result(S.deduplicated(docs_of(rows).repartition(4))) == brute(rows)
+    most = tables["segment-words"].groupBy("key").agg(F.sum(F.length("words")).alias("n")).agg(F.max("n")).first()[0] or 0
+    assert most <= S.HOT * 2 * S.WIDTH * 8  # no shard holds the copies of a window

@@ -166,10 +166,10 @@ def mixed_documents(
     """The mix as documents: a row for each pass that takes words of a document, with the words it takes.
 
     A pass that takes a whole document leaves its text as it is; else the taken
-    words are joined by one space.  ``docs`` must be a stored table, whose rows
-    come in the same order at each reading.
+    words are joined by one space.
     """
-    packed = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    # Numbered once and stored: another reading of ``docs`` may be split otherwise and number its rows anew.
+    packed = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[docs[c] for c in docs.columns]).alias("row")), "mix-rows")
     numbered = packed.select("rid", F.col("row")[id].alias("doc_id"), F.col("row")[source].alias("source"), word_count(F.col("row")[text]).alias("size"), F.xxhash64(F.col("row")[text]).alias("tie"))
     sized = written(numbered, "mix-sizes")
     pieces = _mix(sized, weights, share, most, block, seed).filter("times > 0")

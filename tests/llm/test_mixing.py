@@ -79,6 +79,27 @@ def test_mixed_documents_hold_the_words_taken(spark, small):
     assert {i: n for i, n in taken.items() if n} == dict(words)
 
 
+def test_rows_keep_their_numbers_when_the_splits_move(spark, small, tmp_path, monkeypatch):
+    small.repartition(5).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    want = Counter(tuple(r) for r in M.mixed_documents(docs).collect())
+    store, old = M.written, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def splits_move(df, name):
+        out = store(df, name)
+        if name == "mix-sizes":
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        return out
+
+    monkeypatch.setattr(M, "written", splits_move)
+    try:
+        assert Counter(tuple(r) for r in M.mixed_documents(docs).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_native_plan(small):
     plan = M.taken_words(small)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)

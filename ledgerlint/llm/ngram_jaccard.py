@@ -48,7 +48,7 @@ THRESHOLD = 0.8
 COORDINATES = 64
 RUNS = 12  # runs started together: enough for RECALL down to four splits
 RECALL = 0.9999
-#: Nodes in a block of a brute-force comparison of min-wise values, and in a bucket that is not split any more.
+#: Nodes in a block of a brute-force comparison (of min-wise values or whole sets), and in a bucket that is not split any more.
 SMALL = 1_000
 WHOLE = 4_000
 MAX_DEPTH = 6
@@ -59,7 +59,7 @@ CANDIDATE = 0.55
 #: The same with a pivot.  Whatever is at least 0.8 similar to a node that leaves is at least 0.6 similar to its pivot.
 PIVOT_LINK = 0.5
 LEAVES = 0.8
-#: Shingles in one side of a block comparison; bounds a task's memory.
+#: Shingles in one side of a comparison of whole sets; with SMALL it bounds a task's memory.
 BLOCK_SHINGLES = 500_000
 
 _MULTIPLIERS = seeded(COORDINATES, 21) | np.uint64(1)
@@ -390,12 +390,14 @@ def _nodes(docs: DataFrame, id: str, text: str, width: int) -> tuple[DataFrame,
 
 def _compared(docs: DataFrame, nodes: DataFrame, id: str, text: str, width: int, recall: float, pairs: bool) -> DataFrame:
     groups = written(components(candidate_edges(nodes.filter("shingles > 0"), recall)), "groups")
-    sizes = groups.join(nodes.select("node", "shingles"), "node").groupBy("root").agg(F.sum("shingles").alias("size"))
+    # A cell holds its sets and matrices of nodes by nodes: both are bounded.
+    most = F.greatest(F.ceil(F.sum("shingles") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / SMALL))
+    sizes = groups.join(nodes.select("node", "shingles"), "node").groupBy("root").agg(most.cast("long").alias("size"))
     wanted = groups.join(sizes, "root").join(nodes.select("node", "copies", "first.doc_id", "first.text_hash"), "node")
     texts = docs.select(docs[id].alias("_id"), F.xxhash64(text_bytes(docs[text])).alias("_hash"), text_bytes(docs[text]).alias("body"))
     own = texts.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
     own = own.select("root", "node", "size", "copies", "body").mapInPandas(_members(width), "root long, node long, size long, copies long, members binary")
-    cells = _in_blocks(own, "size", BLOCK_SHINGLES, "root").drop("size").repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
+    cells = _in_blocks(own, "size", 1, "root").drop("size").repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
     return cells.mapInPandas(_verify(pairs), "a long, b long, links long, similarity double")
 
 

@@ -118,3 +118,23 @@ def test_word_and_shingle_hashes_follow_the_words():
     s, so = shingle_hashes(h, o, 2)
     assert so.tolist() == [0, 0, 2, 3, 4, 5, 6, 6, 7] and s[0] == s[3] == s[4] and s[1] != s[0] and s[2] != s[6]
     assert len(np.unique(word_hashes([" ".join(map(str, range(200_000))).encode()], FOLDED_WORDS)[0])) == 200_000
+
+
+def test_many_short_texts_are_compared_in_blocks_of_nodes(spark, docs_of, monkeypatch):
+    import pandas as pd
+
+    def cell_sizes(batches):
+        for g in J._groups(batches, ["root", "lo", "hi"]):
+            yield pd.DataFrame({"a": [len(g)], "b": [0], "links": [0], "similarity": [0.0]})
+
+    # All nodes are candidates of the first one; 5 of 7 shingles are shared, so that none are linked.
+    star = lambda nodes, recall: nodes.select(F.col("node").alias("a"), F.lit(nodes.agg(F.min("node")).first()[0]).alias("b")).filter("a <> b")
+    monkeypatch.setattr(J, "candidate_edges", star)
+    docs = docs_of([(i, f"one two three four five six seven eight nine w{i}") for i in range(20_000)]).repartition(4)
+    _, nodes = J._nodes(docs, "doc_id", "text", J.WIDTH)
+    cells = lambda: J._compared(docs, nodes, "doc_id", "text", J.WIDTH, J.RECALL, False)
+    with monkeypatch.context() as m:
+        m.setattr(J, "_verify", lambda pairs: cell_sizes)
+        most = cells().agg(F.max("a")).first()[0]
+    assert most < 2.5 * J.SMALL
+    assert cells().count() == 0

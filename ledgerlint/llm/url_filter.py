@@ -10,7 +10,7 @@ Edges are a page's ``<link rel="canonical" href=...>`` and
 ``<meta http-equiv="refresh" content="...url=...">``, whatever their case and
 the order of their attributes, and rows of an optional redirect table.  Two
 urls are the same node if host, path (a missing one is ``/``) and query agree;
-scheme and fragment do not count.  Links may be relative.
+scheme and fragment do not count.  Links may be relative, with dot segments.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits
 no rule, is no node and is allowed; null html has no links; repeated rows are
@@ -73,18 +73,30 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with ``/`` without its ``.`` and ``..`` segments."""
+    segments = F.split(path, "/", -1)
+    last = F.element_at(segments, -1)
+    step = lambda kept, s: F.when(s == ".", kept).when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(s)))
+    kept = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"), step)
+    plain = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    folder = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.concat(plain, F.lit("/"))).otherwise(plain)
+    return F.when(path.rlike(r"/\.\.?(?:/|\z)"), folder).otherwise(path)
+
+
 def _absolute(link: Column, url: Column) -> Column:
     """A link as its page means it."""
+    path, rest = F.regexp_extract(link, r"\A([^?#]*+)", 1), F.regexp_extract(link, r"(?s)\A[^?#]*+(.*+)", 1)
     scheme = F.substring_index(url, "://", 1)
     origin = F.concat(scheme, F.lit("://"), host_of(url))
     folder = F.regexp_extract(path_of(url), r"\A(.*/)", 1)
     return (
         F.when(link.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.startswith("/"), F.concat(origin, _without_dots(path), rest))
         .when(link.startswith("?"), F.concat(origin, path_of(url), link))
         .when((link == "") | link.startswith("#"), url)
-        .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), link))
+        .otherwise(F.concat(origin, _without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), path)), rest))
     )
 
 
@@ -94,7 +106,7 @@ def links_of(html: Column) -> Column:
     tags = F.regexp_extract_all(html, F.lit(r"(?i)<(?:link|meta)\b[^>]*+>"), F.lit(0))
     attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)[\s"']{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", 0)
     value = lambda tag, name: F.regexp_replace(F.regexp_replace(attribute(tag, name), r"(?is)\A.[^=]*+=\s*+", ""), r"""\A["']|["']\z""", "")
-    canonical = F.transform(F.filter(tags, lambda t: F.lower(value(t, "rel")) == "canonical"), lambda t: F.trim(value(t, "href")))
+    canonical = F.transform(F.filter(tags, lambda t: F.array_contains(F.split(F.lower(value(t, "rel")), r"[\x20\x09-\x0D]+"), "canonical")), lambda t: F.trim(value(t, "href")))
     refresh = F.transform(
         F.filter(tags, lambda t: (F.lower(value(t, "http-equiv")) == "refresh") & value(t, "content").rlike("(?i)url\\s*=")),
         lambda t: F.trim(F.regexp_replace(F.regexp_replace(value(t, "content"), r"(?is)\A.*?url\s*+=\s*+", ""), r"""\A["']|["']\z""", "")),

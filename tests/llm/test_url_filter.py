@@ -88,3 +88,20 @@ def test_aliases_against_search(spark):
 
 def test_empty(spark):
     assert U.judged(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_links_with_dot_segments_and_several_rel_tokens(spark):
+    from urllib.parse import urljoin
+
+    page = "https://x.test/a/b/c.html?q=1"
+    links = ["../x", "./x", "..", ".", "../", "./", "../../../x", "/a/../x", "/a/./b/..", "x/../y", "x/..", "../x?to=../y#../z", "/..", "a..b/..c/.d", "...", "?p=/../q", "//y.test/z"]
+    rows = spark.createDataFrame([(page, v, urljoin(page, v)) for v in links] + [("https://x.test", v, urljoin("https://x.test/", v)) for v in links[:12]], "url string, link string, want string")
+    for r in rows.select("*", U._absolute(F.col("link"), F.col("url")).alias("got")).collect():
+        assert r.got == r.want, r
+    pages = [
+        (1, "https://open.test/a/b/page", '<link rel="canonical nofollow" href="../x">'),
+        (2, "https://open.test/a/x", '<meta http-equiv="refresh" content="0; url=https://blocked.net/">'),
+        (3, "https://open.test/c", '<link rel="noncanonical" href="/a/x">'),
+    ]
+    got = {r.page_id: r.verdict for r in U.judged(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow"}

@@ -4,13 +4,18 @@ High-recall generators propose spans that may overlap: the *base* patterns of
 four kinds with their checks, and looser forms of each kind.  Boosted trees
 score every proposal from its format (digits, separators, check sum, brackets)
 and context (a telling word before it, what stands at its ends).  They learn
-from all proposals of the given corpus, with the base spans as positives and
-all else as unlabelled (counted as negative); the mark that defines the base
+from all proposals of the given corpus.  Positives are the base spans and the
+looser ones with evidence that does not rest on the base form (:func:`_evident`:
+check sums with an issuer's first digits, bracketed addresses, a telling word
+before a phone or an obfuscated mail).  Phones and mails of one format
+without a telling word are positives too if the format has one about as often as
+base spans have (see :func:`labels`), however frequent it is.  All else
+is unlabelled (counted as negative); the mark that defines the base
 form (``+``, ``@``) is not a feature.  A proposal's score then says how far spans
 of its looks are personal data of that kind.  Scores are calibrated for each
 kind on the same counts: the threshold is the least score at and above which at
-least ``PRECISION`` of the proposals are base spans.  Looser spans that reach it are
-added; base spans always stay.
+least ``PRECISION`` of the proposals are positives.  Looser spans that reach it or
+have evidence of their own are added; base spans always stay.
 
 Features are binned, so the corpus comes down to counts of at most
 ``GRID`` different feature rows, on which the driver fits the trees; their answer
@@ -70,7 +75,7 @@ CONTEXT = {
 }
 #: (feature, number of bins)
 FEATURES = (("digits", 6), ("separators", 4), ("checksum", 2), ("brackets", 2), ("context", 2), ("before", 3), ("after", 3))
-GRID = len(KINDS) * int(np.prod([n for _, n in FEATURES])) * 2
+GRID = len(KINDS) * int(np.prod([n for _, n in FEATURES])) * 3
 ROUNDS = 20
 DEPTH = 3
 RATE = 0.3
@@ -105,6 +110,20 @@ def _checks() -> dict[str, Column]:
     }
 
 
+def _evident() -> dict[str, Column]:
+    """What makes a looser span a positive, by kind, whatever the base form is."""
+    n = F.length("digits_only")
+    told = lambda k: F.col("ahead").rlike(CONTEXT[k])
+    part = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+    issued = F.col("digits_only").rlike(r"\A(?:4[0-9]{12}|3(?:0|6|8|9)[0-9]{12}|3[47][0-9]{13}|[0-9]{16,19})\z")
+    return {
+        "email": told("email") & F.col("span").rlike(r"(?:\(at\)|\[at\]).*[A-Za-z]{2}\z"),
+        "ip": F.col("span").rlike(rf"\A{part}(?:\x20?(?:\[\.\]|\(\.\))\x20?{part}){{3}}\z"),
+        "card": F.when(issued, _luhn(F.col("digits_only"))).otherwise(False),
+        "phone": told("phone") & n.between(8, 15),
+    }
+
+
 def _end_class(char: Column) -> Column:
     """0: nothing or white space, 1: a letter or digit, 2: anything else."""
     return F.when(char.rlike(r"\A\s*+\z"), 0).when(char.rlike(r"\A[\p{L}\p{N}]\z"), 1).otherwise(2)
@@ -134,8 +153,8 @@ def _features() -> dict[str, Column]:
 def proposals(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Base spans, and looser ones that overlap no base span of their kind, a row each.
 
-    rid (a number of the document's row), doc_id, kind, start, end (code points), base and features; each
-    document also has one row without a kind.
+    rid (a number of the document's row), doc_id, kind, start, end (code points), base, sure (base, or
+    with evidence) and features; each document also has one row without a kind.
     """
     body = F.col("body")
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs[id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("body"))
@@ -171,7 +190,7 @@ def proposals(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     placed = placed.withColumn("base_end", base_end).withColumn("base_start", base_start)
     overlaps = (F.coalesce("base_end", F.lit(-1)) > F.col("start")) | (F.coalesce(F.col("base_start") < F.col("end"), F.lit(False)))
     kept = placed.filter(F.col("kind").isNull() | F.col("base") | ~overlaps)
-    return kept.select("rid", "doc_id", "kind", "start", "end", "base", *[f.alias(n) for n, f in _features().items()])
+    return kept.select("rid", "doc_id", "kind", "start", "end", "base", (F.col("base") | F.coalesce(_of_kind(_evident().get), F.lit(False))).alias("sure"), *[f.alias(n) for n, f in _features().items()])
 
 
 def _best_split(x: np.ndarray, g: np.ndarray, h: np.ndarray):
@@ -217,8 +236,27 @@ def fit(x: np.ndarray, label: np.ndarray, weight: np.ndarray):
     return first, trees
 
 
+def labels(x: np.ndarray, base: np.ndarray, sure: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """1 for positives: sure spans, and phones and mails of a format that has a telling word as often as base spans have.
+
+    Base spans are personal data with or without such a word, so their share with it says how often it stands
+    before personal data; a format's share by that one estimates how far its spans are personal data.
+    """
+    out = sure.astype(float)
+    names = ["kind", *[f for f, _ in FEATURES]]
+    context, where = x[:, names.index("context")], [i for i, f in enumerate(names) if f not in ("context", "before", "after")]
+    for k in (KINDS.index("email"), KINDS.index("phone")):
+        strict, loose = (x[:, 0] == k) & (base > 0), (x[:, 0] == k) & (base == 0)
+        known = (weight * strict * context).sum() / weight[strict].sum() if strict.any() else 1.0
+        for form in np.unique(x[loose][:, where], axis=0):
+            own = loose & (x[:, where] == form).all(axis=1)
+            if known and (weight * own * sure).sum() >= PRECISION * known * weight[own].sum():
+                out[own] = 1.0
+    return out
+
+
 def thresholds(kind: np.ndarray, score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[float]:
-    """For each kind the least score at and above which PRECISION of the proposals are base spans; above 1 if none is."""
+    """For each kind the least score at and above which PRECISION of the proposals are positives; above 1 if none is."""
     out = []
     for k in range(len(KINDS)):
         own = np.flatnonzero(kind == k)
@@ -234,13 +272,14 @@ def detected(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added."""
     found = written(proposals(docs, id, text), "proposals")
     names = ["kind", *[f for f, _ in FEATURES]]
-    grid = found.filter("kind is not null").groupBy(*names, "base").agg(F.count(F.lit(1)).alias("n")).collect()  # at most GRID rows
+    grid = found.filter("kind is not null").groupBy(*names, "base", "sure").agg(F.count(F.lit(1)).alias("n")).collect()  # at most GRID rows
     x = np.array([[r[n] for n in names] for r in grid], np.int64).reshape(-1, len(names))
-    label, weight = np.array([float(r["base"]) for r in grid]), np.array([float(r["n"]) for r in grid])
+    base, sure, weight = (np.array([float(r[c]) for r in grid]) for c in ("base", "sure", "n"))
     added: list[tuple] = []
     if len(grid):
         order = np.lexsort(x.T[::-1])
-        x, label, weight = x[order], label[order], weight[order]
+        x, base, sure, weight = x[order], base[order], sure[order], weight[order]
+        label = labels(x, base, sure, weight)
         first, trees = fit(x, label, weight)
         score = 1 / (1 + np.exp(-sum((_value(t, x) for t in trees), np.full(len(x), first))))
         limits = np.array(thresholds(x[:, 0], score, label, weight))
@@ -248,7 +287,7 @@ def detected(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     # The trees' answer for every feature row there is: a table of at most GRID rows.
     answers = docs.sparkSession.createDataFrame([(*row, True) for row in added], ", ".join(f"{n} int" for n in names) + ", added boolean")
     scored = found.join(F.broadcast(answers), names, "left")
-    chosen = F.col("kind").isNotNull() & (F.col("base") | F.coalesce("added", F.lit(False)))
+    chosen = F.col("kind").isNotNull() & (F.col("sure") | F.coalesce("added", F.lit(False)))
     spans = scored.select("rid", "doc_id", "base", F.when(chosen, F.struct("kind", "start", "end")).alias("span"))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda s: F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.when(F.col("base"), F.col("span"))

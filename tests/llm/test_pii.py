@@ -72,6 +72,25 @@ def test_looser_forms_join_the_base_and_plain_numbers_do_not(spark, docs_of):
     assert text[0] == "word words call <phone> or mail <email> now"
 
 
+def test_loose_forms_as_frequent_as_base_ones_are_added(spark, docs_of):
+    rng = random.Random(10)
+    rows, want = [], {}
+    for i in range(300):
+        rows.append((i, f"call +1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)} or mail x{i}@mail.example.com now"))
+        mail = f"y{i} [at] mail.example.com"
+        a, b = f"please call ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}", f" or write to {mail}"
+        head = f"37{rng.randrange(10**12):012d}"
+        amex = next(head + c for c in "0123456789" if luhn(head + c))
+        c = f" from 10[.]{i % 256}[.]3[.]4"
+        rows.append((1000 + i, f"{a}{b}{c} paid {amex} then"))
+        at = rows[-1][1].index(" from ") + 6
+        want[1000 + i] = {f"phone:12:{len(a)}", f"email:{len(a + b) - len(mail)}:{len(a + b)}", f"ip:{at}:{at + len(c) - 6}", f"card:{rows[-1][1].index(amex)}:{rows[-1][1].index(amex) + 15}"}
+        rows.append((2000 + i, f"sums 12 {rng.randrange(100, 999)} {rng.randrange(100, 999)} and {rng.randrange(10**12, 2 * 10**12)} ms"))
+    got = {r.doc_id: r for r in P.detected(docs_of(rows)).collect()}
+    assert all(want[i] <= set(got[i].spans.split(",")) for i in want)
+    assert not any(got[2000 + i].spans for i in range(300))
+
+
 def test_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 4, (300, 3))

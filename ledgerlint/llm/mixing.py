@@ -4,9 +4,9 @@ The words of each source form one stream, cut into blocks of ``block`` words.
 A source's target says how many slots of the mix its blocks fill.  Slot ``j``
 of a source takes block ``perm(j mod n)`` of its ``n`` blocks, under a
 pseudorandom permutation of the source and of the pass ``j div n``; so a block
-is taken once before any is taken again.  Every slot is dealt to an output
-shard by an independent uniform draw (a hash), which makes the source counts
-of a shard a multinomial draw whose totals over all shards are the targets.
+is taken once before any is taken again.  :func:`slot_plan` deals every slot to
+a shard by an independent uniform draw (a hash); the results here drop the
+shard: no output is sharded, and the counts of sources are fixed totals.
 Slots and blocks meet in a join on the block's index.
 
 The permutation is a composition of three bijections on ``0..n-1``: a rotation

@@ -27,7 +27,7 @@ from ledgerlint.schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DISTRIBUTION_COLUMNS,
 from ledgerlint.session import fresh_path  # noqa: E402
 from ledgerlint.sources import target as K  # noqa: E402
 from ledgerlint.sources.fixture import dirty_transactions  # noqa: E402
-from ledgerlint.sources.raw import read_raw_csv, write_raw_csv  # noqa: E402
+from ledgerlint.sources.raw import read_csv_by_header, read_raw_csv, write_raw_csv  # noqa: E402
 
 # The text operators and the corpus pipeline are optional; nothing else needs them.
 try:
@@ -78,6 +78,15 @@ def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
     return read_raw_csv(spark, path, schema=schema)
 
 
+def q_csv_by_header(spark: SparkSession, d: str) -> DataFrame:
+    """All rows from files of two layouts: columns in another order, and two columns missing beside an unknown one."""
+    path, raw = fresh_path(spark, "csv_by_header"), _raw(spark, d)
+    write_raw_csv(raw.filter("src_row % 2 = 0").select(*reversed(raw.columns)), f"{path}/a")
+    write_raw_csv(raw.filter("src_row % 2 = 1").drop("notes", "city").withColumn("unknown", F.lit("x")), f"{path}/b")
+    schema = T.StructType([T.StructField("src_row", T.LongType())] + RAW_SCHEMA.fields)
+    return read_csv_by_header(spark, [f"{path}/a", f"{path}/b"], schema)
+
+
 def _fresh_target(spark: SparkSession, stem: str) -> tuple[str, str]:
     loc = fresh_path(spark, stem)
     name = "t_" + loc.rsplit("-", 1)[-1]
@@ -196,15 +205,28 @@ def q_data_exists_all_columns(spark: SparkSession, d: str) -> DataFrame:
     return K.data_exists(incoming, spark.table(name), keys=None)
 
 
-def q_load_batch_skip(spark: SparkSession, d: str) -> DataFrame:
-    """A batch that has one stored row is skipped as a whole."""
+def q_load_batch_skip_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The whole clean table is loaded; a batch of new rows that has one stored row is skipped as a whole."""
     name, loc = _fresh_target(spark, "target")
     clean = _clean(spark, d)
-    K.load_if_new(clean.filter("customer_id < 'ID-00000500'"), name, CLEAN_SCHEMA, loc, batch_skip=True)
-    again = K.load_if_new(clean, name, CLEAN_SCHEMA, loc, batch_skip=True)
+    K.load_if_new(clean, name, CLEAN_SCHEMA, loc, batch_skip=True)
+    stored = clean.select(F.min("customer_id")).scalar()
+    new = F.when(col("customer_id") == stored, col("customer_id")).otherwise(F.concat(F.lit("new-"), "customer_id"))
+    again = K.load_if_new(clean.withColumn("customer_id", new), name, CLEAN_SCHEMA, loc, batch_skip=True)
     return spark.table(name).withColumn("second_load_appended", F.lit(int(again)))
 
 
+def q_load_once(spark: SparkSession, d: str) -> DataFrame:
+    """A load that died between its write and its ledger entry, the same load again, and the same rows in other partitions."""
+    name, loc = _fresh_target(spark, "target")
+    clean = _clean(spark, d)
+    nothing = K.load_once(clean.limit(0), name, CLEAN_SCHEMA, loc)
+    K._write_load(K.aligned(clean, CLEAN_SCHEMA).withColumn(K.LOAD_ID, F.lit("died")), name)
+    first = K.load_once(clean, name, CLEAN_SCHEMA, loc)
+    again = K.load_once(clean.repartition(5, "state"), name, CLEAN_SCHEMA, loc)
+    return K.loaded(spark, name).withColumns({"appended": F.lit(int(nothing + first)).cast("long"), "second_load_appended": F.lit(int(again))})
+
+
 def _signed_zeros(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("l_linenumber")
     return _table(spark, d, "lineitem").select(
@@ -275,6 +297,7 @@ def _cleaning_queries() -> dict[str, Query]:
     return {
         # sources and sinks
         "csv_scan": q_csv_scan,
+        "csv_by_header": q_csv_by_header,
         "table_exists": q_table_exists,
         "data_exists": q_data_exists,
         "align_append": q_align_append,
@@ -282,7 +305,8 @@ def _cleaning_queries() -> dict[str, Query]:
         "load_if_new": q_load_if_new,
         "create_target": q_create_target,
         "data_exists_all_columns": q_data_exists_all_columns,
-        "load_batch_skip": q_load_batch_skip,
+        "load_batch_skip_whole": q_load_batch_skip_whole,
+        "load_once": q_load_once,
         "load_replay": q_load_replay,
         # relational
         "drop_null_key": lambda s, d: R.drop_null_key(_raw(s, d)),
@@ -356,6 +380,7 @@ def _cleaning_queries() -> dict[str, Query]:
         "high_risk": lambda s, d: Q.high_risk(_clean(s, d)),
         "checkpoint": lambda s, d: Q.checkpoint(_clean(s, d)),
         "sample_validation": q_sample,
+        "sample_exact": lambda s, d: Q.sample_exact(_clean(s, d), 100),
         # the reports are schema-generic: plain tables
         "null_profile_lineitem": lambda s, d: Q.null_profile(_table(s, d, "lineitem")),
         "quality_metrics_lineitem": lambda s, d: Q.quality_metrics(_table(s, d, "lineitem")),

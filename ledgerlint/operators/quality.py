@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import operator
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.digest import digest, named
 from ..schema import CRITICAL_COLUMNS, DISTRIBUTION_COLUMNS, NUMERIC_COLUMNS
-from .relational import describe_numeric, hash_sample, top_ranked, unpivoted
+from .relational import describe_numeric, hash_sample, numeric_aggregates, numeric_rows, top_ranked, unpivoted
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -28,14 +30,44 @@ def _rows(structs: list[Column]) -> Column:
     return F.inline(F.array(*structs))
 
 
+# Several reports in one pass ---------------------------------------------------
+@dataclass(frozen=True)
+class Report:
+    """A report's aggregates over one table, by name, and how the one row of them becomes the report."""
+
+    aggregates: dict[str, Column]
+    rows: Callable[[DataFrame], DataFrame]
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return self.rows(df.agg(*[c.alias(n) for n, c in self.aggregates.items()]))
+
+
+def combined(df: DataFrame, reports: dict[str, Report], store: Callable[[DataFrame], DataFrame] = lambda one: one) -> dict[str, DataFrame]:
+    """All reports from one aggregate over ``df``, which is read once.
+
+    ``store`` keeps the one row (a written table, say), so that evaluating the
+    reports one after the other does not compute it again.
+    """
+    one = store(df.agg(*[c.alias(f"{k}/{n}") for k, r in reports.items() for n, c in r.aggregates.items()]))
+    return {k: r.rows(one.select(*[named(f"{k}/{n}").alias(n) for n in r.aggregates])) for k, r in reports.items()}
+
+
+def row_count() -> Report:
+    return Report({"rows": F.count(F.lit(1))}, lambda one: one)
+
+
 # Q1 --------------------------------------------------------------------------
 def null_profile(df: DataFrame, nonzero_only: bool = False) -> DataFrame:
     """column, null_count, null_pct, and the table's total_rows and n_columns: one aggregation pass over all columns."""
-    cols = df.columns
-    one = df.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)],
-    )
+    return null_report(df.columns, nonzero_only).of(df)
+
+
+def null_report(cols: Sequence[str], nonzero_only: bool = False) -> Report:
+    aggregates = {"_total": F.count(F.lit(1))} | {f"_n{i}": F.count_if(named(c).isNull()) for i, c in enumerate(cols)}
+    return Report(aggregates, lambda one: _null_rows(one, cols, nonzero_only))
+
+
+def _null_rows(one: DataFrame, cols: Sequence[str], nonzero_only: bool) -> DataFrame:
     out = one.select(
         _rows(
             [
@@ -59,7 +91,11 @@ def before_after_counts(original: DataFrame, cleaned: DataFrame) -> DataFrame:
     sides = original.select(F.lit(1).alias("o"), F.lit(0).alias("c")).unionByName(
         cleaned.select(F.lit(0).alias("o"), F.lit(1).alias("c"))
     )
-    counts = sides.agg(F.sum("o").cast("long").alias("original_rows"), F.sum("c").cast("long").alias("cleaned_rows"))
+    return difference(sides.agg(F.sum("o").cast("long").alias("original_rows"), F.sum("c").cast("long").alias("cleaned_rows")))
+
+
+def difference(counts: DataFrame) -> DataFrame:
+    """The report from the row with original_rows and cleaned_rows."""
     diff = F.col("original_rows") - F.col("cleaned_rows")
     return counts.select(
         F.coalesce("original_rows", F.lit(0)).alias("original_rows"),
@@ -86,14 +122,6 @@ def value_distribution(
 
 
 # Q4 --------------------------------------------------------------------------
-def _comparable(df: DataFrame, c: str) -> Column:
-    """A column's value as text such that equal values have equal texts (0.0 and -0.0 are equal)."""
-    x = F.col(c)
-    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-        x = F.when(x == 0, F.lit(0.0)).otherwise(x)
-    return x.cast("string")
-
-
 def quality_metrics(df: DataFrame, intended: bool = False, approx_distinct: bool = False) -> DataFrame:
     """Per column: total (non-null), null_count, distinct_values, empty_strings,
     whitespace_only, valid, completeness, uniqueness; a row for every column, also of an empty table.
@@ -102,15 +130,15 @@ def quality_metrics(df: DataFrame, intended: bool = False, approx_distinct: bool
     (so completeness can go negative); ``intended=True`` subtracts only empty
     and blank strings.  All but the distinct counts come from one narrow
     aggregate.  Exact distinct counts come from one unpivot of the non-null
-    values and a two-level group-by (no per-column jobs, no multi-distinct
-    expansion); ``approx_distinct`` adds HyperLogLog sketches to the aggregate
+    values' 128-bit digests and a two-level group-by (no per-column jobs, no
+    multi-distinct expansion, and no text in the shuffle); ``approx_distinct`` adds HyperLogLog sketches to the aggregate
     instead.
     """
     cols = df.columns
     none = F.lit(0).cast("long")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, (c, t) in enumerate(df.dtypes):
-        x = F.col(c)
+        x = named(c)
         aggs.append(F.count(x).alias(f"t{i}"))
         aggs.append((F.count_if(x == "") if t == "string" else none).alias(f"e{i}"))
         aggs.append((F.count_if(x.rlike(r"^\s+$")) if t == "string" else none).alias(f"w{i}"))
@@ -130,8 +158,11 @@ def quality_metrics(df: DataFrame, intended: bool = False, approx_distinct: bool
     ]
     counted = df.agg(*aggs).select("_rows", _rows(per_column))
     if not approx_distinct:
-        cells = F.array(*[F.struct(F.lit(i).alias("i"), _comparable(df, c).alias("value")) for i, c in enumerate(cols)])
-        values = df.select(F.explode(F.filter(cells, lambda x: x["value"].isNotNull())).alias("x")).select("x.i", "x.value").distinct()
+        cells = []
+        for i, c in enumerate(cols):
+            h1, h2 = digest(df, [c])
+            cells.append(F.struct(F.lit(i).alias("i"), F.when(named(c).isNotNull(), h1).alias("h1"), h2.alias("h2")))
+        values = df.select(F.inline(F.array(*cells))).filter(F.col("h1").isNotNull()).distinct()
         distinct = values.groupBy("i").agg(F.count(F.lit(1)).alias("d"))
         counted = counted.join(distinct, "i", "left").withColumn("distinct_values", F.coalesce("d", F.lit(0)))
     valid = F.col("total") - F.col("empty_strings") - F.col("whitespace_only")
@@ -152,13 +183,8 @@ def quality_metrics(df: DataFrame, intended: bool = False, approx_distinct: bool
 # Q5 --------------------------------------------------------------------------
 def quality_flags(metrics: DataFrame, min_completeness: float = 90.0, min_uniqueness: float = 80.0) -> DataFrame:
     """column, check, value for columns below the completeness / uniqueness bars."""
-    low_c = metrics.filter(F.col("completeness") < min_completeness).select(
-        "column", F.lit("completeness").alias("check"), F.col("completeness").alias("value")
-    )
-    low_u = metrics.filter(F.col("uniqueness") < min_uniqueness).select(
-        "column", F.lit("uniqueness").alias("check"), F.col("uniqueness").alias("value")
-    )
-    return low_c.unionByName(low_u)
+    low = lambda check, bar: F.when(F.col(check) < bar, F.struct("column", F.lit(check).alias("check"), F.col(check).alias("value")))
+    return metrics.select(F.inline(F.array_compact(F.array(low("completeness", min_completeness), low("uniqueness", min_uniqueness)))))
 
 
 # Q6 --------------------------------------------------------------------------
@@ -196,11 +222,15 @@ def rule_conditions(as_of: Column) -> list[tuple[str, str, Column]]:
 def business_rules(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """rule, violations, violation_pct; nulls never count; rules on absent columns are
     skipped, except the three date rules, which then report 0."""
+    return rule_report(df.columns, as_of).of(df)
+
+
+def rule_report(columns: Sequence[str], as_of: Column | None = None) -> Report:
     always = {name for name, _ in DATE_RULES}
     conditions = rule_conditions(F.current_date() if as_of is None else as_of)
-    counts = {name: F.count_if(violated) if c in df.columns else F.lit(0).cast("long") for name, c, violated in conditions if c in df.columns or name in always}
-    one = df.agg(F.count(F.lit(1)).alias("_total"), *[n.alias(name) for name, n in counts.items()])
-    return one.select(_rows([F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations"), _pct(F.col(name), F.col("_total")).alias("violation_pct")) for name in counts]))
+    counts = {name: F.count_if(violated) if c in columns else F.lit(0).cast("long") for name, c, violated in conditions if c in columns or name in always}
+    rows = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations"), _pct(F.col(name), F.col("_total")).alias("violation_pct")) for name in counts]
+    return Report({"_total": F.count(F.lit(1))} | counts, lambda one: one.select(_rows(rows)))
 
 
 # Q15 -------------------------------------------------------------------------
@@ -214,9 +244,18 @@ def rule_summary(rules: DataFrame) -> DataFrame:
 def stat_compare(original: DataFrame, cleaned: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     """column, side, count, mean, stddev, min, max; raw text is converted with try_cast."""
     cols = [c for c in columns if c in original.columns and c in cleaned.columns]
-    before = describe_numeric(original, cols, cast_text=True).withColumn("side", F.lit("original"))
-    after = describe_numeric(cleaned, cols).withColumn("side", F.lit("cleaned"))
-    return before.unionByName(after).select("column", "side", "count", "mean", "stddev", "min", "max")
+    return sides(describe_numeric(original, cols, cast_text=True), describe_numeric(cleaned, cols))
+
+
+def sides(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The report from the statistics of both sides."""
+    both = before.withColumn("side", F.lit("original")).unionByName(after.withColumn("side", F.lit("cleaned")))
+    return both.select("column", "side", "count", "mean", "stddev", "min", "max")
+
+
+def numeric_report(df: DataFrame, columns: Sequence[str], cast_text: bool = False) -> Report:
+    """The statistics of ``describe_numeric`` as a report."""
+    return Report(numeric_aggregates(df, columns, cast_text), lambda one: numeric_rows(one, columns))
 
 
 # Q8 / Q9 ---------------------------------------------------------------------
@@ -231,6 +270,16 @@ def sample_validation(df: DataFrame, sample_size: int = 1000, key: str = "custom
     return hash_sample(df, fraction, key)
 
 
+def sample_exact(df: DataFrame, sample_size: int = 1000, key: str = "customer_id") -> DataFrame:
+    """A repeatable sample of exactly ``sample_size`` rows (all rows of a smaller table).
+
+    The rows whose keys have the least hashes: a top-k, so no total is needed
+    and each task passes on ``sample_size`` rows at most.  Rows that share a
+    key are ordered by a digest of the whole row.
+    """
+    return df.orderBy(F.md5(named(key).cast("string")), *digest(df, df.columns)).limit(sample_size)
+
+
 # Q10 / Q11 -------------------------------------------------------------------
 # Condition, column, comparison and the value compared with.
 EDGE_RULES = (
@@ -256,34 +305,46 @@ def edge_conditions(df: DataFrame) -> list[tuple[str, Column]]:
     return [(name, _COMPARE[how](F.col(c), value)) for name, c, how, value in EDGE_RULES if c in df.columns]
 
 
-def edge_cases(df: DataFrame, limit: int = 100, order_by: Sequence[str] = ("customer_id",)) -> DataFrame:
+def _total(df: DataFrame, order_by: Sequence[str]) -> list[Column]:
+    """A total order: the listed columns that exist, then a digest of the whole row."""
+    return [named(c) for c in order_by if c in df.columns] + list(digest(df, df.columns))
+
+
+def edge_cases(df: DataFrame, limit: int = 100, order_by: Sequence[str] = ("customer_id", "transaction_id")) -> DataFrame:
     """Rows hitting any edge condition, with the matched condition names in ``reasons``;
     the first ``limit`` by ``order_by`` (a top-k, not a full sort)."""
     named = [F.when(hit, name) for name, hit in edge_conditions(df)]
     reasons = F.concat_ws(",", *named) if named else F.lit("")
-    return df.withColumn("reasons", reasons).filter("reasons <> ''").orderBy(*order_by).limit(limit)
+    return df.withColumn("reasons", reasons).filter("reasons <> ''").orderBy(*_total(df, order_by)).limit(limit)
 
 
 # Q12 / Q13 -------------------------------------------------------------------
-def high_value(df: DataFrame, threshold: float = 100000, limit: int = 20, order_by: Sequence[str] = ("customer_id",)) -> DataFrame:
-    return df.filter(F.col("annual_income") > threshold).orderBy(*order_by).limit(limit)
+def high_value(df: DataFrame, threshold: float = 100000, limit: int = 20, order_by: Sequence[str] = ("customer_id", "transaction_id")) -> DataFrame:
+    return df.filter(F.col("annual_income") > threshold).orderBy(*_total(df, order_by)).limit(limit)
 
 
-def high_risk(df: DataFrame, threshold: float = 0.8, limit: int = 20, order_by: Sequence[str] = ("customer_id",)) -> DataFrame:
-    return df.filter(F.col("risk_score") > threshold).orderBy(*order_by).limit(limit)
+def high_risk(df: DataFrame, threshold: float = 0.8, limit: int = 20, order_by: Sequence[str] = ("customer_id", "transaction_id")) -> DataFrame:
+    return df.filter(F.col("risk_score") > threshold).orderBy(*_total(df, order_by)).limit(limit)
 
 
 # Q14 -------------------------------------------------------------------------
 def checkpoint(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS, warn_above: float = 50.0) -> DataFrame:
     """column, null_pct, status for the critical columns; evaluating it on an
     empty input raises (the job must stop there)."""
-    cols = [c for c in columns if c in df.columns]
-    one = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
+    return checkpoint_report(df.columns, columns, warn_above).of(df)
+
+
+def checkpoint_report(present: Sequence[str], columns: Sequence[str] = CRITICAL_COLUMNS, warn_above: float = 50.0) -> Report:
+    cols = [c for c in columns if c in present]
     none = F.array().cast("array<struct<column:string,null_pct:double>>")
     # Every output value depends on the guarded total, so the check cannot be pruned away.
     total = F.when(F.col("_total") == 0, F.raise_error(F.lit("Data pipeline resulted in empty dataset"))).otherwise(
         F.col("_total")
     )
     shares = F.array(*[F.struct(F.lit(c).alias("column"), _pct(F.col(f"_n{i}"), total).alias("null_pct")) for i, c in enumerate(cols)]) if cols else none
-    rows = one.select(F.inline(F.when(total >= 0, shares)))
-    return rows.select("column", "null_pct", F.when(F.col("null_pct") > warn_above, "warning").otherwise("ok").alias("status"))
+
+    def rows(one: DataFrame) -> DataFrame:
+        found = one.select(F.inline(F.when(total >= 0, shares)))
+        return found.select("column", "null_pct", F.when(F.col("null_pct") > warn_above, "warning").otherwise("ok").alias("status"))
+
+    return Report({"_total": F.count(F.lit(1))} | {f"_n{i}": F.count_if(named(c).isNull()) for i, c in enumerate(cols)}, rows)

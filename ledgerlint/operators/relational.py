@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions.digest import named
 from ..functions.lookups import ROW_ID_PATTERN
 
 
@@ -35,12 +36,12 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak
     a ``row_number()`` window would do.
     """
     keys = list(keys)
-    df = df.dropna(subset=keys)
+    df = df.filter(reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys]))
     rest = [c for c in df.columns if c not in keys]
     # A struct is never null, so a key whose rows all lack a tiebreak still keeps one of them.
-    first = [F.col(tiebreak).isNull().alias("_no_tiebreak"), F.col(tiebreak).alias("_tiebreak")] if tiebreak in df.columns else []
-    survivor = F.min(F.struct(F.struct(*first, F.lit(0).alias("_")).alias("order"), F.struct(*rest, F.lit(0).alias("_")).alias("row"))).alias("_first")
-    return df.groupBy(*keys).agg(survivor).select(*[c if c in keys else F.col("_first.row")[c].alias(c) for c in df.columns])
+    first = [named(tiebreak).isNull().alias("_no_tiebreak"), named(tiebreak).alias("_tiebreak")] if tiebreak in df.columns else []
+    survivor = F.min(F.struct(F.struct(*first, F.lit(0).alias("_")).alias("order"), F.struct(*map(named, rest), F.lit(0).alias("_")).alias("row"))).alias("_first")
+    return df.groupBy(*map(named, keys)).agg(survivor).select(*[named(c) if c in keys else F.col("_first.row").getField(c).alias(c) for c in df.columns])
 
 
 # R3 -------------------------------------------------------------------------
@@ -52,7 +53,7 @@ def id_filter(df: DataFrame, columns: Sequence[str] = ("customer_id", "transacti
     """
     if not columns:
         return df
-    matches = [F.col(c).rlike(pattern) for c in columns]
+    matches = [named(c).rlike(pattern) for c in columns]
     return df.filter(F.coalesce(reduce(lambda a, b: a & b, matches), F.lit(False)))
 
 
@@ -78,7 +79,7 @@ def drop_empty_rows(
     types = dict(df.dtypes)
 
     def present(c: str) -> Column:
-        x = F.col(c)
+        x = named(c)
         if null_tokens and types[c] == "string":
             return x.isNotNull() & ~x.isin(list(null_tokens))
         return x.isNotNull()
@@ -101,7 +102,7 @@ def typed_cast(df: DataFrame, columns: Sequence[tuple[str, T.DataType]]) -> Data
     for name, dtype in columns:
         if name not in have:
             continue
-        c = F.col(name)
+        c = named(name)
         out.append((c if df.schema[name].dataType == dtype else c.try_cast(dtype)).alias(name))
     return df.select(*out)
 
@@ -119,7 +120,7 @@ def top_values(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
 
 def unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value as text) of every cell of the listed columns that exist."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns if c in df.columns]
+    pairs = [F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("value")) for c in columns if c in df.columns]
     return df.select(F.explode(F.array(*pairs)).alias("_cv")).select("_cv.column", "_cv.value")
 
 
@@ -166,32 +167,19 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], cast_text: bool = Fa
         schema = "column string, count bigint, mean double, stddev double, min double, max double"
         return df.sparkSession.createDataFrame([], schema)
 
-    def val(c: str) -> Column:
-        x = F.col(c)
-        return x.try_cast("double") if cast_text or dict(df.dtypes)[c] == "string" else x.cast("double")
-
-    aggs = []
-    for i, c in enumerate(cols):
-        v = val(c)
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"a{i}"),
-            F.stddev_samp(v).alias(f"s{i}"),
-            F.min(v).alias(f"lo{i}"),
-            F.max(v).alias(f"hi{i}"),
-        ]
-    one = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"n{i}").alias("count"),
-                F.col(f"a{i}").alias("mean"),
-                F.col(f"s{i}").alias("stddev"),
-                F.col(f"lo{i}").alias("min"),
-                F.col(f"hi{i}").alias("max"),
-            )
-            for i, c in enumerate(cols)
-        ]
-    )
-    return one.select(F.inline(rows))
+    return numeric_rows(df.agg(*[c.alias(n) for n, c in numeric_aggregates(df, cols, cast_text).items()]), cols)
+
+
+def numeric_aggregates(df: DataFrame, columns: Sequence[str], cast_text: bool = False) -> dict[str, Column]:
+    """The aggregates of :func:`describe_numeric`, by name."""
+    out = {}
+    for i, c in enumerate(columns):
+        v = named(c).try_cast("double") if cast_text or df.schema[c].dataType == T.StringType() else named(c).cast("double")
+        out |= {f"count{i}": F.count(v), f"mean{i}": F.avg(v), f"stddev{i}": F.stddev_samp(v), f"min{i}": F.min(v), f"max{i}": F.max(v)}
+    return out
+
+
+def numeric_rows(one: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row for each column from the one row of :func:`numeric_aggregates`."""
+    measures = ("count", "mean", "stddev", "min", "max")
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{m}{i}").alias(m) for m in measures]) for i, c in enumerate(columns)])))

@@ -429,6 +429,11 @@ def oracle() -> dict[str, str]:
     o["csv_scan"] = raw_only(
         "SELECT src_row, " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_TEXT_COLUMNS) + " FROM raw"
     )
+    o["csv_by_header"] = raw_only(
+        "SELECT src_row, "
+        + ", ".join(f"CASE WHEN src_row % 2 = 0 THEN NULLIF({c}, '') END AS {c}" if c in ("notes", "city") else f"NULLIF({c}, '') AS {c}" for c in RAW_TEXT_COLUMNS)
+        + ", CAST(NULL AS VARCHAR) AS broken_record FROM raw"
+    )
     o["table_exists"] = B + "SELECT false AS existed_before, true AS exists_after, count(*) AS rows FROM clean"
     o["align_append"] = B + "SELECT " + ", ".join("CAST(NULL AS VARCHAR) AS notes" if c == "notes" else c for c in CLEAN_NAMES) + " FROM clean"
     o["append_count"] = B + "SELECT count(*) AS rows, count(*) AS appended FROM clean"
@@ -456,7 +461,8 @@ WHERE EXISTS (SELECT 1 FROM clean c WHERE c.customer_id = i.customer_id AND c.tr
     ) + ") AS v(p, c, t)"
     o["data_exists_all_columns"] = B + """SELECT count(*) > 0 AS data_exists, count(*) AS matched_rows FROM clean
 WHERE customer_id IS NOT NULL AND transaction_id IS NOT NULL AND gender IS NOT NULL AND state IS NOT NULL AND age IS NOT NULL"""
-    o["load_batch_skip"] = B + f"SELECT {cols}, 0 AS second_load_appended FROM clean WHERE customer_id < 'ID-00000500'"
+    o["load_batch_skip_whole"] = B + f"SELECT {cols}, 0 AS second_load_appended FROM clean"
+    o["load_once"] = B + f"SELECT {cols}, count(*) OVER () AS appended, 0 AS second_load_appended FROM clean"
     o["load_replay"] = base_ctes(order=WHOLE_ROW) + f"SELECT {cols}, 0 AS second_load_appended FROM clean"
     o["clean_all_by_transaction"] = base_ctes(key="transaction_id") + f"SELECT {cols} FROM clean"
     o["typed_cast"] = raw_only(f"SELECT * EXCLUDE (age, credit_score) FROM ({TYPED_RAW})")
@@ -465,6 +471,7 @@ WHERE customer_id IS NOT NULL AND transaction_id IS NOT NULL AND gender IS NOT N
 WHERE CAST(('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 8))::BIGINT AS DOUBLE) / CAST(4294967296 AS DOUBLE) < CAST(0.1 AS DOUBLE)"""
     o["sample_validation"] = B + """SELECT * FROM clean
 WHERE CAST(('0x' || substr(md5(customer_id), 1, 8))::BIGINT AS DOUBLE) / CAST(4294967296 AS DOUBLE) < least(CAST(100 AS DOUBLE) / CAST((SELECT count(*) FROM clean) AS DOUBLE), CAST(1 AS DOUBLE))"""
+    o["sample_exact"] = B + "SELECT * FROM clean ORDER BY md5(customer_id) LIMIT 100"
     o["describe_numeric"] = B + "SELECT * EXCLUDE (side) FROM (" + _describe(
         "clean", ["transaction_amount", "age", "credit_score", "annual_income", "account_balance", "risk_score"], "cleaned", False
     ) + ")"

@@ -17,8 +17,8 @@ context bytes: subtrees below depth 2 are weighted where they lie, and only the
 255 * 256 contexts of depths 0 and 1 meet on the driver.  At most
 256**(depth - 1) runs (the possible byte strings) share two context bytes.
 
-Scoring reads each text once.  The most frequent words and runs, ``HEAD`` of each
-at most, are broadcast; all others are exploded by document, joined with their
+Scoring reads each text once.  The most frequent words and runs, at most
+``HEAD_WORDS`` and ``HEAD_RUNS``, are broadcast; all others are exploded by document, joined with their
 counts or probabilities and summed up again, so any vocabulary works and no
 score is approximate.  Words are compared by 64-bit hashes (at 10**9 different
 words the chance that any two coincide is 3 %); runs are compared exactly.
@@ -42,10 +42,11 @@ from pyspark.sql import functions as F
 
 from ledgerlint.llm.common import WHITE_SPACE_WORDS, PerWorker, importable, mix64, slices, text_bytes, word_hashes, written
 
-DEPTH = 4
-HEAD = 1 << 21  # words, and runs of bytes, that are broadcast
+DEPTH = 5
+HEAD_WORDS = 1 << 18  # words that are broadcast
+HEAD_RUNS = 1 << 20  # runs that are broadcast
 SMOOTHING = 0.1  # of the base score
-HELD = 1 << 22  # runs that a task holds before it passes their counts on
+HELD = 1 << 21  # runs that a task holds before it passes their counts on
 BATCH = 200_000  # runs weighted at once
 FIXED_POINT = 1 << 20  # log weights are summed as whole multiples of 2**-20: in any order, with one result
 WORD, RUN = 0, 1
@@ -322,12 +323,25 @@ class Lookup:
         return out
 
 
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"keys": [b["key"].to_numpy(np.int64).tobytes()], "values": [b["value"].to_numpy(float).tobytes()]})
+
+
+def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values on the driver, a partition at a time and as bytes: little besides the arrays is in memory."""
+    parts = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["values"], float)) for r in rows.select("key", "value").mapInPandas(_packed, "keys binary, values binary").toLocalIterator()]
+    if not parts:
+        return np.empty(0, np.uint64), np.empty(0)
+    return np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts])
+
+
 def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, offsets[:-1])  # no text is empty: each has its end
 
 
 def _score(shared, name: str, depth: int, all_in: dict[int, bool]):
-    """Sums over what was broadcast, and ``rest``: (kind, key, times) of all else, for each document."""
+    """Sums over what was broadcast, and keys and times of all else, for each document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = PerWorker.get(name, lambda: {kind: Lookup(*x) for kind, x in shared.value.items()})
@@ -336,7 +350,7 @@ def _score(shared, name: str, depth: int, all_in: dict[int, bool]):
             for lo, hi in slices(texts):
                 part = b.iloc[lo:hi]
                 out = {"id": part["id"].to_numpy(), "held_out": part["held_out"].to_numpy(), "row": [uuid.uuid4().hex for _ in range(lo, hi)]}
-                rest: list[list] = [[] for _ in range(lo, hi)]
+                rest = {c: [np.empty(0, np.int64)] * (hi - lo) for k in (WORD, RUN) for c in (f"keys{k}", f"times{k}")}
                 for kind, (keys, offsets) in ((WORD, tokens_of(texts[lo:hi])), (RUN, runs_of(texts[lo:hi], depth))):
                     value = tables[kind](keys)
                     there = ~np.isnan(value)
@@ -353,13 +367,13 @@ def _score(shared, name: str, depth: int, all_in: dict[int, bool]):
                         cuts = np.searchsorted(of, np.arange(hi - lo + 1))
                         for i in np.unique(of):
                             key, times = np.unique(keys[missing[cuts[i] : cuts[i + 1]]], return_counts=True)
-                            rest[i] += [{"kind": kind, "key": k, "times": t} for k, t in zip(key.view(np.int64).tolist(), times.tolist())]
-                yield pd.DataFrame(out | {"rest": rest})
+                            rest[f"keys{kind}"][i], rest[f"times{kind}"][i] = key.view(np.int64), times
+                yield pd.DataFrame(out | rest)
 
     return run
 
 
-def scored(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "text", depth: int = DEPTH, head: int = HEAD) -> DataFrame:
+def scored(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "text", depth: int = DEPTH, head_words: int = HEAD_WORDS, head_runs: int = HEAD_RUNS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Documents that are not held out train the model that scores all of them.
@@ -371,7 +385,7 @@ def scored(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "t
     # The head of each kind: the keys with at least as many occurrences as the least power of two that fits.
     grades = model.groupBy("kind", F.floor(F.log2(F.col("n") + 1)).alias("grade")).agg(F.count(F.lit(1)).alias("keys")).collect()
     shared, least, all_in = {}, {}, {}
-    for kind in (WORD, RUN):
+    for kind, head in ((WORD, head_words), (RUN, head_runs)):
         found, room = sorted(((r["grade"], r["keys"]) for r in grades if r["kind"] == kind), reverse=True), head
         taken = 0
         while taken < len(found) and found[taken][1] <= room:
@@ -379,15 +393,14 @@ def scored(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "t
             taken += 1
         all_in[kind] = taken == len(found)
         least[kind] = (1 << found[taken - 1][0]) - 1 if taken else 1 << 62
-        part = model.filter((F.col("kind") == kind) & (F.col("n") >= least[kind])).select("key", "value").toPandas()  # at most ``head`` rows
-        part = part.sort_values("key")
-        shared[kind] = (part["key"].to_numpy(np.int64).view(np.uint64), part["value"].to_numpy(float))
+        shared[kind] = _gathered(model.filter((F.col("kind") == kind) & (F.col("n") >= least[kind])))  # at most ``head`` rows
     rows = docs.select(docs[id].cast("string").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), text_bytes(docs[text]).alias("text"))
-    types = "id string, held_out boolean, row string, n_tokens long, n_known long, base double, n_bytes long, score double, rest array<struct<kind:int,key:long,times:long>>"
+    types = "id string, held_out boolean, row string, n_tokens long, n_known long, base double, n_bytes long, score double, keys0 array<long>, times0 array<long>, keys1 array<long>, times1 array<long>"
     first = rows.mapInPandas(_score(spark.sparkContext.broadcast(shared), uuid.uuid4().hex, depth, all_in), types)
     if not all(all_in.values()):
         first = written(first, "scored-heads")  # fixes the rows' names
-        rest = first.select("row", F.explode("rest").alias("x")).select("row", "x.*")
+        of = lambda kind: first.select("row", F.lit(kind).alias("kind"), F.explode(F.arrays_zip(F.col(f"keys{kind}").alias("key"), F.col(f"times{kind}").alias("times"))).alias("x"))
+        rest = of(WORD).unionByName(of(RUN)).select("row", "kind", "x.key", "x.times")
         tail = model.filter(F.col("n") < F.when(F.col("kind") == WORD, F.lit(least[WORD])).otherwise(F.lit(least[RUN]))).select("kind", "key", "value")
         found = rest.join(tail, ["kind", "key"], "left")
         is_word = F.col("kind") == WORD
@@ -397,7 +410,7 @@ def scored(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "t
             F.sum(F.when(~is_word, F.col("times") * F.col("value"))).alias("score2"),
         )
         zero = lambda c: F.coalesce(c, F.lit(0))
-        first = first.drop("rest").join(sums, "row", "left").withColumns(
+        first = first.drop("keys0", "times0", "keys1", "times1").join(sums, "row", "left").withColumns(
             {"n_known": F.col("n_known") + zero("known"), "base": F.col("base") + zero("base2"), "score": F.col("score") + zero("score2")}
         )
     per_token = float(np.log10(tokens + SMOOTHING * (distinct + 1)))

@@ -233,6 +233,8 @@ def _round_sums(books: list[np.ndarray]):
                     counts[p] += n
                     sums[p] += s
         used = [(p, e) for p, n in enumerate(counts) for e in np.flatnonzero(n).tolist()]
+        if not used:
+            return
         yield pd.DataFrame({"part": [p for p, _ in used], "entry": [e for _, e in used], "n": [counts[p][e] for p, e in used], "sums": [sums[p][e].tolist() for p, e in used]})
 
     return run

@@ -32,11 +32,11 @@ are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +48,9 @@ LONGEST = 3
 TOP = 2000
 COVERED = 50  # percent of a phrase's occurrences inside one longer candidate, from which it is dropped
 MAX_FILTER_BYTES = 32 << 20
-HELD = 1 << 21  # hashes that a task holds before it sums them up
+BLOCK_BITS = 17  # bits of one block of a bitmap, as a power of two
+HELD = 1 << 21  # hashes of a shard that a task holds before it sums them up
+SLICE = 2 << 20  # bytes of text whose phrases are counted at a time in the last pass
 # Bytes that end a piece, and bytes between words of one piece.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
@@ -75,7 +77,7 @@ class Words:
         stops[ends[sizes > 0] - 1] = inside[ends[sizes > 0] - 1]
         self.first, self.last = np.flatnonzero(starts), np.flatnonzero(stops) + 1
         self.text = np.searchsorted(ends, self.first, side="right")
-        breaks = np.cumsum(_ends[self.bytes], dtype=np.int64)
+        breaks = np.cumsum(_ends[self.bytes], dtype=np.int32)
         piece = breaks[self.first] if len(self.first) else self.first
         self.runs_on = (piece[1:] == piece[:-1]) & (self.text[1:] == self.text[:-1])
         power, inverse = _powers(len(self.bytes) + 1)
@@ -99,15 +101,18 @@ class Words:
 
 
 def _keys(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Hashes of phrases within a group (a language, or a language's shard) that ``seeds`` stands for."""
+    """Hashes of phrases within the language that ``seeds`` stands for."""
     with np.errstate(over="ignore"):
         return mix64(hashes + seeds)
 
 
-def _bits(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    """Whether each key's bit is set; the bitmap has a power of two of 64-bit cells."""
-    bit = keys >> np.uint64(64 - (64 * len(bitmap)).bit_length() + 1)
-    return (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+def _bits(keys: np.ndarray, bitmap: np.ndarray, shards: np.ndarray | None = None) -> np.ndarray:
+    """Whether each key's bit is set in its shard's row of the bitmap (a row is a power of two of 64-bit cells)."""
+    bit = keys >> np.uint64(64 - (64 * bitmap.shape[-1]).bit_length() + 1)
+    cell = (bit >> np.uint64(6)).astype(np.int64)
+    if shards is not None:
+        cell += shards * bitmap.shape[-1]
+    return (bitmap.ravel()[cell] >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,93 +124,121 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def _local_counts(size: int, shorter):
-    """(key, n) of the phrases of ``size`` words whose parts one word shorter are frequent in the shard."""
+    """(shard, key, n) of the phrases of ``size`` words whose parts one word shorter are frequent in the shard."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts, held = [], [], 0
+        held: dict[int, tuple[list, list]] = {}
+
+        def rows(shard: int, least: int) -> Iterator[pd.DataFrame]:
+            keys, counts = held[shard]
+            if sum(map(len, keys)) > least:
+                key, n = _summed(keys, counts)
+                if len(key) > least // 2:
+                    yield pd.DataFrame({"shard": np.int32(shard), "key": key.view(np.int64), "n": n})
+                    key, n = key[:0], n[:0]
+                held[shard] = ([key], [n])
+
         for b in batches:
-            texts, seeds = b["text"].tolist(), b["shard"].to_numpy().astype(np.int64).view(np.uint64)
+            texts, seeds, shards = b["text"].tolist(), b["seed"].to_numpy().astype(np.int64).view(np.uint64), b["shard"].to_numpy().astype(np.int64)
             for lo, hi in slices(texts):
                 words = Words(texts[lo:hi])
                 at, hashes = words.phrases(size)
-                seed = seeds[lo:hi][words.text]
+                seed, shard = seeds[lo:hi][words.text], shards[lo:hi][words.text]
                 if shorter is not None:
                     part_at, part = words.phrases(size - 1)
                     frequent = np.zeros(len(words.first) + 1, bool)
-                    frequent[part_at] = _bits(_keys(part, seed[part_at]), shorter.value)
+                    frequent[part_at] = _bits(_keys(part, seed[part_at]), shorter.value, shard[part_at])
                     both = frequent[at] & frequent[at + 1]
                     at, hashes = at[both], hashes[both]
-                if not len(at):
-                    continue
-                key, n = np.unique(_keys(hashes, seed[at]), return_counts=True)
-                keys.append(key)
-                counts.append(n)
-                held += len(key)
-                if held > HELD:
-                    key, n = _summed(keys, counts)
-                    if len(key) > HELD // 2:
-                        yield pd.DataFrame({"key": key.view(np.int64), "n": n})
-                        keys, counts, held = [], [], 0
-                    else:
-                        keys, counts, held = [key], [n], len(key)
-        if keys:
-            key, n = _summed(keys, counts)
-            yield pd.DataFrame({"key": key.view(np.int64), "n": n})
+                keys, shard = _keys(hashes, seed[at]), shard[at]
+                for s in np.unique(shard).tolist():
+                    key, n = np.unique(keys[shard == s], return_counts=True)
+                    own = held.setdefault(s, ([], []))
+                    own[0].append(key)
+                    own[1].append(n.astype(np.int32))
+                    yield from rows(s, HELD // 2)
+        for s in list(held):
+            yield from rows(s, 0)
 
     return run
 
 
-def _bitmap(keys: DataFrame, max_filter_bytes: int):
-    """A broadcast bitmap of the keys, with 32 bits for each up to ``max_filter_bytes`` in all."""
-    wanted = max(1, 32 * keys.count() - 1).bit_length()
-    bits = max(16, min(wanted, (8 * max_filter_bytes).bit_length() - 1))
-    bit = F.shiftrightunsigned("key", 64 - bits)
-    cells = keys.groupBy(F.shiftrightunsigned(bit, 6).alias("cell")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 as int))")).alias("bits"))
-    bitmap = np.zeros(1 << (bits - 6), np.uint64)
-    part = cells.toPandas()  # at most max_filter_bytes / 8 rows
-    bitmap[part["cell"].to_numpy(np.int64)] = part["bits"].to_numpy(np.int64).view(np.uint64)
-    return keys.sparkSession.sparkContext.broadcast(bitmap)
+def _merged_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bits of each block; a task has whole blocks."""
+    blocks: dict[int, np.ndarray] = {}
+    for b in batches:
+        for block, at in b.groupby("block")["at"]:
+            bits = blocks.setdefault(int(block), np.zeros(1 << BLOCK_BITS, bool))
+            bits[at.to_numpy()] = True
+    yield pd.DataFrame({"block": list(blocks), "bits": [np.packbits(x, bitorder="little").tobytes() for x in blocks.values()]}).astype({"block": "int64"})
 
 
-def _global_counts(bitmaps: list):
+def _bitmap(keys: DataFrame, shards: int, max_filter_bytes: int) -> np.ndarray:
+    """A row of bits for each shard, together 16 or more for each key, up to ``max_filter_bytes`` in all."""
+    wanted = max(1, 16 * keys.count() // shards - 1).bit_length()
+    bits = max(BLOCK_BITS, min(wanted, (8 * max_filter_bytes // shards).bit_length() - 1))
+    n_blocks = 1 << (bits - BLOCK_BITS)
+    bit = F.shiftrightunsigned("key", 64 - bits)
+    placed = keys.select((F.shiftright(bit, BLOCK_BITS) + F.col("shard") * n_blocks).alias("block"), (bit % (1 << BLOCK_BITS)).cast("int").alias("at"))
+    merged = placed.repartition(min(shards * n_blocks, 512), "block").mapInPandas(_merged_blocks, "block long, bits binary").toPandas()  # at most max_filter_bytes
+    bitmap = np.zeros((shards * n_blocks, (1 << BLOCK_BITS) // 8), np.uint8)
+    for block, raw in zip(merged["block"], merged["bits"]):
+        bitmap[block] = np.frombuffer(raw, np.uint8)
+    return bitmap.reshape(shards, -1).view("<u8")
+
+
+def _phrase_array(words: Words, at: np.ndarray, size: int) -> pa.Array:
+    """The phrases of ``size`` words from the given ones on, their words joined by single spaces, as a binary array."""
+    starts = np.stack([words.first[at + j] for j in range(size)], axis=1).ravel()
+    lengths = np.stack([words.last[at + j] for j in range(size)], axis=1).ravel() - starts + 1  # each with one byte for a space
+    ends = np.cumsum(lengths)
+    where = np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+    body = words.bytes[np.minimum(where, len(words.bytes) - 1)]
+    body[ends - 1] = 0x20
+    last = ends.reshape(-1, size)[:, -1]
+    keep = np.ones(len(body), bool)
+    keep[last - 1] = False  # no space after the last word
+    offsets = np.concatenate([[0], last - np.arange(1, len(at) + 1)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(body[keep].tobytes())])
+
+
+def _global_counts(united: list):
     """(lang, size, phrase, n) of all united phrases; size 0 stands for the number of words."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-
-        def rows() -> pd.DataFrame:
-            out = pd.DataFrame([(*k, n) for k, n in held.items()], columns=["lang", "size", "phrase", "n"])
-            held.clear()
-            return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: dict[str, int] = {}
+        held: dict[int, list[tuple]] = {size: [] for size in range(len(united) + 1)}  # keys, counts, languages, phrases
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for size, parts in held.items():
+                if parts:
+                    keys, n, lang = (np.concatenate([p[k] for p in parts]) for k in range(3))
+                    phrases = pa.concat_arrays([p[3] for p in parts])
+                    _, one, to = np.unique(keys, return_index=True, return_inverse=True)
+                    n = np.bincount(to, weights=n).astype(np.int64)
+                    columns = [pa.array(list(names), pa.string()).take(pa.array(lang[one])), pa.array(np.full(len(one), size, np.int32)), phrases.take(pa.array(one)), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+                    parts.clear()
 
         for b in batches:
-            texts, langs = b["text"].tolist(), b["lang"].to_numpy()
-            shards = np.stack(b["shards"].to_numpy()).astype(np.int64).view(np.uint64)
-            seeds = b["seed"].to_numpy().astype(np.int64).view(np.uint64)
-            for lo, hi in slices(texts, 1 << 21):
+            texts, langs = b["text"].to_pylist(), b["lang"].dictionary_encode()
+            codes = np.array([names.setdefault(x, len(names)) for x in langs.dictionary.to_pylist()], np.int64)
+            lang_of, seeds = codes[langs.indices.to_numpy()], b["seed"].to_numpy().view(np.uint64)
+            for lo, hi in slices(texts, SLICE):
                 words = Words(texts[lo:hi])
-                raw = words.bytes.tobytes()
-                for lang, n in zip(*np.unique(langs[lo:hi][words.text].astype(str), return_counts=True)):
-                    held[(lang, 0, b"")] += int(n)
-                for size, bitmap in enumerate(bitmaps, 1):
+                of_word = lang_of[lo:hi][words.text]
+                lang, n = np.unique(of_word, return_counts=True)
+                held[0].append((lang.astype(np.uint64), n, lang, pa.array([b""] * len(lang), pa.binary())))
+                for size, bitmap in enumerate(united, 1):
                     at, hashes = words.phrases(size)
-                    text = words.text[at]
-                    of_shard = shards[lo:hi]
-                    united = np.zeros(len(at), bool)
-                    for s in range(of_shard.shape[1]):
-                        united |= _bits(_keys(hashes, of_shard[text, s]), bitmap.value)
-                    at, text, hashes = at[united], text[united], hashes[united]
-                    _, one, n = np.unique(_keys(hashes, seeds[lo:hi][text]), return_index=True, return_counts=True)
-                    starts, stops = words.first[at[one]].tolist(), words.last[at[one] + size - 1].tolist()
-                    for lang, start, stop, k in zip(langs[lo:hi][text[one]], starts, stops, n.tolist()):
-                        phrase = raw[start:stop]
-                        if size > 1 and (b"\t" in phrase or b"  " in phrase):
-                            phrase = b" ".join(phrase.split())
-                        held[(lang, size, phrase)] += k
-                if len(held) > 300_000:
-                    yield rows()
-        if held:
-            yield rows()
+                    keys = _keys(hashes, seeds[lo:hi][words.text[at]])
+                    known = _bits(keys, bitmap.value)
+                    at = at[known]
+                    keys, one, n = np.unique(keys[known], return_index=True, return_counts=True)
+                    held[size].append((keys, n, of_word[at[one]], _phrase_array(words, at[one], size)))
+                if sum(len(p[0]) for parts in held.values() for p in parts) > HELD:
+                    yield from rows()
+        yield from rows()
 
     return run
 
@@ -226,15 +259,16 @@ def counted(
     importable(docs.sparkSession)
     support = -(-min_count // shards)
     own = docs.select(text_bytes(docs[text]).alias("text"), F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"))
-    of = [F.xxhash64("lang", F.lit(s)) for s in range(shards)]
-    dealt = own.select("text", F.element_at(F.array(*of), (F.pmod(F.xxhash64("text"), F.lit(shards)) + 1).cast("int")).alias("shard"))
-    bitmaps = []
+    own = own.withColumn("seed", F.xxhash64("lang"))
+    dealt = own.select("text", "seed", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int").alias("shard"))
+    shared, local, united = docs.sparkSession.sparkContext.broadcast, None, []
     for size in range(1, longest + 1):
-        local = dealt.mapInPandas(_local_counts(size, bitmaps[-1] if bitmaps else None), "key long, n long")
-        frequent = local.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("key")
-        bitmaps.append(_bitmap(written(frequent, "frequent-phrases"), max_filter_bytes))
-    united = own.select("text", "lang", F.array(*of).alias("shards"), F.xxhash64("lang").alias("seed"))
-    found = united.mapInPandas(_global_counts(bitmaps), "lang string, size int, phrase binary, n long")
+        counts = dealt.mapInPandas(_local_counts(size, local), "shard int, key long, n long")
+        frequent = counts.groupBy("shard", "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("shard", "key")
+        bitmap = _bitmap(written(frequent, "frequent-phrases"), shards, max_filter_bytes)
+        local = shared(bitmap)
+        united.append(shared(np.bitwise_or.reduce(bitmap, axis=0)))
+    found = own.mapInArrow(_global_counts(united), "lang string, size int, phrase binary, n long")
     totals = found.groupBy("lang", "size", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("n"))
     return written(totals.filter((F.col("n") >= min_count) | (F.col("size") == 0)), "phrase-counts")
 

@@ -13,9 +13,12 @@ or a notice that most files have, cannot hide it.  The greater score counts.
 
 Besides, four fixed phrases are found exactly (the *base*).
 
-The templates, hence the index and all that is broadcast, are of fixed size.
-All steps are DataFrame functions; texts never shuffle, only positions of
-licence words do.
+Every text is read once.  One projection takes from it, without a shuffle, the
+licence words it has, which key phrases stand in it, the counts of the base, and,
+only where a key phrase stands (nothing else can be verified), the places of its
+licence words; this narrow table is stored.  Frequencies, look-up and
+intersection work on it.  The templates, hence the index and all that is
+broadcast, are of fixed size.  All steps are DataFrame functions.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters,
 lower-cased.  Defined cases: a null text is empty; a text without words has
@@ -28,10 +31,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import text_bytes
+from ledgerlint.llm.common import text_bytes, written
 
 # The phrases of the base and their labels.
 BASE = (
@@ -59,6 +62,8 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     ("cc-by-nd", "licensed under cc by nd 4 0", "cc by nd"),
 )
+#: All words of the templates.
+WORDS = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
 RAREST = 24  # words of a text that are looked up
 MIN_IDF = 0.7  # a word that half of all texts have tells nothing in the first look-up
 LEAST_IDF = 0.1  # weight that any word of a template keeps where its key phrase stands
@@ -68,7 +73,8 @@ _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def normalised(text: Column) -> Column:
     """The words of a text, joined by one space."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS, " "))
+    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")  # A-Z alone
+    return F.trim(F.regexp_replace(lower, _SEPARATORS, " "))
 
 
 def _word_count(body: Column) -> Column:
@@ -86,65 +92,20 @@ def _phrase(body: Column, phrase: str) -> tuple[Column, Column, Column]:
     return F.when(has, F.size(parts) - 1).otherwise(0).cast("long"), F.when(has, first), F.when(has, last)
 
 
-def _scores(placed: DataFrame, weight: list[float]) -> DataFrame:
-    """(doc_id, tie, template, score) at the best offset of each template. ``placed``: doc_id, tie, template, pos, at, weight."""
-    placed = placed.groupBy("doc_id", "tie", "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.collect_set(F.struct("at", "weight")).alias("found"))
-    sums = F.aggregate("found", F.lit(0.0), lambda total, f: total + f["weight"])
-    full = F.element_at(F.array(*[F.lit(max(w, 1e-9)) for w in weight]), F.col("template") + 1)
-    return placed.groupBy("doc_id", "tie", "template").agg(F.max(F.least(sums / full, F.lit(1.0))).alias("score")).filter(F.col("score") >= MIN_SCORE)
+def _read(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """One row per document, without its text: doc_id, tie, the base's counts, base, has, keys, placed.
 
-
-def _keys(body: Column) -> Column:
-    """For each template whether its key phrase is in the text."""
-    padded = F.concat(F.lit(" "), body, F.lit(" "))
-    return F.array(*[padded.contains(f" {key} ") for _, _, key in TEMPLATES])
-
-
-def _keyed(docs: DataFrame, idf: dict[str, float]) -> DataFrame:
-    """(doc_id, tie, template, score) over all words of the templates whose key phrase is in the text."""
-    postings = [(w, t, at, max(idf[w], LEAST_IDF)) for t, (_, text, _) in enumerate(TEMPLATES) for at, w in enumerate(text.split())]
-    weight = [sum(p[3] for p in postings if p[1] == t) for t in range(len(TEMPLATES))]
-    lookup = F.broadcast(docs.sparkSession.createDataFrame(postings, "word string, template int, at int, weight double"))
-    # One pattern, so that the filter names the text's words only once.
-    some = F.col("body").rlike(r"(?<![^ ])(?:" + "|".join(sorted({key for _, _, key in TEMPLATES})) + r")(?![^ ])")
-    own = docs.filter(some).select("doc_id", "tie", "body", _keys(F.col("body")).alias("keys"))
-    words = own.select("doc_id", "tie", "keys", F.posexplode(F.split("body", " ")).alias("pos", "word"))
-    return _scores(words.join(lookup, "word").filter(F.element_at("keys", F.col("template") + 1)), weight)
-
-
-def _aligned(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, template, score) of the templates that a text's rare words or their key phrases place. ``docs``: doc_id, tie, body."""
-    spark = docs.sparkSession
-    words = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
-    vocabulary = F.broadcast(spark.createDataFrame([(w,) for w in words], "word string"))
-    split = F.split("body", " ")
-    counted = docs.select(F.explode(F.array_distinct(split)).alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    df = {r["word"]: r["df"] for r in counted.collect()}  # one row a word of the templates
-    n = docs.count()
-    idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for w in words}
-    rare = {w for w in words if idf[w] >= MIN_IDF}
-    postings, weight = [], [0.0] * len(TEMPLATES)
-    for t, (_, text, _) in enumerate(TEMPLATES):
-        own = text.split()
-        kept = set(sorted(rare.intersection(own), key=lambda w: (-idf[w], w))[:RAREST])
-        for at, w in enumerate(own):
-            if w in kept:
-                postings.append((w, t, at, idf[w]))
-                weight[t] += idf[w]
-    index = F.broadcast(spark.createDataFrame([(w, idf[w]) for w in sorted({p[0] for p in postings})], "word string, idf double"))
-    lookup = F.broadcast(spark.createDataFrame(postings, "word string, template int, at int, weight double"))
-    hits = docs.select("doc_id", "tie", F.posexplode(split).alias("pos", "word")).join(index, "word")
-    rank = F.dense_rank().over(Window.partitionBy("doc_id", "tie").orderBy(F.desc("idf"), "word"))
-    placed = hits.withColumn("rank", rank).filter(F.col("rank") <= RAREST).join(lookup, "word")
-    return _scores(placed, weight).unionByName(_keyed(docs, idf))
-
-
-def scanned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    ``has`` are the licence words of the text, ``keys`` the templates whose key phrase is in it, and
+    ``placed`` the places (pos, word) of its licence words, null if there is no key phrase.
+    """
     rows = docs.select(docs[id].alias("doc_id"), F.xxhash64(text_bytes(docs[text])).alias("tie"), normalised(docs[text]).alias("body"))
-    body = F.col("body")
+    body, split = F.col("body"), F.split("body", " ")
     found = [_phrase(body, p) for p, _ in BASE]
-    digest = rows.select(
+    padded = F.concat(F.lit(" "), body, F.lit(" "))
+    keys = F.array_compact(F.array(*[F.when(padded.contains(f" {key} "), t) for t, (_, _, key) in enumerate(TEMPLATES)]))
+    vocabulary = F.array(*[F.lit(w) for w in WORDS])
+    places = F.filter(F.transform(split, lambda w, i: F.struct(i.alias("pos"), w.alias("word"))), lambda x: F.array_contains(vocabulary, x["word"]))
+    one = rows.select(
         "doc_id",
         "tie",
         _word_count(body).alias("n_words"),
@@ -152,14 +113,51 @@ def scanned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         F.least(*[f[1] for f in found]).alias("first_word"),
         F.greatest(*[f[2] for f in found]).alias("last_word"),
         F.array_sort(F.array_compact(F.array(*[F.when(f[0] > 0, label) for f, (_, label) in zip(found, BASE)]))).alias("base"),
-        _keys(body).alias("keys"),
+        F.array_intersect(split, vocabulary).alias("has"),
+        keys.alias("keys"),
+        "body",
+    )
+    return one.withColumn("placed", F.when(F.size("keys") > 0, places)).drop("body")
+
+
+def _aligned(texts: DataFrame) -> DataFrame:
+    """(doc_id, tie, template, score) of the templates that a text's words place and its key phrases verify. ``texts``: as :func:`_read` gives them."""
+    spark = texts.sparkSession
+    df = {r["word"]: r["df"] for r in texts.select(F.explode("has").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df")).collect()}  # one row a word of the templates
+    n = texts.count()
+    idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for w in WORDS}
+    rarest = sorted((w for w in WORDS if idf[w] >= MIN_IDF), key=lambda w: (-idf[w], w))
+    # The index: a word's postings weigh idf among the words looked up first, and a floored idf among all words of a template.
+    postings, rare_weight, weight = [], [1e-9] * len(TEMPLATES), [0.0] * len(TEMPLATES)
+    for t, (_, text, _) in enumerate(TEMPLATES):
+        own = text.split()
+        kept = set([w for w in rarest if w in own][:RAREST])
+        for at, w in enumerate(own):
+            postings.append((w, t, at, idf[w] if w in kept else 0.0, max(idf[w], LEAST_IDF)))
+            rare_weight[t] += postings[-1][3]
+            weight[t] += postings[-1][4]
+    lookup = F.broadcast(spark.createDataFrame(postings, "word string, template int, at int, rare double, every double"))
+    own = texts.filter("placed is not null").dropDuplicates(["doc_id", "tie"])
+    first = F.slice(F.array_intersect(F.array(*[F.lit(w) for w in rarest]).cast("array<string>"), F.col("has")), 1, RAREST)
+    hits = own.select("doc_id", "tie", "keys", first.alias("first"), F.explode("placed").alias("x")).select("*", "x.pos", "x.word").join(lookup, "word")
+    hits = hits.filter(F.array_contains("keys", F.col("template")))
+    # At one offset a posting is met at one place at most, so sums count no word twice.
+    offsets = hits.groupBy("doc_id", "tie", "template", (F.col("pos") - F.col("at")).alias("offset")).agg(
+        F.sum(F.when(F.array_contains("first", F.col("word")), F.col("rare")).otherwise(0.0)).alias("rare"), F.sum("every").alias("every")
     )
-    candidates = _aligned(rows).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("template", "score")).alias("templates"))
-    candidates = candidates.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "templates")
-    joined = digest.join(candidates, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
-    verified = F.filter(F.coalesce("templates", F.array().cast("array<struct<template:int,score:double>>")), lambda c: F.element_at("keys", c["template"] + 1))
+    full = lambda weights: F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("template") + 1)
+    score = F.least(F.greatest(F.col("rare") / full(rare_weight), F.col("every") / full(weight)), F.lit(1.0))
+    return offsets.groupBy("doc_id", "tie", "template").agg(F.max(score).alias("score")).filter(F.col("score") >= MIN_SCORE)
+
+
+def scanned(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    texts = written(_read(docs, id, text), "license-words")
+    verified = _aligned(texts).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("template", "score")).alias("verified"))
+    verified = verified.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "verified")
+    joined = texts.drop("has", "keys", "placed").join(verified, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    joined = joined.withColumn("verified", F.coalesce("verified", F.array().cast("array<struct<template:int,score:double>>")))
     names = F.array(*[F.lit(t[0]) for t in TEMPLATES])
-    joined = joined.withColumn("verified", verified)
     labels = F.array_sort(F.array_distinct(F.concat("base", F.transform("verified", lambda c: F.element_at(names, c["template"] + 1)))))
     score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("verified", lambda c: c["score"])), F.lit(0.0)))
     return joined.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"))

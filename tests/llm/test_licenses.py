@@ -57,3 +57,16 @@ def test_licences_that_stand_together_or_in_most_files(spark, docs_of):
     other = {r.doc_id: r for r in L.scanned(docs_of([(i, f"{text['bsd']} file {i}") for i in range(300)] + rows[-200:])).collect()}
     assert all(other[i].labels == "bsd" and other[i].score > 0.99 for i in range(300))
     assert not any(got[1000 + i].labels for i in range(200))
+
+
+def test_only_ascii_letters_are_lowered(spark, docs_of):
+    docs = docs_of([(1, "\u0130STANBUL MIT LICENSE \u212a"), (2, "C\u0043 BY")])
+    got = {r.doc_id: tuple(r)[1:6] for r in L.scanned(docs).collect()}
+    assert {(i, *v) for i, v in got.items()} == set(brute([(1, "\u0130STANBUL MIT LICENSE \u212a"), (2, "CC BY")]))
+
+
+def test_places_are_kept_only_where_a_key_phrase_stands(spark, docs_of):
+    docs = docs_of([(1, L.TEMPLATES[5][1]), (2, "redistribution of forms and source"), (3, None)])
+    read = {r.doc_id: r for r in L._read(docs, "doc_id", "text").collect()}
+    assert [x.word for x in read[1].placed] == L.TEMPLATES[5][1].split() and read[1]["keys"] == [5]
+    assert read[2].placed is None and set(read[2].has) == {"redistribution", "of", "forms", "and", "source"} and read[3].has == []

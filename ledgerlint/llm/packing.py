@@ -5,11 +5,13 @@ cut into full pieces; its first piece has the rest.  How pieces are packed
 depends on their lengths alone, so the plan is made on the histogram of lengths
 (at most one row for each possible length, whatever the number of documents):
 
-1. lengths, longest first, are filled up exactly by a single length, then by a
-   pair, then by a triple whose lengths sum to the gap, as often as the counts
-   allow;
-2. what no combination fills exactly goes, longest first, into the open
-   sequence with the least room that still takes it, many alike at once.
+Lengths are placed longest first, many alike at once.  For the length at hand
+an open sequence's gap is filled up exactly, if the counts allow it: by that
+length alone, else by a pair, else by a triple of lengths that it leads and
+that sum to the gap; the tightest such gap is taken.  Only where no combination fills a
+gap exactly goes the length by best fit into the tightest gap that takes it, or
+opens sequences.  A pair's or triple's shorter lengths have at least an eighth
+of a sequence: the shortest lengths remain for gaps that nothing else fits.
 
 Each pattern of the plan stands for a run of sequences and for runs of ranks
 within its lengths.  Pieces are ranked within their length in a distributed
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
@@ -99,88 +101,70 @@ def tokenised(docs: DataFrame, id: str = "doc_id", text: str = "text", length: i
     return rows.mapInPandas(run, PIECES)
 
 
-def _singles(gap: int, left: list[int]) -> Iterator[tuple[int, ...]]:
-    if left[gap]:
-        yield (gap,)
+def _complement(gap: int, size: int, left: np.ndarray, least: int) -> tuple[int, ...] | None:
+    """The lengths, ``size`` first and then no longer ones of ``least`` or more, that sum to the gap; None if there are none left."""
+    rest = gap - size
+    if rest == 0:
+        return (size,)
+    if least <= rest <= size and left[rest] > (rest == size):
+        return (size, rest)
+    longest, shortest = min(size, rest - least), (rest + 1) // 2
+    if longest < shortest:
+        return None
+    a = np.arange(longest, shortest - 1, -1)
+    for second in a[(left[a] > 0) & (left[rest - a] > 0)].tolist():
+        fill = (size, second, rest - second)
+        if all(left[s] >= k for s, k in Counter(fill).items()):
+            return fill
+    return None
 
 
-def _pairs(gap: int, left: list[int]) -> Iterator[tuple[int, ...]]:
-    for a in range(gap - 1, (gap + 1) // 2 - 1, -1):
-        if left[a] and left[gap - a]:
-            yield (a, gap - a)
-
-
-def _triples(gap: int, left: list[int]) -> Iterator[tuple[int, ...]]:
-    for a in range(gap - 2, 0, -1):
-        if left[a]:
-            for pair in _pairs(gap - a, left):
-                if pair[0] <= a:
-                    yield (a, *pair)
-
-
-def _plan(counts: dict[int, int], length: int, phases) -> Counter:
-    left = [0] * (length + 1)
+def pack_lengths(counts: dict[int, int], length: int = LENGTH) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of lengths, each with how many sequences have it; every piece of ``counts`` is in one."""
+    left = np.zeros(length + 1, np.int64)
     for size, n in counts.items():
         left[size] += n
     plan: Counter = Counter()
+    open_: dict[int, Counter] = defaultdict(Counter)  # open patterns by room, with their numbers
+    rooms: list[int] = []
 
-    def take(pattern: tuple[int, ...]) -> None:
-        need = Counter(pattern)
-        n = min(left[s] // k for s, k in need.items())
-        if n:
+    def extend(room: int, fill: tuple[int, ...]) -> None:
+        """As many sequences of one pattern and room as the counts allow take the fill."""
+        pattern, there = open_[room].popitem()
+        need = Counter(fill)
+        n = min(there, *(int(left[s]) // k for s, k in need.items()))
+        if n < there:
+            open_[room][pattern] = there - n
+        elif not open_[room]:
+            del open_[room]
+            rooms.remove(room)
+        for s, k in need.items():
+            left[s] -= k * n
+        place(pattern + fill, n)
+
+    def place(pattern: tuple[int, ...], n: int) -> None:
+        room = length - sum(pattern)
+        if not room:
             plan[pattern] += n
-            for s, k in need.items():
-                left[s] -= k * n
-
-    take((length,))
-    for fills in phases:
-        for longest in range(length - 1, 0, -1):
-            if left[longest]:
-                for fill in fills(length - longest, left):
-                    take((longest, *fill))
-                    if not left[longest]:
-                        break
-    # Best fit of the rest: open_[room] are patterns of equal room with their numbers.
-    open_: dict[int, Counter] = defaultdict(Counter)
-    rooms: list[int] = []
+            return
+        if room not in open_:
+            insort(rooms, room)
+        open_[room][pattern] += n
+
     for size in range(length, 0, -1):
-        n = left[size]
-        while n:
-            at = bisect_left(rooms, size)
-            if at == len(rooms):
-                each = min(length // size, n)
-                pattern, made = (size,) * each, n // each
-                n -= made * each
+        while left[size]:
+            fitting = rooms[bisect_left(rooms, size) :]
+            exact = next(((room, fill) for room in fitting if (fill := _complement(room, size, left, length // 8))), None)
+            if exact or fitting:
+                extend(*(exact or (fitting[0], (size,))))
             else:
-                pattern, there = open_[rooms[at]].popitem()
-                made = min(there, n)
-                if there > made:
-                    open_[rooms[at]][pattern] = there - made
-                elif not open_[rooms[at]]:
-                    del open_[rooms[at]], rooms[at]
-                pattern += (size,)
-                n -= made
-            room = length - sum(pattern)
-            if not room:
-                plan[pattern] += made
-                continue
-            if room not in open_:
-                rooms.insert(bisect_left(rooms, room), room)
-            open_[room][pattern] += made
+                each = min(length // size, int(left[size]))
+                n = int(left[size]) // each
+                left[size] -= each * n
+                place((size,) * each, n)
     for patterns in open_.values():
         plan.update(patterns)
-    return plan
-
-
-def pack_lengths(counts: dict[int, int], length: int = LENGTH) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths, each with how many sequences have it; every piece of ``counts`` is in one.
-
-    Exact fills by more pieces use up short lengths that best fit may need: of
-    the plans with singles, with pairs and with triples too the shortest is taken.
-    """
-    phases = (_singles, _pairs, _triples)
-    plans = [_plan(counts, length, phases[:k]) for k in (3, 2, 1)]
-    return sorted(min(plans, key=lambda p: sum(p.values())).items(), reverse=True)
+    return sorted(plan.items(), reverse=True)
 
 
 def _slots(plan: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -87,3 +87,33 @@ def test_round_trip(spark, docs_of):
         assert end <= 1024
     assert len(held) <= -(-sum(r.length for r in got) // 1024) + 1
     assert P.packed_documents(docs_of([])).count() == 0
+
+
+def test_pairs_and_triples_fill_gaps_of_the_corpus(spark, monkeypatch):
+    pieces = P.tokenised(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    fills, whole = Counter(), P._complement
+
+    def seen(*args):
+        found = whole(*args)
+        fills[len(found or ())] += 1
+        return found
+
+    monkeypatch.setattr(P, "_complement", seen)
+    assert sum(n for _, n in P.pack_lengths(counts)) <= 964  # best fit alone: 964; no packing has fewer than 962
+    assert fills[1] and fills[2] and fills[3]
+
+
+def test_a_complement_needs_all_its_lengths():
+    def left(*sizes):
+        out = np.zeros(101, np.int64)
+        for s in sizes:
+            out[s] += 1
+        return out
+
+    assert P._complement(30, 30, left(30), 5) == (30,)
+    assert P._complement(60, 30, left(30), 5) is None and P._complement(60, 30, left(30, 30), 5) == (30, 30)
+    assert P._complement(90, 30, left(30, 30), 5) is None and P._complement(90, 30, left(30, 30, 30), 5) == (30, 30, 30)
+    assert P._complement(60, 30, left(30, 20, 10), 5) == (30, 20, 10)
+    assert P._complement(60, 30, left(30, 27, 3), 5) is None  # 3 is kept for gaps that nothing else fits
+    assert P._complement(60, 30, left(30, 40, 20), 5) is None  # no longer length after a shorter one

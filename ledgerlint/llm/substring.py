@@ -37,12 +37,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlint.llm.common import WHITE_SPACE_WORDS, mix64, seeded, slices, text_bytes, word_hashes, written
-from ledgerlint.llm.exact_dedup import MAX_FILTER_BYTES, possibly_repeated
+from ledgerlint.llm.exact_dedup import BLOCK_BITS, MAX_FILTER_BYTES, _count_slots, _merge_blocks, _slot_bits, _slots
 from ledgerlint.llm.fm_index import FMIndex
+from ledgerlint.plans.materialize import Intermediates
 
 WIDTH = 35
 ANCHOR_WORDS = 8
@@ -120,23 +122,60 @@ def segments(words: np.ndarray, offsets: np.ndarray, width: int) -> dict[str, np
     return {"text": text[at], "start": start[at], "windows": windows, "anchor": anchor[at].view(np.int64), "c1": c1, "c2": c2}
 
 
-def _anchors(width: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class Repeated:
+    """A broadcast Bloom filter (see :mod:`exact_dedup`) of the hashes that occur twice, asked inside the tasks' own Python code.
+
+    One Python process a task serves a whole stage: memory for a second one, as
+    a chain of functions would start, is worth more than the filter takes.
+    """
+
+    def __init__(self, counted: DataFrame, bits: int):
+        n_blocks, step = 1 << (bits - BLOCK_BITS), (1 << BLOCK_BITS) // 8
+        merged = counted.repartition(min(n_blocks, 512), "block").sortWithinPartitions("block").mapInPandas(_merge_blocks, "block long, bits binary")
+        filled = np.zeros((1 << bits) // 8, np.uint8)
+        for row in merged.toLocalIterator():  # at most max_filter_bytes in all
+            filled[row["block"] * step : (row["block"] + 1) * step] = np.frombuffer(row["bits"], np.uint8)
+        self.bits, self.shared = bits, counted.sparkSession.sparkContext.broadcast(filled)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        """True for every hash that occurs at least twice, and seldom for others."""
+        table, out = self.shared.value, np.ones(len(h), bool)
+        for s in _slots(h, self.bits):
+            out &= (table[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return out
+
+
+def _counted_anchors(width: int, bits: int):
+    def anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = b["body"].tolist()
             for lo, hi in slices(texts):
                 yield pd.DataFrame({"h": segments(*word_hashes(texts[lo:hi], WHITE_SPACE_WORDS), width)["anchor"]})
 
+    return lambda batches: _count_slots(bits)(anchors(batches))
+
+
+def _only(member: Repeated):
+    """The rows whose ``key`` the filter has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(member(b["key"].to_numpy())))
+
     return run
 
 
-def _segment_rows(width: int):
+def _segment_rows(width: int, maybe: Repeated):
+    """The segments of every text whose anchor may occur twice."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = b["body"].tolist()
             ids, ties = b["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None), b["tie"].to_numpy()
             for lo, hi in slices(texts):
                 s = segments(*word_hashes(texts[lo:hi], WHITE_SPACE_WORDS), width)
+                keep = maybe(s["anchor"])
+                s = {k: v[keep] for k, v in s.items()}
                 yield pd.DataFrame({"doc_id": pd.array(ids[lo:hi][s["text"]], "Int64"), "tie": ties[lo:hi][s["text"]]} | {k: s[k] for k in ("start", "windows", "anchor", "c1", "c2")})
 
     return run
@@ -192,9 +231,13 @@ def _search(width: int):
     return run
 
 
-def _remove(width: int):
+def _remove(width: int, touched: Repeated | None = None):
+    """What is left of texts with their covered windows, or, given ``touched``, of the texts whose ``key`` it does not have."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in (b.iloc[lo : lo + 500] for b in batches for lo in range(0, len(b), 500)):
+            if touched is not None:
+                b = b[~touched(b["key"].to_numpy())].assign(covered=None)
             out = []
             for doc, body, covered in zip(b["doc_id"].astype("Int64"), b["body"], b["covered"]):
                 words = body.split()  # bytes: ASCII white space alone
@@ -221,25 +264,46 @@ def _remove(width: int):
     return run
 
 
+def _key():
+    """One number for a document's id and text: it deals documents and tests membership, and never decides alone."""
+    return F.xxhash64("doc_id", "tie")
+
+
 def _more(*cols: str):
     """A key that only makes a join shuffle by itself, so that adaptive execution can split a frequent one."""
     return F.crc32(F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).cast("binary"))
 
 
-def _covered(rows: DataFrame, text_chars: int, width: int, max_filter_bytes: int) -> DataFrame:
-    """Repeated windows of each document: doc_id, tie, covered (start, windows, hits; hits null: all of them)."""
-    bodies = rows.select("body")
+def _member(found: DataFrame, max_filter_bytes: int) -> Repeated:
+    """A filter that has all values of ``key``: given twice, they are repeated."""
+    keys = found.select(F.col("key").alias("h"))
+    bits = _slot_bits(2 * keys.count(), max_filter_bytes)
+    return Repeated(keys.unionAll(keys).mapInPandas(_count_slots(bits), "block long, slots binary"), bits)
+
+
+def _of_document(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """Join on ``key`` and ``tie``, which then deal the rows; ids, which may be null, are compared without being a key of the join."""
+    other = found.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("key").alias("_key"), *[c for c in found.columns if c not in ("doc_id", "tie", "key")])
+    return rows.join(other, (F.col("key") == F.col("_key")) & (F.col("tie") == F.col("_tie")) & F.coalesce(F.col("doc_id") == F.col("_id"), F.col("doc_id").isNull() & F.col("_id").isNull()), how).drop("_id", "_tie", "_key")
+
+
+def _covered(rows: DataFrame, text_chars: int, width: int, max_filter_bytes: int, tables: Intermediates) -> DataFrame:
+    """Repeated windows of each document: doc_id, tie, key, covered (start, windows, hits; hits null: all of them)."""
     # The filter is sized by an estimate (about 6 bytes a word, 14 windows a segment); its size affects speed alone.
-    maybe = possibly_repeated(bodies.mapInPandas(_anchors(width), "h long"), max(1, text_chars // 80), max_filter_bytes)
+    bits = _slot_bits(max(1, text_chars // 80), max_filter_bytes)
+    maybe = Repeated(rows.select("body").mapInPandas(_counted_anchors(width, bits), "block long, slots binary"), bits)
     schema = "doc_id long, tie long, start long, windows long, anchor long, c1 long, c2 long"
-    kept = written(rows.mapInPandas(_segment_rows(width), schema).filter(maybe("anchor")), "segments")
+    kept = tables.write(rows.select("doc_id", "tie", "body").mapInPandas(_segment_rows(width, maybe), schema), "segments")
     first = F.min(F.struct("doc_id", "tie", "start", "windows")).alias("first")
-    contents = written(kept.groupBy("anchor", "c1", "c2").agg(F.count(F.lit(1)).alias("places"), first), "contents")
+    contents = tables.write(kept.groupBy("anchor", "c1", "c2").agg(F.count(F.lit(1)).alias("places"), first), "contents")
     many = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1").withColumn("more", _more("anchor"))
     shared = contents.withColumn("more", _more("anchor")).join(many, ["anchor", "more"])
     asked = F.struct("anchor", "c1", "c2", "first.start", "first.windows", (F.col("different") > HOT).alias("hot"), (F.col("places") == 1).alias("single"))
-    by_doc = shared.groupBy(F.col("first.doc_id").alias("_id"), F.col("first.tie").alias("_tie")).agg(F.collect_list(asked).alias("asked"))
-    texts = rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).dropDuplicates(["doc_id", "tie"])
+    by_doc = shared.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.tie").alias("tie")).agg(F.collect_list(asked).alias("asked"))
+    by_doc = tables.write(by_doc.withColumn("key", _key()), "asked")
+    # Only texts that are asked for shuffle, once: the join's dealing serves the choice of one row of equal ones too.
+    wanted = rows.mapInArrow(_only(_member(by_doc, max_filter_bytes)), rows.schema)
+    texts = _of_document(wanted, by_doc, "inner").dropDuplicates(["key", "doc_id", "tie"])
     words = texts.select("body", "asked").mapInPandas(_segment_words(width), "key long, key2 long, c1 long, c2 long, `from` long, single boolean, words binary")
     words = written(words, "segment-words")
     windows = words.filter("words is null")
@@ -252,14 +316,18 @@ def _covered(rows: DataFrame, text_chars: int, width: int, max_filter_bytes: int
     whole = contents.filter("places > 1").select("c1", "c2", F.lit(None).cast("array<long>").alias("hits"))
     known = whole.unionByName(hits).withColumn("more", _more("c1", "c2"))
     found = kept.withColumn("more", _more("c1", "c2")).join(known, ["c1", "c2", "more"])
-    return found.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("start", "windows", "hits")).alias("covered"))
+    return found.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("start", "windows", "hits")).alias("covered")).withColumn("key", _key())
 
 
 def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text (the kept words joined by one space)."""
-    rows = docs.select(docs[id].alias("doc_id"), F.xxhash64(text_bytes(docs[text])).alias("tie"), text_bytes(docs[text]).alias("body"))
+    rows = docs.select(docs[id].alias("doc_id"), F.xxhash64(text_bytes(docs[text])).alias("tie"), text_bytes(docs[text]).alias("body")).withColumn("key", _key())
     chars = rows.agg(F.sum(F.length("body"))).first()[0] or 0
-    covered = _covered(rows, chars, width, max_filter_bytes).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "covered")
-    joined = rows.join(covered, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    with Intermediates(docs.sparkSession) as tables:
+        covered = written(_covered(rows, chars, width, max_filter_bytes, tables), "covered")
+    # Documents without repeated windows pass straight through; only the others shuffle.
+    touched = _member(covered, max_filter_bytes)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return joined.select("doc_id", "body", "covered").mapInPandas(_remove(width), schema)
+    clean = rows.select("doc_id", "body", "key").mapInPandas(_remove(width, touched), schema)
+    joined = _of_document(rows.mapInArrow(_only(touched), rows.schema), covered, "left").select("doc_id", "body", "covered")
+    return clean.unionByName(joined.mapInPandas(_remove(width), schema))

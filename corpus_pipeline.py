@@ -7,6 +7,14 @@ All but the last return the columns of ``documents``:
 3. of each class of near duplicates (Jaccard similarity of five-word shingles of at least 0.8) the least id stays;
 4. sources are mixed to their target weights: a document has a row for each pass that takes words of it, with those words;
 5. the mix is tokenised and packed into sequences.
+
+Defined cases: a null or empty text, or one without a letter, has no language
+and goes in the first stage; a null id is smaller than all others, so of equal
+texts it goes, but a single document with it stays; a null language does not train
+and a null source is a source of its own; rows that are repeated as a whole are equal texts, of which one stays;
+an empty table passes all stages as an empty one; additional columns, also ones
+with names that the stages use themselves, are kept up to the last stage;
+whole texts are read, however long.
 """
 
 from __future__ import annotations

@@ -76,3 +76,11 @@ def test_edge_cases(spark, docs_of):
     nothing = L.fit(docs_of([]))
     assert {r.lang_pred for r in L.predict(docs, nothing).collect()} == {"und"}
     assert L.predict(docs_of([]), model).count() == 0
+
+
+def test_held_out_is_a_remainder_of_crc32(spark):
+    from zlib import crc32
+
+    got = spark.range(300).select("id", L.held_out(F.col("id")).alias("out")).collect()
+    assert all(r["out"] == (crc32(str(r["id"]).encode()) % 3 == 1) for r in got)
+    assert not spark.sql("select cast(null as long) as id").select(L.held_out(F.col("id")).alias("out")).first()["out"]

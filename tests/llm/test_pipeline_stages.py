@@ -7,6 +7,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -94,3 +95,32 @@ def test_packing(stages):
 def test_run_returns_the_last_stage(spark):
     got = C.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 200
+
+
+def chain(spark, docs):
+    out = [docs]
+    for name, stage in C.STAGES:
+        out.append(written(stage(spark, out[-1], SF), "chain-" + name.replace(" ", "-")))
+    return out
+
+
+def test_nulls_copies_long_texts_and_clashing_columns(spark, docs_of):
+    words = "the cat sat on a mat and then the dog came in from the garden with some bones".split()
+    say = lambda k, n: " ".join(words[(k * 7 + i * (k % 5 + 1)) % len(words)] + ("x" * (k % 3)) for i in range(n))
+    rows = [(i, say(i, 30 + i), "en" if i % 4 else None, "ab"[i % 2] if i % 5 else None) for i in range(40)]
+    rows += [(100, None), (101, ""), (102, "123 ..."), (None, "a text without an id, but with words"), (103, say(3, 33)), (104, say(3, 33)), (104, say(3, 33)), (105, " ".join(f"{words[i % len(words)]} item{i}" for i in range(30_000)))]
+    names = ("row", "found", "body", "maybe", "rid", "size", "tie", "length", "piece", "offset", "key", "times", "shards")
+    docs = docs_of(rows).withColumns({c: F.lit(3) for c in names})
+    out = chain(spark, docs)
+    assert all(s.dtypes == docs.dtypes for s in out[1:-1])
+    ids = [Counter(r.doc_id for r in s.select("doc_id").collect()) for s in out]
+    assert not {100, 101, 102} & set(ids[1]) and ids[1][None] == 1 and ids[1][104] == 2
+    assert ids[2][104] == 1 and not {3, 103} & set(ids[2]) and ids[2][None] == 1
+    assert set(ids[3]) <= set(ids[2]) and 105 in ids[3]
+    pieces = out[5].collect()
+    assert {r.doc_id for r in pieces} == set(ids[4]) and sum(r.length for r in pieces if r.doc_id == 105) > 50_000
+
+
+def test_empty_table_passes_all_stages(spark, docs_of):
+    out = chain(spark, docs_of([], ", body string").withColumn("rid", F.lit(1)))
+    assert [s.count() for s in out] == [0] * 6 and all(s.dtypes == out[0].dtypes for s in out[1:-1])

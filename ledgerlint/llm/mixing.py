@@ -4,10 +4,14 @@ The words of each source form one stream, cut into blocks of ``block`` words.
 A source's target says how many slots of the mix its blocks fill.  Slot ``j``
 of a source takes block ``perm(j mod n)`` of its ``n`` blocks, under a
 pseudorandom permutation of the source and of the pass ``j div n``; so a block
-is taken once before any is taken again.  :func:`slot_plan` deals every slot to
-a shard by an independent uniform draw (a hash); the results here drop the
-shard: no output is sharded, and the counts of sources are fixed totals.
-Slots and blocks meet in a join on the block's index.
+is taken once before any is taken again.
+
+The mix is dealt to output shards of about ``SHARD_SLOTS`` slots.  How many
+slots a shard takes of each source is a multinomial draw conditioned on the
+sources' fixed totals: every slot of a source falls into a shard uniformly and
+independently (by a hash), and is counted.  Running sums of these counts, shard
+after shard, give each shard its own range of the source's slots, hence through
+the permutation its blocks.  Slots and blocks meet in a join on the block's index.
 
 The permutation is a composition of three bijections on ``0..n-1``: a rotation
 of each run of 1024 indices by a hash of the run, an affine map with a
@@ -98,26 +102,37 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 def _rotated(at: Column, n: Column, *seed: Column) -> Column:
     """Rotate each full run of 1024 indices by a hash of the run; the last, shorter run stays."""
     run = F.floor(at / _RUN)
-    turned = run * _RUN + F.pmod(at + F.xxhash64(*seed, run), F.lit(_RUN))
+    turned = run * _RUN + F.pmod(at + F.pmod(F.xxhash64(*seed, run), F.lit(_RUN)), F.lit(_RUN))  # the sum of whole hashes could overflow
     return F.when((run + 1) * _RUN <= n, turned).otherwise(at)
 
 
+def _tasks(total_slots: int) -> int:
+    """A number of tasks for steps that turn few rows into many slots; a number that is given is not merged into fewer."""
+    return min(50_000, max(1, -(-total_slots // (2 * _CHUNK))))
+
+
+def shard_counts(sources: DataFrame, total_slots: int, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
+    """source_id, shard, n: how many slots of each source a shard takes (shards that take none are left out)."""
+    n_shards = max(1, -(-total_slots // shard_slots))
+    chunks = sources.filter("slots > 0").select("source_id", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {_CHUNK})")).alias("chunk"))
+    chunks = chunks.repartition(_tasks(total_slots), "source_id", "chunk")
+    slots = chunks.select("source_id", F.explode(F.expr(f"sequence(chunk * {_CHUNK}, least(slots, (chunk + 1) * {_CHUNK}) - 1)")).alias("slot"))
+    shard = F.pmod(F.xxhash64(F.lit(seed + 2), "source_id", "slot"), F.lit(n_shards).cast("long"))
+    return slots.groupBy("source_id", shard.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def slot_plan(sources: DataFrame, total_slots: int, shard_slots: int = SHARD_SLOTS, seed: int = 7) -> DataFrame:
     """Every slot of the mix: shard, source_id, slot, block."""
-    n_shards = max(1, -(-total_slots // shard_slots))
-    chunks = (
-        sources.filter("slots > 0")
-        .select("source_id", "n_blocks", "slots", "multipliers", "shifts", F.explode(F.expr(f"sequence(0L, (slots - 1) div {_CHUNK})")).alias("chunk"))
-        .repartition(F.col("source_id"), F.col("chunk"))
-    )
-    slots = chunks.select("*", F.explode(F.expr(f"sequence(chunk * {_CHUNK}, least(slots, (chunk + 1) * {_CHUNK}) - 1)")).alias("slot"))
+    counts = shard_counts(sources, total_slots, shard_slots, seed)
+    ranges = running_offsets(counts, ["source_id"], ["shard"], max(1, total_slots // shard_slots), F.col("n"), out="first")
+    ranges = ranges.join(F.broadcast(sources.select("source_id", "n_blocks", "multipliers", "shifts")), "source_id").repartition(_tasks(total_slots), "source_id", "shard")
+    slots = ranges.select("shard", "source_id", "n_blocks", "multipliers", "shifts", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
     n = F.col("n_blocks")
     slots = slots.withColumn("pass", F.expr("cast(slot div n_blocks as int)")).withColumn("at", F.expr("slot % n_blocks"))
     slots = slots.withColumn("at", _rotated(F.col("at"), n, F.lit(seed), F.col("source_id"), F.col("pass")))
     slots = slots.withColumn("at", F.expr("(at * multipliers[pass] + shifts[pass]) % n_blocks"))
     slots = slots.withColumn("at", _rotated(F.col("at"), n, F.lit(seed + 1), F.col("source_id"), F.col("pass")))
-    shard = F.pmod(F.xxhash64(F.lit(seed + 2), "source_id", "slot"), F.lit(n_shards))
-    return slots.select(shard.alias("shard"), "source_id", "slot", F.col("at").alias("block"))
+    return slots.select("shard", "source_id", "slot", F.col("at").alias("block"))
 
 
 def block_pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -129,13 +144,13 @@ def block_pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _mix(sized: DataFrame, weights, share, most, block, seed):
-    """Pieces with ``times``, how often their block is taken. ``sized``: doc_id, source, size, tie and others."""
+    """Pieces with ``times``, how often their block is taken, and ``shards``, by which ones. ``sized``: doc_id, source, size, tie and others."""
     n_rows = sized.count()
     sources = source_targets(sized, weights, share, most, block, seed)
     total = sources.agg(F.sum("slots")).first()[0] or 0
     named = sized.join(F.broadcast(sources.select(F.col("source").alias("_source"), "source_id", "source_size", "target")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = running_offsets(named, ["source_id"], ["doc_id", "tie"], n_rows, F.col("size"))
-    times = slot_plan(sources, total, seed=seed).groupBy("source_id", "block").agg(F.count(F.lit(1)).alias("times"))
+    times = slot_plan(sources, total, seed=seed).groupBy("source_id", "block").agg(F.count(F.lit(1)).alias("times"), F.collect_list("shard").alias("shards"))
     # Spark can't foresee how many slots the source table becomes: without the hint it may broadcast them.
     return block_pieces(placed, block).join(times.hint("merge"), ["source_id", "block"], "left")
 
@@ -148,15 +163,20 @@ def taken_words(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
     weights=WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS, block: int = BLOCK, seed: int = 7,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
+    """One row per document: doc_id, size, source_size, target, taken, shards.
+
+    ``shards`` has the output shards that take words of the document, with how many: ``shard:words``, comma-joined by shard.
+    """
     sized = written(_sized(docs, id, text, source), "mix-sizes")
     pieces = _mix(sized, weights, share, most, block, seed)
-    taken = F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).cast("long")
     # A document with words has its own place in its source's stream; those without are counted and told apart again.
     keys = ["doc_id", "size", "source_size", "target", "source_id", "offset", "tie"]
-    found = pieces.groupBy(*keys).agg(taken.alias("taken"), F.count(F.lit(1)).alias("rows"))
+    by_shard = pieces.withColumn("shard", F.explode_outer("shards")).groupBy(*keys, "shard").agg(F.sum(F.when(F.col("shard").isNotNull(), F.col("words"))).alias("words"), F.count(F.lit(1)).alias("rows"))
+    parts = F.array_sort(F.collect_list(F.when(F.col("shard").isNotNull(), F.struct("shard", "words"))))
+    found = by_shard.groupBy(*keys).agg(F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"), parts.alias("parts"), F.max("rows").alias("rows"))
+    text_of = F.array_join(F.transform("parts", lambda p: F.concat_ws(":", p["shard"].cast("string"), p["words"].cast("string"))), ",")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.when(F.col("size") > 0, F.lit(1).cast("long")).otherwise(F.col("rows"))))
-    return found.select("doc_id", "size", "source_size", "target", "taken", copies.alias("copy")).drop("copy")
+    return found.select("doc_id", "size", "source_size", "target", "taken", text_of.alias("shards"), copies.alias("copy")).drop("copy")
 
 
 def mixed_documents(

@@ -57,6 +57,44 @@ def test_permutation_and_shards(spark):
     assert len(shards) == 10 and max(shards.values()) < 1.2 * min(shards.values())
 
 
+def test_shards_take_ranges_of_multinomial_counts(spark):
+    sources = M.source_targets(spark.createDataFrame([("a", 64 * 6000), ("b", 64 * 3000)], "source string, size long"), weights=(1,), share=1.9)
+    total = sum(r.slots for r in sources.collect())
+    counts = {(r.source_id, r.shard): r.n for r in M.shard_counts(sources, total, shard_slots=1000).collect()}
+    plan = M.slot_plan(sources, total, shard_slots=1000).collect()
+    assert Counter((r.source_id, r.shard) for r in plan) == counts
+    n_shards = -(-total // 1000)
+    for r in sources.collect():
+        own = [counts.get((r.source_id, k), 0) for k in range(n_shards)]
+        assert sum(own) == r.slots
+        mean = r.slots / n_shards
+        chi2 = sum((n - mean) ** 2 / mean for n in own)  # about n_shards - 1 for independent uniform draws
+        assert 0.2 * n_shards < chi2 < 2.5 * n_shards
+        for k in range(n_shards):
+            slots = sorted(x.slot for x in plan if x.source_id == r.source_id and x.shard == k)
+            assert slots == list(range(slots[0], slots[0] + len(slots)))
+
+
+def test_shards_of_documents_add_up(spark, small, monkeypatch):
+    plan = M.slot_plan
+    monkeypatch.setattr(M, "slot_plan", lambda *a, **k: plan(*a, shard_slots=200, **k))
+    got = M.taken_words(small).collect()
+    shards = Counter()
+    for r in got:
+        parts = [tuple(map(int, p.split(":"))) for p in r.shards.split(",") if p]
+        assert sum(n for _, n in parts) == r.taken and [k for k, _ in parts] == sorted({k for k, _ in parts})
+        shards.update(dict(parts))
+    assert len(shards) > 5 and max(shards.values()) < 1.5 * min(shards.values())
+
+
+def test_rotation_does_not_overflow(spark):
+    at = 2**62
+    hashes = spark.range(4000).select(F.xxhash64(F.lit(7), F.floor((F.col("id") * 1024 + at) / 1024)).alias("h"))
+    assert hashes.filter(F.col("h") > 2**63 - at).count()  # sums of these with the index pass 64 bits
+    turned = spark.range(4000).select(M._rotated(F.col("id") * 1024 + at, F.lit(2**63 - 1), F.lit(7)).alias("x"))
+    assert turned.distinct().count() == 4000
+
+
 def test_edge_cases(spark, docs_of):
     rows = [(1, None, "en", "a"), (2, "", "en", None), (3, "w " * 70, "en", None), (4, "x\x0by z", "en", "b"), (4, "x\x0by z", "en", "b"), (None, "q", "en", "a"), (1, None, "en", "a")]
     docs = docs_of(rows).withColumns({c: F.lit(3) for c in ("size", "offset", "target", "block", "row", "rid", "times")})

@@ -4,18 +4,23 @@ High-recall generators propose spans that may overlap: the *base* patterns of
 four kinds with their checks, and looser forms of each kind.  Boosted trees
 score every proposal from its format (digits, separators, check sum, brackets)
 and context (a telling word before it, what stands at its ends).  They learn
-from all proposals of the given corpus.  Positives are the base spans and the
-looser ones with evidence that does not rest on the base form (:func:`_evident`:
-check sums with an issuer's first digits, bracketed addresses, a telling word
-before a phone or an obfuscated mail).  Phones and mails of one format
-without a telling word are positives too if the format has one about as often as
-base spans have (see :func:`labels`), however frequent it is.  All else
-is unlabelled (counted as negative); the mark that defines the base
-form (``+``, ``@``) is not a feature.  A proposal's score then says how far spans
-of its looks are personal data of that kind.  Scores are calibrated for each
-kind on the same counts: the threshold is the least score at and above which at
-least ``PRECISION`` of the proposals are positives.  Looser spans that reach it or
-have evidence of their own are added; base spans always stay.
+from the proposals of one half of the given corpus (dealt by a hash of the
+text).  Positives are the base spans and the looser ones with evidence that does
+not rest on the base form (:func:`_evident`: check sums with an issuer's first
+digits, bracketed addresses, a telling word before a phone or an obfuscated
+mail).  Phones and mails of one format without a telling word are positives too
+if the format has one about as often as base spans have (see :func:`labels`),
+however frequent it is.  All else is unlabelled (counted as negative).  These
+labels are noisy, and select nothing by themselves; the mark that defines the
+base form (``+``, ``@``) is not a feature.  A proposal's score then says how far
+spans of its looks are personal data of that kind.
+
+Scores are calibrated for each kind on the other half: the threshold is the
+least score at and above which at least ``PRECISION`` of the proposals are
+positives, where base spans weigh no more in all than looser ones, and at least
+``PRECISION`` of the looser ones alone (else many base spans would let others pass).  A looser span is added if it overlaps no base span of
+any kind and its score reaches the threshold; base spans always stay.  A kind without
+positives in the second half gets no additions.
 
 Features are binned, so the corpus comes down to counts of at most
 ``GRID`` different feature rows, on which the driver fits the trees; their answer
@@ -67,11 +72,15 @@ LOOSE_HINT = {
     "card": lambda t: t.rlike(r"[0-9]{4}[\x20._-]?[0-9]{3}"),
     "phone": lambda t: t.rlike(r"[0-9]{2}\)?[\x20./-]{1,2}+[0-9]{3,4}+[\x20./-][0-9]{3}"),
 }
+#: Telling words, as whole words.
 CONTEXT = {
-    "email": r"(?i)(?:mail|contact|write|reach)",
-    "ip": r"(?i)(?:\bip|host|server|address|gateway)",
-    "card": r"(?i)(?:card|visa|credit|payment|account)",
-    "phone": r"(?i)(?:phone|tel|call|mobile|fax|cell)",
+    kind: rf"(?i)(?<!\p{{L}})(?:{words})(?!\p{{L}})"
+    for kind, words in {
+        "email": "e-?mails?|mails?|mailto|contact|write|reach",
+        "ip": "ip|hosts?|servers?|address|gateway",
+        "card": "cards?|visa|credit|payment|account",
+        "phone": "phones?|telephone|tel|calls?|mobile|fax|cell",
+    }.items()
 }
 #: (feature, number of bins)
 FEATURES = (("digits", 6), ("separators", 4), ("checksum", 2), ("brackets", 2), ("context", 2), ("before", 3), ("after", 3))
@@ -115,7 +124,9 @@ def _evident() -> dict[str, Column]:
     n = F.length("digits_only")
     told = lambda k: F.col("ahead").rlike(CONTEXT[k])
     part = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-    issued = F.col("digits_only").rlike(r"\A(?:4[0-9]{12}|3(?:0|6|8|9)[0-9]{12}|3[47][0-9]{13}|[0-9]{16,19})\z")
+    # Lengths and first digits that issuers use; with odd separators, all groups but the last are alike.
+    issued = F.col("digits_only").rlike(r"\A(?:4[0-9]{12}|3(?:0|6|8|9)[0-9]{12}|3[47][0-9]{13}|[2-6][0-9]{15,18})\z")
+    issued = issued & F.col("span").rlike(r"\A(?:[0-9]++|(?:[0-9]{4}[\x20._-]){3,4}[0-9]{1,4}|[0-9]{4}[\x20._-][0-9]{6}[\x20._-][0-9]{4,5})\z")
     return {
         "email": told("email") & F.col("span").rlike(r"(?:\(at\)|\[at\]).*[A-Za-z]{2}\z"),
         "ip": F.col("span").rlike(rf"\A{part}(?:\x20?(?:\[\.\]|\(\.\))\x20?{part}){{3}}\z"),
@@ -145,52 +156,58 @@ def _features() -> dict[str, Column]:
         "checksum": _of_kind(lambda k: checks[k]).cast("int"),
         "brackets": bare.rlike(r"[()\[\]]").cast("int"),
         "context": _of_kind(lambda k: F.col("ahead").rlike(CONTEXT[k])).cast("int"),
-        "before": F.when((F.col("ahead") == "") & (F.col("i") > 0), 1).otherwise(_end_class(F.right("ahead", F.lit(1)))),
+        "before": F.when((F.col("prev") == "") & (F.col("i") > 0), 1).otherwise(_end_class(F.col("prev"))),
         "after": _end_class(F.col("next")),
     }
 
 
 def proposals(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base spans, and looser ones that overlap no base span of their kind, a row each.
+    """Base spans, and looser ones that overlap no base span of any kind, a row each.
 
-    rid (a number of the document's row), doc_id, kind, start, end (code points), base, sure (base, or
-    with evidence) and features; each document also has one row without a kind.
+    rid (a number of the document's row), doc_id, half (0 or 1, by the text), kind, start, end (code points),
+    base, sure (base, or with evidence) and features; each document also has one row without a kind.
     """
     body = F.col("body")
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs[id].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("body"))
+    rows = rows.withColumn("half", F.pmod(F.xxhash64("body"), F.lit(2)).cast("int"))
     patterns = [(k, base, table[kind], hints[kind]) for base, table, hints in ((True, BASE, HINT), (False, LOOSE, LOOSE_HINT)) for k, kind in enumerate(KINDS)]
     found = rows.select(
         "rid",
         "doc_id",
+        "half",
         *[F.when(hint(body), F.regexp_extract_all(body, F.lit(p), F.lit(0))).alias(f"found{j}") for j, (_, _, p, hint) in enumerate(patterns)],
         *[F.when(hint(body), F.split(body, p, -1)).alias(f"gaps{j}") for j, (_, _, p, hint) in enumerate(patterns)],
     )
 
+    shape = "struct<kind:int,strict:boolean,i:int,gap:int,span:string,ahead:string,prev:string,next:string>"
+    # The last characters before a span, without the rest of a word that they cut.
+    ahead = lambda gap: F.when(F.length(gap) <= _CONTEXT_CHARS, gap).otherwise(F.regexp_replace(F.right(gap, F.lit(_CONTEXT_CHARS)), r"\A\p{L}++", ""))
+
     def pieces(j: int, kind: int, base: bool) -> Column:
         gaps = F.col(f"gaps{j}")
         zipped = F.arrays_zip(F.col(f"found{j}").alias("span"), gaps.alias("gap"), F.slice(gaps, F.lit(2), F.greatest(F.size(gaps), F.lit(1))).alias("next"))
         piece = lambda z, i: F.struct(
             F.lit(kind).alias("kind"), F.lit(base).alias("strict"), i.alias("i"), F.length(z["gap"]).alias("gap"), z["span"].alias("span"),
-            F.right(z["gap"], F.lit(_CONTEXT_CHARS)).alias("ahead"), F.left(z["next"], F.lit(1)).alias("next"),
+            ahead(z["gap"]).alias("ahead"), F.right(z["gap"], F.lit(1)).alias("prev"), F.left(z["next"], F.lit(1)).alias("next"),
         )
-        none = F.array().cast("array<struct<kind:int,strict:boolean,i:int,gap:int,span:string,ahead:string,next:string>>")
+        none = F.array().cast(f"array<{shape}>")
         return F.coalesce(F.filter(F.transform(zipped, piece), lambda x: x["span"].isNotNull()), none)
 
-    document = F.array(F.lit(None).cast("struct<kind:int,strict:boolean,i:int,gap:int,span:string,ahead:string,next:string>"))
+    document = F.array(F.lit(None).cast(shape))
     every = F.concat(document, *[pieces(j, kind, base) for j, (kind, base, _, _) in enumerate(patterns)])
-    apart = found.select("rid", "doc_id", F.explode(every).alias("s")).select("rid", "doc_id", "s.*")
-    # Ends are running sums of the lengths of gaps and spans; this and what follows are windows within one document.
+    # Ends are running sums of the lengths of gaps and spans; this and what follows are windows within one document, dealt once.
+    apart = found.select("rid", "doc_id", "half", F.explode(every).alias("s")).select("rid", "doc_id", "half", "s.*").repartition("rid")
     run = Window.partitionBy("rid", "kind", "strict").orderBy("i")
     placed = apart.withColumn("end", F.sum(F.col("gap").cast("long") + F.length("span")).over(run))
     placed = placed.withColumn("start", F.col("end") - F.length("span")).withColumn("digits_only", _digits(F.col("span")))
     placed = placed.withColumn("base", F.col("strict") & _of_kind(_checks().get)).filter("kind is null or base or not strict")
-    by_start = Window.partitionBy("rid", "kind").orderBy("start", "end")
+    by_start = Window.partitionBy("rid").orderBy("start", "end")
     base_end = F.max(F.when(F.col("base"), F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     base_start = F.min(F.when(F.col("base"), F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
     placed = placed.withColumn("base_end", base_end).withColumn("base_start", base_start)
     overlaps = (F.coalesce("base_end", F.lit(-1)) > F.col("start")) | (F.coalesce(F.col("base_start") < F.col("end"), F.lit(False)))
     kept = placed.filter(F.col("kind").isNull() | F.col("base") | ~overlaps)
-    return kept.select("rid", "doc_id", "kind", "start", "end", "base", (F.col("base") | F.coalesce(_of_kind(_evident().get), F.lit(False))).alias("sure"), *[f.alias(n) for n, f in _features().items()])
+    return kept.select("rid", "doc_id", "half", "kind", "start", "end", "base", (F.col("base") | F.coalesce(_of_kind(_evident().get), F.lit(False))).alias("sure"), *[f.alias(n) for n, f in _features().items()])
 
 
 def _best_split(x: np.ndarray, g: np.ndarray, h: np.ndarray):
@@ -255,39 +272,50 @@ def labels(x: np.ndarray, base: np.ndarray, sure: np.ndarray, weight: np.ndarray
     return out
 
 
-def thresholds(kind: np.ndarray, score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[float]:
-    """For each kind the least score at and above which PRECISION of the proposals are positives; above 1 if none is."""
+def thresholds(kind: np.ndarray, score: np.ndarray, label: np.ndarray, weight: np.ndarray, loose: np.ndarray | None = None) -> list[float]:
+    """For each kind the least score at and above which PRECISION of the proposals, and of the ``loose`` ones alone, are positives; above 1 if none is."""
     out = []
+    loose = np.zeros(len(kind), bool) if loose is None else loose
     for k in range(len(KINDS)):
         own = np.flatnonzero(kind == k)
         own = own[np.argsort(-score[own], kind="stable")]
         right, all_ = np.cumsum((label * weight)[own]), np.cumsum(weight[own])
+        right_loose, all_loose = np.cumsum((label * weight * loose)[own]), np.cumsum((weight * loose)[own])
         last = np.append(score[own][1:] < score[own][:-1], True) if len(own) else np.empty(0, bool)  # ties are taken together
-        good = np.flatnonzero((right >= PRECISION * all_) & last) if len(own) else []
+        good = np.flatnonzero((right >= PRECISION * all_) & (right_loose >= PRECISION * all_loose) & last) if len(own) else []
         out.append(float(score[own][good[-1]]) if len(good) else 2.0)
     return out
 
 
+def _accepted(x: np.ndarray, base: np.ndarray, sure: np.ndarray, half: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Whether spans of each feature row reach their kind's threshold: trees from one half, thresholds from the other."""
+    label, learn = labels(x, base, sure, weight), half == 0
+    if not learn.any():
+        return np.zeros(len(x), bool)
+    first, trees = fit(x[learn], label[learn], weight[learn])
+    score = 1 / (1 + np.exp(-sum((_value(t, x) for t in trees), np.full(len(x), first))))
+    even = weight.copy()
+    for k in range(len(KINDS)):
+        strict, loose = (x[:, 0] == k) & (base > 0) & ~learn, (x[:, 0] == k) & (base == 0) & ~learn
+        if strict.any():
+            even[strict] *= min(1.0, weight[loose].sum() / weight[strict].sum())
+    limits = np.array(thresholds(x[~learn, 0], score[~learn], label[~learn], even[~learn], base[~learn] == 0))
+    return score >= limits[x[:, 0]] - 1e-9
+
+
 def detected(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added."""
     found = written(proposals(docs, id, text), "proposals")
     names = ["kind", *[f for f, _ in FEATURES]]
-    grid = found.filter("kind is not null").groupBy(*names, "base", "sure").agg(F.count(F.lit(1)).alias("n")).collect()  # at most GRID rows
+    grid = found.filter("kind is not null").groupBy(*names, "base", "sure", "half").agg(F.count(F.lit(1)).alias("n")).collect()  # at most 2 * GRID rows
+    grid.sort()
     x = np.array([[r[n] for n in names] for r in grid], np.int64).reshape(-1, len(names))
-    base, sure, weight = (np.array([float(r[c]) for r in grid]) for c in ("base", "sure", "n"))
-    added: list[tuple] = []
-    if len(grid):
-        order = np.lexsort(x.T[::-1])
-        x, base, sure, weight = x[order], base[order], sure[order], weight[order]
-        label = labels(x, base, sure, weight)
-        first, trees = fit(x, label, weight)
-        score = 1 / (1 + np.exp(-sum((_value(t, x) for t in trees), np.full(len(x), first))))
-        limits = np.array(thresholds(x[:, 0], score, label, weight))
-        added = sorted({tuple(map(int, row)) for row in x[score >= limits[x[:, 0]] - 1e-9]})
+    base, sure, half, weight = (np.array([float(r[c]) for r in grid]) for c in ("base", "sure", "half", "n"))
+    added = sorted({tuple(map(int, row)) for row in x[_accepted(x, base, sure, half, weight)]})
     # The trees' answer for every feature row there is: a table of at most GRID rows.
     answers = docs.sparkSession.createDataFrame([(*row, True) for row in added], ", ".join(f"{n} int" for n in names) + ", added boolean")
     scored = found.join(F.broadcast(answers), names, "left")
-    chosen = F.col("kind").isNotNull() & (F.col("sure") | F.coalesce("added", F.lit(False)))
+    chosen = F.col("kind").isNotNull() & (F.col("base") | F.coalesce("added", F.lit(False)))
     spans = scored.select("rid", "doc_id", "base", F.when(chosen, F.struct("kind", "start", "end")).alias("span"))
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda s: F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.when(F.col("base"), F.col("span"))

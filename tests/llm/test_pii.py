@@ -91,6 +91,34 @@ def test_loose_forms_as_frequent_as_base_ones_are_added(spark, docs_of):
     assert not any(got[2000 + i].spans for i in range(300))
 
 
+def test_telling_words_are_whole_words_and_base_spans_stand_alone(spark, docs_of):
+    rng = random.Random(11)
+    rows = []
+    for i in range(400):
+        phone = f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        rows += [(i, f"call +1 {phone} now"), (1000 + i, f"please call {phone} today"), (2000 + i, f"years {rng.randrange(1000, 2000)}-{rng.randrange(1000, 2000)} {rng.randrange(1000, 2000)} in all")]
+    odd = ["basically 1990-1995 2000", "the hotel 1999/2003/1200 rooms", "excellent 12 345 6789 points", "plain 1990-1995 2000"]
+    rows += [(5000 + i, x) for i, x in enumerate(odd)] + [(6000, "please call 193.195.198.107 now"), (6001, "a very long wordthathotel 1999/2003/1200")]
+    got = {r.doc_id: r for r in P.detected(docs_of(rows)).collect()}
+    assert all(got[1000 + i].spans for i in range(400)) and not any(got[2000 + i].spans for i in range(400))
+    assert [got[5000 + i].spans for i in range(len(odd))] == [""] * len(odd)
+    assert got[6000].spans == "ip:12:27" and got[6001].spans == ""
+
+
+def test_evidence_alone_selects_nothing(spark, docs_of, monkeypatch):
+    rows = [(i, f"please call (523) 555-{1000 + i} today") for i in range(200)]
+    assert all(r.n_added for r in P.detected(docs_of(rows)).collect())
+    monkeypatch.setattr(P, "thresholds", lambda *_: [2.0] * 4)
+    assert not any(r.n_added for r in P.detected(docs_of(rows)).collect())
+
+
+def test_many_base_spans_do_not_let_any_looser_one_pass(spark, docs_of):
+    rng = random.Random(12)
+    rows = [(i, f"call +1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}") for i in range(2000)]
+    rows += [(5000 + i, f"years {rng.randrange(1000, 2000)}-{rng.randrange(1000, 2000)} {rng.randrange(1000, 2000)}") for i in range(100)]
+    assert not any(r.n_added for r in P.detected(docs_of(rows)).collect())
+
+
 def test_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 4, (300, 3))
@@ -109,4 +137,5 @@ def test_thresholds_take_ties_together():
 def test_native_plan_and_empty_table(spark, docs_of):
     plan = P.detected(docs_of([(1, "a@b.c")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct", P.proposals(docs_of([(1, "a@b.c")]))._jdf.queryExecution().toString())
     assert P.detected(docs_of([])).count() == 0 and P.detected(docs_of([(1, "x")])).first().spans == ""

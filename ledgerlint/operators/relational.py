@@ -20,14 +20,15 @@ def drop_null_key(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 
 # R1 -------------------------------------------------------------------------
-def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak: str | None = "src_row") -> DataFrame:
+def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak: str | None = "src_row", null_keys: bool = False) -> DataFrame:
     """Keep one row per key: the one with the smallest ``tiebreak``, then the smallest whole row.
 
     The order is total, so the survivor never depends on partitioning; without
     a tiebreak column the whole row alone decides (nulls first).
 
     Null keys are removed first (R2): they would form one group that is
-    dropped afterwards anyway, and removing them shrinks the shuffle.
+    dropped afterwards anyway, and removing them shrinks the shuffle.  With
+    ``null_keys`` they stay, and a null counts as a key's value like any other.
 
     Planned as ``groupBy(keys).agg(min(struct(tiebreak, rest)))``: the
     partial aggregate runs before the exchange, so each map task ships at most
@@ -36,7 +37,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str] = ("customer_id",), tiebreak
     a ``row_number()`` window would do.
     """
     keys = list(keys)
-    df = df.filter(reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys]))
+    if not null_keys:
+        df = df.filter(reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys]))
     rest = [c for c in df.columns if c not in keys]
     # A struct is never null, so a key whose rows all lack a tiebreak still keeps one of them.
     first = [named(tiebreak).isNull().alias("_no_tiebreak"), named(tiebreak).alias("_tiebreak")] if tiebreak in df.columns else []

@@ -212,7 +212,8 @@ def load_if_new(
     instead: if any incoming row is already stored, nothing is written.  A new
     target is bucketed by ``keys`` (``bucketed=False`` for a plain table), so the
     anti-join below never re-shuffles what is already stored.  A null in a
-    column that ``schema`` declares not nullable raises.
+    column that ``schema`` declares not nullable raises.  ``df`` is evaluated once if
+    ``schema`` lets no key be null; ``batch_skip`` evaluates its keys once more, before the rows.
     """
     spark = df.sparkSession
     create_target(spark, name, schema, location, bucket_by=keys if bucketed else (), num_buckets=num_buckets)
@@ -222,8 +223,11 @@ def load_if_new(
             return align_append(df.limit(0), name, target_schema=schema)
         return align_append(df, name, target_schema=schema)
     required = {f.name for f in schema.fields if not f.nullable}
-    unkeyed = df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])) if required.intersection(keys) else df.limit(0)
-    one = dedup_by_key(df, keys, tiebreak=None).unionByName(unkeyed)  # rows without a key go on, to raise
+    if required.issuperset(keys):
+        one = dedup_by_key(df, keys, tiebreak=None, null_keys=True)  # rows without a key go on, to raise: one of them does
+    else:
+        unkeyed = df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])) if required.intersection(keys) else df.limit(0)
+        one = dedup_by_key(df, keys, tiebreak=None).unionByName(unkeyed)
     return align_append(one.join(stored.select(*keys), list(keys), "left_anti"), name, target_schema=schema)
 
 

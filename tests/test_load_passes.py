@@ -44,6 +44,16 @@ def test_load_if_new_keeps_rows_without_an_optional_key(spark, tmp_path):
     assert K.load_if_new(rows, name, schema, str(tmp_path / "t"), keys=("k", "l")) == 3
 
 
+@pytest.mark.parametrize("query", ["load_if_new"])
+def test_loads_of_one_clean_table_read_it_stored(spark, monkeypatch, query):
+    files = []
+    for step in ("load_if_new", "load_once", "data_exists"):
+        whole = getattr(K, step)
+        monkeypatch.setattr(K, step, lambda df, *a, whole=whole, **b: files.extend(df.inputFiles()) or whole(df, *a, **b))
+    E.queries()[query](spark, SF_SMALL).count()
+    assert files and not [f for f in files if f.endswith("orders.parquet")]
+
+
 def test_load_replay_deals_rows_to_as_many_parts_as_any_shuffle(spark, monkeypatch):
     plans, whole = [], E.run_job
     monkeypatch.setattr(E, "run_job", lambda raw, *a: plans.append(raw._jdf.queryExecution().logical().toString().splitlines()[0]) or whole(raw, *a))

@@ -209,8 +209,9 @@ def q_create_target(spark: SparkSession, d: str) -> DataFrame:
 
 def q_data_exists_all_columns(spark: SparkSession, d: str) -> DataFrame:
     name, loc = _fresh_target(spark, "target")
-    K.load_if_new(_clean(spark, d), name, CLEAN_SCHEMA, loc)
-    incoming = _clean(spark, d).select("customer_id", "transaction_id", "gender", "state", "age")
+    clean = _written_clean(spark, d)
+    K.load_if_new(clean, name, CLEAN_SCHEMA, loc)
+    incoming = clean.select("customer_id", "transaction_id", "gender", "state", "age")
     return K.data_exists(incoming, spark.table(name), keys=None)
 
 

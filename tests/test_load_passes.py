@@ -44,7 +44,7 @@ def test_load_if_new_keeps_rows_without_an_optional_key(spark, tmp_path):
     assert K.load_if_new(rows, name, schema, str(tmp_path / "t"), keys=("k", "l")) == 3
 
 
-@pytest.mark.parametrize("query", ["load_if_new", "load_once", "load_batch_skip_whole"])
+@pytest.mark.parametrize("query", ["load_if_new", "load_once", "load_batch_skip_whole", "data_exists_all_columns"])
 def test_loads_of_one_clean_table_read_it_stored(spark, monkeypatch, query):
     files = []
     for step in ("load_if_new", "load_once", "data_exists"):

@@ -50,7 +50,9 @@ COVERED = 50  # percent of a phrase's occurrences inside one longer candidate, f
 MAX_FILTER_BYTES = 32 << 20
 BLOCK_BITS = 17  # bits of one block of a bitmap, as a power of two
 HELD = 1 << 21  # hashes of a shard that a task holds before it sums them up
-SLICE = 2 << 20  # bytes of text whose phrases are counted at a time in the last pass
+SLICE = 1 << 19  # bytes of text whose phrases are counted at a time
+SENT = 1 << 15  # rows that a task returns at a time: the JVM holds them outside its heap
+READ = 512  # rows whose texts a task has as Python objects at a time
 # Bytes that end a piece, and bytes between words of one piece.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
@@ -123,6 +125,10 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return every[first], np.add.reduceat(np.concatenate(counts)[order], first)
 
 
+def _at_a_time(rows: int, step: int) -> Iterator[slice]:
+    return (slice(lo, lo + step) for lo in range(0, rows, step))
+
+
 def _local_counts(size: int, shorter):
     """(shard, key, n) of the phrases of ``size`` words whose parts one word shorter are frequent in the shard."""
 
@@ -133,14 +139,15 @@ def _local_counts(size: int, shorter):
             keys, counts = held[shard]
             if sum(map(len, keys)) > least:
                 key, n = _summed(keys, counts)
-                if len(key) > least // 2:
-                    yield pd.DataFrame({"shard": np.int32(shard), "key": key.view(np.int64), "n": n})
-                    key, n = key[:0], n[:0]
                 held[shard] = ([key], [n])
+                if len(key) > least // 2:
+                    held[shard] = ([], [])
+                    for part in _at_a_time(len(key), SENT):
+                        yield pd.DataFrame({"shard": np.int32(shard), "key": key[part].view(np.int64), "n": n[part]})
 
-        for b in batches:
+        for b in (whole.iloc[part] for whole in batches for part in _at_a_time(len(whole), READ)):
             texts, seeds, shards = b["text"].tolist(), b["seed"].to_numpy().astype(np.int64).view(np.uint64), b["shard"].to_numpy().astype(np.int64)
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE):
                 words = Words(texts[lo:hi])
                 at, hashes = words.phrases(size)
                 seed, shard = seeds[lo:hi][words.text], shards[lo:hi][words.text]
@@ -214,13 +221,19 @@ def _global_counts(united: list):
                 if parts:
                     keys, n, lang = (np.concatenate([p[k] for p in parts]) for k in range(3))
                     phrases = pa.concat_arrays([p[3] for p in parts])
-                    _, one, to = np.unique(keys, return_index=True, return_inverse=True)
-                    n = np.bincount(to, weights=n).astype(np.int64)
-                    columns = [pa.array(list(names), pa.string()).take(pa.array(lang[one])), pa.array(np.full(len(one), size, np.int32)), phrases.take(pa.array(one)), pa.array(n)]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
                     parts.clear()
-
-        for b in batches:
+                    order = np.argsort(keys)
+                    keys = keys[order]
+                    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                    n, one = np.add.reduceat(n[order], first).astype(np.int64), order[first]
+                    del keys, order, first
+                    spoken = pa.array(list(names), pa.string())
+                    for part in _at_a_time(len(one), SENT):
+                        at = one[part]
+                        columns = [spoken.take(pa.array(lang[at])), pa.array(np.full(len(at), size, np.int32)), phrases.take(pa.array(at)), pa.array(n[part])]
+                        yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+
+        for b in (whole.slice(part.start, READ) for whole in batches for part in _at_a_time(whole.num_rows, READ)):
             texts, langs = b["text"].to_pylist(), b["lang"].dictionary_encode()
             codes = np.array([names.setdefault(x, len(names)) for x in langs.dictionary.to_pylist()], np.int64)
             lang_of, seeds = codes[langs.indices.to_numpy()], b["seed"].to_numpy().view(np.uint64)
@@ -236,7 +249,7 @@ def _global_counts(united: list):
                     at = at[known]
                     keys, one, n = np.unique(keys[known], return_index=True, return_counts=True)
                     held[size].append((keys, n, of_word[at[one]], _phrase_array(words, at[one], size)))
-                if sum(len(p[0]) for parts in held.values() for p in parts) > HELD:
+                if sum(len(p[0]) for parts in held.values() for p in parts) > HELD // 2:
                     yield from rows()
         yield from rows()
 

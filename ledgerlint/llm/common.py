@@ -23,11 +23,16 @@ _fold[0x41:0x5B] += 0x20
 FOLDED_WORDS = (_alnum, _fold)
 
 
+#: Bytes of rows that a task hands to Python at a time: both sides hold them outside the JVM's heap.
+ARROW_BYTES = 4 << 20
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if it is not installed for them."""
+    """Let Python workers import this package from where the driver has it, if it is not installed for them, and get their rows in small batches."""
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in known.get("PYTHONPATH", "").split(":"):
         known["PYTHONPATH"] = ":".join(filter(None, [known.get("PYTHONPATH"), root]))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

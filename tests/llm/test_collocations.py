@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from ledgerlint.llm import collocations as C
@@ -88,3 +91,31 @@ def test_empty_table_and_clashing_columns(spark):
     rows = [("one two three", "en")] * 12
     docs = spark.createDataFrame([(t, x, 1, "p", 3) for t, x in rows], "text string, lang string, n int, phrase string, size int")
     assert got(C.ranked(docs)) == plain(rows)
+
+
+class Held:
+    """A broadcast value without a cluster."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def test_a_task_returns_few_rows_at_a_time():
+    words = [f"w{i}" for i in range(100_000)]
+    texts = [" ".join(words[i : i + 100]).encode() for i in range(0, len(words), 100)]
+    frame = pd.DataFrame({"text": texts, "seed": 5, "shard": 0, "lang": "en"})
+    local = list(C._local_counts(1, None)(iter([frame])))
+    assert sum(map(len, local)) == len(words) and max(map(len, local)) <= 1 << 15
+    every = np.full((1, 1 << 10), -1, np.int64).view("<u8")  # a full bitmap lets each phrase be counted
+    batch = pa.RecordBatch.from_pandas(frame[["text", "lang", "seed"]], preserve_index=False)
+    found = list(C._global_counts([Held(every)] * 2)(iter([batch])))
+    assert max(b.num_rows for b in found) <= 1 << 15
+    rows = [r for b in found for r in b.to_pylist()]
+    assert sorted(r["phrase"].decode() for r in rows if r["size"] == 1) == sorted(words)
+    assert sum(r["n"] for r in rows if r["size"] == 2) == 99 * len(texts) and [r["n"] for r in rows if r["size"] == 0] == [len(words)]
+
+
+def test_tasks_get_their_rows_in_small_batches(spark):
+    docs = spark.createDataFrame([(i, "x" * 100_000, "en") for i in range(200)], "doc_id long, text string, lang string").coalesce(1)
+    sizes = docs.select("text").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert max(r["n"] for r in sizes) < 5 << 20

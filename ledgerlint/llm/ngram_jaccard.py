@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlint.llm.common import FOLDED_WORDS, mix64, seeded, shingle_hashes, slices, text_bytes, word_hashes, written
+from ledgerlint.llm.common import FOLDED_WORDS, PerWorker, mix64, seeded, shingle_hashes, slices, text_bytes, word_hashes, written
 from ledgerlint.llm.components import components
 
 WIDTH = 5
@@ -90,6 +90,7 @@ def _embedding(shingles: np.ndarray) -> bytes:
 
 def _sketcher(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        PerWorker.clear()
         for b in batches:
             rows = []
             for s in _sets(b["body"].tolist(), width):
@@ -121,6 +122,7 @@ def _children(paths: np.ndarray, sketches: np.ndarray, depth: int) -> tuple[np.n
 
 def _first_paths(runs: list[int]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        PerWorker.clear()
         for b in batches:
             sketches = _array(b["sketch"])
             for r in runs:
@@ -198,6 +200,7 @@ def _forest(linked: np.ndarray) -> np.ndarray:
 
 def _compare_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges from each node to the first node of its group of candidates, within a small bucket."""
+    PerWorker.clear()
     a, b = [], []
     for g in _groups(batches, ["path", "lo", "hi"]):
         node, sketches = g["node"].to_numpy(), _array(g["sketch"])
@@ -329,6 +332,7 @@ def _verify(pairs: bool):
     """Exact comparison within (component, lo, hi): links and an edge for each node, or the pairs themselves."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        PerWorker.clear()
         out: list[pd.DataFrame] = []
         held = 0
         for g in _groups(batches, ["root", "lo", "hi"]):

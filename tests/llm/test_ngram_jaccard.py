@@ -3,13 +3,16 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlint.llm import components as G
 from ledgerlint.llm import ngram_jaccard as J
+from ledgerlint.llm.common import PerWorker
 
 
 def shingles(text):
@@ -138,3 +141,19 @@ def test_many_short_texts_are_compared_in_blocks_of_nodes(spark, docs_of, monkey
         most = cells().agg(F.max("a")).first()[0]
     assert most < 2.5 * J.SMALL
     assert cells().count() == 0
+
+
+def anonymous_mb():
+    return sum(map(int, re.findall(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+
+def test_a_task_lets_go_of_what_its_worker_kept():
+    body = "one two three four five six seven".encode()
+    batch = pd.DataFrame({"doc_id": [1], "text_hash": [2], "body": [body]})
+    list(J._sketcher(5)(iter([batch])))
+    before = anonymous_mb()
+    kept = PerWorker.get("scores of an earlier stage", lambda: [bytes(20_000) for _ in range(5_000)])
+    assert len(kept) == 5_000 and anonymous_mb() > before + 80
+    del kept
+    assert len(list(J._sketcher(5)(iter([batch])))[0]) == 1
+    assert PerWorker.latest is None and anonymous_mb() < before + 40

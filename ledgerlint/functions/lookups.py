@@ -182,6 +182,8 @@ DATE_FORMATS = [
     (r"^\d{1,2} [A-Za-z]+ \d{4}$", "%d %B %Y", "d MMMM yyyy"),
     (r"^[A-Za-z]+ \d{1,2}, \d{4}$", "%B %d, %Y", "MMMM d, yyyy"),
 ]
+# Short month names, compared after lower-casing.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 # Two-digit years 69-99 belong to the 1900s, 00-68 to the 2000s.
 TWO_DIGIT_YEAR_PIVOT = 69
 

@@ -58,6 +58,8 @@ def title_case(c: str | Column) -> Column:
     The string is cut into runs of cased letters and runs of everything else;
     ``initcap`` on a run of letters upper-cases its first letter and
     lower-cases the rest, which is exactly what ``title()`` does per word.
+    A string of ASCII letters and spaces needs no cutting: its words are its runs.
     """
-    runs = F.regexp_extract_all(col_of(c), F.lit(CASE_RUNS_RE), 0)
-    return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
+    c = col_of(c)
+    runs = F.regexp_extract_all(c, F.lit(CASE_RUNS_RE), 0)
+    return F.when(c.rlike(r"^[A-Za-z ]*\z"), F.initcap(c)).otherwise(F.array_join(F.transform(runs, lambda r: F.initcap(r)), ""))

@@ -4,7 +4,7 @@
         -> id filter -> full-name rebuild (dictionary join)
         -> every column cleaner in one projection -> typed columns
 
-``clean_all`` runs nothing by itself.  Its three branches (rows, name tokens,
+``clean_all`` runs nothing by itself (it lowers the session's limit for generated methods).  Its three branches (rows, name tokens,
 name dictionaries) share the shuffle of the one-row-per-key aggregate, and the
 rows stay partitioned by the key until the name join, so they shuffle once.
 
@@ -29,6 +29,7 @@ from ..operators.names import full_name_from_dedup
 from ..operators.quality import checkpoint
 from ..operators.relational import dedup_by_key, drop_columns, drop_empty_rows, id_filter, typed_cast
 from ..schema import CLEAN_COLUMNS, CLEAN_SCHEMA, DROPPED_COLUMNS, KEY_COLUMNS
+from ..session import limit_generated_methods
 from .materialize import Intermediates
 from ..sources.target import load_if_new
 
@@ -177,6 +178,7 @@ def clean_untyped(raw: DataFrame, options: Options = Options()) -> DataFrame:
 
 def clean_all(raw: DataFrame, options: Options = Options()) -> DataFrame:
     """Raw text table -> typed clean table in the target's column order."""
+    limit_generated_methods(raw.sparkSession)
     return typed_cast(clean_untyped(raw, options), CLEAN_COLUMNS)
 
 

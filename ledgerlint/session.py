@@ -14,9 +14,22 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def limit_generated_methods(spark: SparkSession) -> None:
+    """Let no generated method exceed 8000 bytes, the size from which HotSpot never compiles one.
+
+    The rows of the job have about 40 columns.  With Spark's default limit (65535) a fused stage
+    over them is interpreted for every row; under this limit Spark runs its operators one by one,
+    in methods that are compiled.  Set on the session, as the plan runs after it is built; a lower value stays.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > int(RECOMMENDED_CONF[name]):
+        spark.conf.set(name, RECOMMENDED_CONF[name])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlint", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC; a checkpoint folder of its own if none is given)."""
     b = (

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import limit_generated_methods
+
 FIXTURE_SQL = """
 WITH b AS (
   SELECT o_orderkey AS k, o_custkey AS c, o_totalprice AS p, c_acctbal AS bal, n_name AS nn,
@@ -68,6 +70,7 @@ def fixture_sql(orders: str = "orders", customer: str = "customer", nation: str
 
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dirty, all-text transaction row per order of ``sf_dir``."""
+    limit_generated_methods(spark)
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     # One dirty row is ~40 text columns built from 3 narrow order columns: the narrow rows are dealt
     # out first, at any size, so that a file of one split does not build all wide rows in one task.
